@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from siteweave.plans import snapshots
+from siteweave.plans import places, snapshots
 
-MODULES = (snapshots,)
+MODULES = (places, snapshots)
 
 
 def queries():

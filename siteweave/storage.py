@@ -7,12 +7,25 @@ so losing an executor loses nothing.
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _fallback: dict[str, str] = {}
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives this package to the Python workers of every executor, once per application."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        _shipped.add(app)
+        package = Path(__file__).resolve().parent
+        archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='siteweave-code-')}/siteweave", "zip", package.parent, package.name)
+        spark.sparkContext.addPyFile(archive)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +55,7 @@ class Scratch:
     """
 
     def __init__(self, spark: SparkSession, label: str) -> None:
+        ship(spark)
         self.spark = spark
         self.base = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
         self.n = 0
