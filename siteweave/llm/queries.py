@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from siteweave.functions.keys import key_part, record_key
 from siteweave.llm.components import groups
+from siteweave.llm.survivor import survivors
+from siteweave.llm.usable import area_usable, text_usable, valid_deliveries
 from siteweave.storage import table
 
 #: Sorts after every key in plain byte order, so that a facility is never the least vertex of a group with records.
@@ -32,5 +34,21 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled.join(sizes, "root", "left_semi").select(F.col("v").alias("record_key"), F.col("root").alias("group_key"))
 
 
-QUERIES = {"p1_found": p1_found}
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sources = table(spark, sf_dir, "facility_sources")
+    links = sources.select(F.trim("facility_id").alias("facility_id"), key_part(F.col("source")).alias("src"), key_part(F.col("source_id")).alias("sid"))
+    links = links.where((F.col("facility_id") != "") & (F.col("src") != "") & (F.col("sid") != "")).distinct()
+    several = links.groupBy("facility_id").count().where(F.col("count") > 1).select("facility_id")
+    wanted = ("row_id", "source", "source_id", "name", "address", "footprint_sqm", "updated_at")
+    valid = valid_deliveries(table(spark, sf_dir, "records").select(*wanted))
+    trust = table(spark, sf_dir, "source_trust").groupBy(key_part(F.col("source")).alias("src")).agg(F.min("trust_rank").alias("trust_rank"))
+    rows = links.join(several, "facility_id", "left_semi").join(valid, ["src", "sid"]).join(trust, "src", "left").drop("source", "source_id")
+    rows = rows.withColumnsRenamed({"src": "source", "sid": "source_id"})
+    usable = [("name", text_usable(F.col("name"))), ("address", text_usable(F.col("address"))), ("footprint_sqm", area_usable(F.col("footprint_sqm")))]
+    # The policy's last step is the source_id; the source after it only makes the order total.
+    found = survivors(rows, "facility_id", usable, F.col("trust_rank"), F.col("updated_at"), ("source_id", "source"))
+    return found.select("facility_id", "field", "source", "source_id")
+
+
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found}
 SQL: dict[str, str] = {}
