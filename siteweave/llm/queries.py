@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from siteweave.functions.keys import key_part, record_key
 from siteweave.llm.components import groups
+from siteweave.llm.packing import CAPACITY, pack
 from siteweave.llm.survivor import survivors
+from siteweave.llm.tokenizer import encode_documents
 from siteweave.llm.usable import area_usable, text_usable, valid_deliveries
 from siteweave.storage import table
 
@@ -50,5 +52,14 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("facility_id", "field", "source", "source_id")
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found}
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(table(spark, sf_dir, "documents"))
+
+
+def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sized = encode_documents(table(spark, sf_dir, "documents"), counts_only=True)
+    return pack(sized, "doc_id", "n_tokens", CAPACITY)
+
+
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p8_ids": p8_ids, "p9_containers": p9_containers}
 SQL: dict[str, str] = {}
