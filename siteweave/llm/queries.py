@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from siteweave.functions.keys import key_part, record_key
 from siteweave.llm.components import groups
+from siteweave.llm.names import link_names, words_of
 from siteweave.llm.packing import CAPACITY, pack
 from siteweave.llm.survivor import survivors
 from siteweave.llm.tokenizer import encode_documents
@@ -52,6 +53,20 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("facility_id", "field", "source", "source_id")
 
 
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where rows of one record denote several operators, the one that most rows denote, then the smaller id."""
+    facilities = table(spark, sf_dir, "facilities").select(F.concat(F.lit("facility|"), F.trim("facility_id")).alias("record_key"), F.col("operator").alias("name"))
+    peering = table(spark, sf_dir, "peeringdb_fac").select(record_key(F.lit("peeringdb"), F.col("id")).alias("record_key"), F.col("org_name").alias("name"))
+    units = table(spark, sf_dir, "nei_units").select(record_key(F.lit("epa_nei"), F.col("eis_facility_id")).alias("record_key"), F.col("company_name").alias("name"))
+    rows = facilities.unionByName(peering).unionByName(units).where(F.col("record_key").isNotNull() & F.col("name").isNotNull())
+    # Rows with the same name text are counted before anything else is done with the text.
+    rows = rows.groupBy("record_key", "name").count().withColumn("text", words_of(F.col("name"))).where(F.col("text") != "").select("record_key", "text", "count")
+    listed = table(spark, sf_dir, "operators").select(F.col("operator_id").alias("id"), F.col("operator_name").alias("name"))
+    linked = rows.join(link_names(rows, listed), "text").groupBy("record_key", "id").agg(F.sum("count").alias("n"))
+    most = F.max(F.struct("n", (-F.col("id")).alias("nid")))
+    return linked.groupBy("record_key").agg(most.alias("m")).select("record_key", (-F.col("m.nid")).alias("operator_id"))
+
+
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"))
 
@@ -61,5 +76,5 @@ def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(sized, "doc_id", "n_tokens", CAPACITY)
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p8_ids": p8_ids, "p9_containers": p9_containers}
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p6_found": p6_found, "p8_ids": p8_ids, "p9_containers": p9_containers}
 SQL: dict[str, str] = {}
