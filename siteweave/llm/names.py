@@ -94,6 +94,23 @@ def within_one_slip(a: str, b: str) -> bool:
     return ra[1:] == rb[1:] or ra[1:] == rb or ra == rb[1:] or (len(ra) > 1 and len(rb) > 1 and ra[0] == rb[1] and ra[1] == rb[0] and ra[2:] == rb[2:])
 
 
+def slips(a: str, b: str) -> int:
+    """Letters added, left out, replaced or swapped with a neighbour, at least; 9 where the lengths tell that it is over 2."""
+    if a == b:
+        return 0
+    if abs(len(a) - len(b)) > 2:
+        return 9
+    before, row = [], list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        older, before, row = before, row, [i]
+        for j, y in enumerate(b, 1):
+            best = min(before[j] + 1, row[j - 1] + 1, before[j - 1] + (x != y))
+            if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y:
+                best = min(best, older[j - 2] + 1)
+            row.append(best)
+    return row[-1]
+
+
 def skeletons(word: str) -> set[str]:
     bare = "".join(c for c in word if c not in "aeiou")
     return {bare, word[:1] + "".join(c for c in word[1:] if c not in "aeiou")}

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siteweave.functions.keys import key_part, record_key
+from siteweave.llm.addresses import record_pairs, same_addresses
 from siteweave.llm.components import groups
 from siteweave.llm.names import link_names, words_of
 from siteweave.llm.packing import CAPACITY, pack
@@ -53,6 +54,13 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("facility_id", "field", "source", "source_id")
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wanted = ("row_id", "source", "source_id", "address", "city", "state", "postcode", "updated_at")
+    valid = valid_deliveries(table(spark, sf_dir, "records").select(*wanted))
+    places, pairs = same_addresses(valid.withColumn("key", F.concat("src", F.lit("|"), "sid")))
+    return record_pairs(places, pairs)
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where rows of one record denote several operators, the one that most rows denote, then the smaller id."""
     facilities = table(spark, sf_dir, "facilities").select(F.concat(F.lit("facility|"), F.trim("facility_id")).alias("record_key"), F.col("operator").alias("name"))
@@ -76,5 +84,5 @@ def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(sized, "doc_id", "n_tokens", CAPACITY)
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p6_found": p6_found, "p8_ids": p8_ids, "p9_containers": p9_containers}
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p8_ids": p8_ids, "p9_containers": p9_containers}
 SQL: dict[str, str] = {}
