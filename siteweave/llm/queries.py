@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siteweave.functions.keys import key_part, record_key
+from siteweave.functions.keys import any_timestamp, key_part, record_key
 from siteweave.llm.addresses import record_pairs, same_addresses
 from siteweave.llm.components import groups
+from siteweave.llm.matching import MIN_CONFIDENCE, match_sources, rule_confidence
 from siteweave.llm.names import link_names, words_of
 from siteweave.llm.packing import CAPACITY, pack
 from siteweave.llm.survivor import survivors
@@ -61,6 +62,51 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return record_pairs(places, pairs)
 
 
+def _newest(rows: DataFrame, key: tuple[str, ...], order: list) -> DataFrame:
+    """The latest row of every key of the latest snapshot."""
+    latest = rows.agg(F.max("snapshot_date").alias("snapshot_date"))
+    rows = rows.join(F.broadcast(latest), "snapshot_date")  # one row
+    rest = [c for c in rows.columns if c not in key]
+    return rows.groupBy(*key).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("r")).select(*key, "r.*")
+
+
+def unlinked_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of the latest snapshots and of the emission units without a row in the crosswalk, in one shape."""
+    peering = table(spark, sf_dir, "peeringdb_fac").select("snapshot_date", "retrieved_at", "id", "org_name", "name", "address1", "city", "state", "zipcode", "latitude", "longitude", "updated")
+    peering = _newest(peering, ("id",), [any_timestamp(F.col("updated")), F.col("retrieved_at"), F.xxhash64("name", "address1")])
+    a = peering.select(record_key(F.lit("peeringdb"), F.col("id")).alias("key"), F.lit("peeringdb").alias("src"), "name", F.col("org_name").alias("operator"), F.col("address1").alias("address"), "city", "state", F.col("zipcode").alias("postcode"), F.col("latitude").alias("lat"), F.col("longitude").alias("lon"))
+    tag = lambda name: F.try_element_at("tags", F.lit(name))
+    mapped = table(spark, sf_dir, "overpass_datacenters").select(
+        "snapshot_date", "retrieved_at", "type", "id", *[tag(t).alias(n) for t, n in (("name", "name"), ("operator", "operator"), ("addr:city", "city"), ("addr:state", "state"), ("addr:postcode", "postcode"))],
+        F.coalesce(tag("addr:full"), F.nullif(F.concat_ws(" ", tag("addr:housenumber"), tag("addr:street")), F.lit(""))).alias("address"),
+        F.coalesce("lat", (F.col("bounds.minlat") + F.col("bounds.maxlat")) / 2).alias("lat"), F.coalesce("lon", (F.col("bounds.minlon") + F.col("bounds.maxlon")) / 2).alias("lon"),
+    )
+    mapped = _newest(mapped, ("type", "id"), [F.col("retrieved_at"), F.xxhash64("name", "address")])
+    b = mapped.select(record_key(F.lit("osm"), F.concat_ws("/", "type", "id")).alias("key"), F.lit("osm").alias("src"), "name", "operator", "address", "city", "state", "postcode", "lat", "lon")
+    text = lambda c: F.nullif(F.trim(c), F.lit(""))
+    units = table(spark, sf_dir, "nei_units").groupBy(record_key(F.lit("epa_nei"), F.col("eis_facility_id")).alias("key")).agg(
+        *[F.mode(text(c), True).alias(n) for c, n in (("site_name", "name"), ("company_name", "operator"), ("address", "address"), ("city", "city"), ("state", "state"), ("zip_code", "postcode"))],
+        F.mode(F.col("site_latitude").try_cast("double"), True).alias("lat"), F.mode(F.col("site_longitude").try_cast("double"), True).alias("lon"),
+    )
+    c = units.withColumn("src", F.lit("epa_nei"))
+    linked = table(spark, sf_dir, "facility_sources").select(record_key(F.col("source"), F.col("source_id")).alias("key"))
+    return a.unionByName(b).unionByName(c).join(linked, "key", "left_anti")
+
+
+def p5_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matched pairs with the rule that found each and its confidence from the reviewed pairs."""
+    verdict = key_part(F.col("decision"))
+    hit = F.when(verdict == "match", 1).when(verdict.rlike("^no"), 0)
+    review = table(spark, sf_dir, "dedupe_review").select("left_name", "right_name", "left_address", "right_address", F.col("distance_m").alias("metres"), hit.alias("hit"))
+    trusted = rule_confidence(review.where(F.col("hit").isNotNull())).where(F.col("confidence") >= MIN_CONFIDENCE)
+    # One row per rule.
+    return match_sources(unlinked_sites(spark, sf_dir)).join(F.broadcast(trusted), "rule").select(F.col("left").alias("left_key"), F.col("right").alias("right_key"), "rule", "confidence")
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p5_matches(spark, sf_dir).select("left_key", "right_key")
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where rows of one record denote several operators, the one that most rows denote, then the smaller id."""
     facilities = table(spark, sf_dir, "facilities").select(F.concat(F.lit("facility|"), F.trim("facility_id")).alias("record_key"), F.col("operator").alias("name"))
@@ -84,5 +130,5 @@ def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(sized, "doc_id", "n_tokens", CAPACITY)
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p6_found": p6_found, "p8_ids": p8_ids, "p9_containers": p9_containers}
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p5_matches": p5_matches, "p6_found": p6_found, "p8_ids": p8_ids, "p9_containers": p9_containers}
 SQL: dict[str, str] = {}
