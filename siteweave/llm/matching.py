@@ -38,7 +38,7 @@ from siteweave.functions.text import FOLD_FROM, FOLD_TO
 from siteweave.llm.addresses import PLACE, read_address, same_place
 from siteweave.llm.names import LEGAL, TRADES, slips
 from siteweave.operators.spatial import near_pairs
-from siteweave.storage import Scratch
+from siteweave.storage import Scratch, ship
 
 NEAR_M, MID_M, FAR_M = 60.0, 150.0, 250.0
 MIN_CONFIDENCE = 0.5
@@ -213,6 +213,7 @@ def _label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def rule_confidence(labelled: DataFrame) -> DataFrame:
     """(rule, confidence) from pairs (left_name, right_name, left_address, right_address, metres, hit 0 or 1); a row for every rule."""
+    ship(labelled.sparkSession)
     seen = labelled.mapInPandas(_label, "rule string, hit int").groupBy("rule").agg(F.sum("hit").alias("hits"), F.count("*").alias("n"))
     every = labelled.sparkSession.createDataFrame([(r,) for r in RULES], "rule string")
     smoothed = (F.coalesce("hits", F.lit(0)) + 1) / (F.coalesce("n", F.lit(0)) + 2)
