@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from siteweave.functions.keys import any_timestamp, key_part, record_key
 from siteweave.llm.addresses import record_pairs, same_addresses
 from siteweave.llm.components import groups
+from siteweave.llm.languages import label_language, sentence_languages
 from siteweave.llm.matching import MIN_CONFIDENCE, match_sources, rule_confidence
 from siteweave.llm.names import link_names, words_of
 from siteweave.llm.packing import CAPACITY, pack
@@ -130,5 +131,17 @@ def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(sized, "doc_id", "n_tokens", CAPACITY)
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p5_matches": p5_matches, "p6_found": p6_found, "p8_ids": p8_ids, "p9_containers": p9_containers}
+def p10_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_languages(table(spark, sf_dir, "documents"))
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    present = sentence_languages(documents).groupBy("doc_id").agg(F.collect_set("lang").alias("langs"))
+    labels = documents.select("doc_id", label_language(F.col("lang")).alias("label"))
+    doubtful = (F.size("langs") > 1) | F.col("label").isNull() | ~F.array_contains("langs", F.col("label"))
+    return present.join(labels, "doc_id").where(doubtful).select("doc_id", F.explode("langs").alias("lang")).distinct()
+
+
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p5_matches": p5_matches, "p6_found": p6_found, "p8_ids": p8_ids, "p9_containers": p9_containers, "p10_found": p10_found, "p10_segments": p10_segments}
 SQL: dict[str, str] = {}
