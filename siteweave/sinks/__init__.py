@@ -1 +1 @@
-"""Part of siteweave."""
+"""Published tables, feature collections and their description."""

@@ -1 +1 @@
-"""Part of siteweave."""
+"""Structured Streaming over snapshot feeds."""
