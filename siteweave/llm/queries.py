@@ -14,7 +14,7 @@ from siteweave.llm.names import link_names, words_of
 from siteweave.llm.packing import CAPACITY, pack
 from siteweave.llm.survivor import survivors
 from siteweave.llm.tokenizer import encode_documents
-from siteweave.llm.usable import area_usable, text_usable, valid_deliveries
+from siteweave.llm.usable import STAND_INS, area_usable, text_usable, valid_deliveries
 from siteweave.storage import table
 
 #: Sorts after every key in plain byte order, so that a facility is never the least vertex of a group with records.
@@ -144,4 +144,27 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p5_matches": p5_matches, "p6_found": p6_found, "p8_ids": p8_ids, "p9_containers": p9_containers, "p10_found": p10_found, "p10_segments": p10_segments}
-SQL: dict[str, str] = {}
+_VALID = """v AS (SELECT * FROM (SELECT *, lower(trim(source)) AS src, lower(trim(source_id)) AS sid, row_number() OVER (PARTITION BY lower(trim(source)), lower(trim(source_id)) ORDER BY updated_at DESC, row_id DESC) AS n FROM records) WHERE n = 1)"""
+_BARE = r"regexp_replace(lower({}), '^[^\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}]+$', '', 'g')"
+_USABLE = "({b} <> '' AND {b} NOT IN (" + ", ".join(f"'{w}'" for w in STAND_INS) + "))"
+
+SQL: dict[str, str] = {
+    "p1_found": """
+WITH RECURSIVE keyed AS (SELECT lower(trim(left_source)) || '|' || nullif(lower(trim(left_source_id)), '') AS l, lower(trim(right_source)) || '|' || nullif(lower(trim(right_source_id)), '') AS r, lower(trim(decision)) AS d, reviewed_at, review_id FROM dedupe_review),
+latest AS (SELECT least(l, r) AS a, greatest(l, r) AS b, arg_max(d, struct_pack(t := reviewed_at, i := review_id)) AS d FROM keyed WHERE l IS NOT NULL AND r IS NOT NULL AND l <> r AND d IS NOT NULL GROUP BY 1, 2),
+links AS (SELECT DISTINCT trim(facility_id) AS f, lower(trim(source)) || '|' || lower(trim(source_id)) AS k FROM facility_sources WHERE trim(facility_id) <> ''),
+hub AS (SELECT f, min(k) AS h FROM links GROUP BY 1),
+tie AS (SELECT a, b FROM latest WHERE d = 'match' UNION SELECT k, h FROM links JOIN hub USING (f) WHERE k <> h),
+edge AS (SELECT a, b FROM tie UNION SELECT b, a FROM tie),
+walk AS (SELECT a AS k, a AS seen FROM edge UNION SELECT walk.k, edge.b FROM walk JOIN edge ON edge.a = walk.seen)
+SELECT k AS record_key, min(seen) AS group_key FROM walk GROUP BY 1
+""",
+    "p3_found": f"""
+WITH {_VALID}, l AS (SELECT DISTINCT trim(facility_id) AS facility_id, lower(trim(source)) AS src, lower(trim(source_id)) AS sid FROM facility_sources),
+m AS (SELECT * FROM l WHERE facility_id IN (SELECT facility_id FROM l GROUP BY 1 HAVING count(*) > 1)),
+t AS (SELECT lower(trim(source)) AS src, min(trust_rank) AS rank FROM source_trust GROUP BY 1),
+r AS (SELECT m.facility_id, m.src, m.sid, coalesce(t.rank, 1000000) AS rank, v.updated_at, {_BARE.format("v.name")} AS n, {_BARE.format("v.address")} AS a, v.footprint_sqm AS f FROM m JOIN v USING (src, sid) LEFT JOIN t USING (src)),
+u AS (SELECT 'name' AS field, * FROM r WHERE {_USABLE.format(b="n")} UNION ALL SELECT 'address', * FROM r WHERE {_USABLE.format(b="a")} UNION ALL SELECT 'footprint_sqm', * FROM r WHERE NOT isnan(f) AND f >= 1 AND f <= 5e6 AND NOT regexp_full_match(CAST(CAST(f AS BIGINT) AS VARCHAR), '9{{4,}}') AND CAST(f AS BIGINT) NOT IN (12345, 123456, 1234567))
+SELECT facility_id, field, src AS source, sid AS source_id FROM (SELECT *, row_number() OVER (PARTITION BY facility_id, field ORDER BY rank, updated_at DESC, sid, src) AS k FROM u) WHERE k = 1
+""",
+}
