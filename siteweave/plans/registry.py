@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from siteweave.plans import places, snapshots
+from siteweave.plans import domain, places, relational, snapshots
 
-MODULES = (places, snapshots)
+MODULES = (places, snapshots, domain, relational)
 
 
 def queries():
