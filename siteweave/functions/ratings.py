@@ -45,15 +45,19 @@ def postcode_prefix(text: Column) -> Column:
 
 
 def power_mentions(text: Column) -> Column:
-    """Array of (value_mw, basis, quote): figures of 0.5 to 1,500 MW that words about load stand near."""
-    before, number, after = (F.regexp_extract_all(text, F.lit(MENTION), F.lit(k)) for k in (1, 2, 3))
-    whole = F.regexp_extract_all(text, F.lit(MENTION), F.lit(0))
-    zipped = F.arrays_zip(before.alias("before"), number.alias("number"), after.alias("after"), whole.alias("whole"))
+    """Array of (value_mw, basis, quote): figures of 0.5 to 1,500 MW that words about load stand near.
+
+    No figure's surroundings cross a full stop or a line end, so only such parts of the
+    text as name the unit are searched; each figure's parts are read from its own match.
+    """
+    parts = F.filter(F.split(text, r"\.(?![0-9])|\n(?!\s*(?i:MW|megawatt))"), lambda p: p.rlike("(?i)MW|megawatt"))
+    whole = F.flatten(F.transform(parts, lambda p: F.regexp_extract_all(p, F.lit(MENTION), F.lit(0))))
 
     def mention(m: Column) -> Column:
-        near = F.lower(F.concat_ws(" ", m["before"], m["after"]))
+        near = F.lower(F.concat_ws(" ", F.regexp_extract(m, MENTION, 1), F.regexp_extract(m, MENTION, 3)))
         basis = F.when(near.contains("critical") | near.contains("it load"), "critical_load").otherwise("total_facility")
-        return F.struct(number_of(m["number"]).alias("value_mw"), basis.alias("basis"), F.substring(F.regexp_replace(F.trim(m["whole"]), r"\s+", " "), 1, 400).alias("quote"), near.rlike(LOAD_HINT).alias("about_load"))
+        value = number_of(F.regexp_extract(m, MENTION, 2))
+        return F.struct(value.alias("value_mw"), basis.alias("basis"), F.substring(F.regexp_replace(F.trim(m), r"\s+", " "), 1, 400).alias("quote"), near.rlike(LOAD_HINT).alias("about_load"))
 
-    kept = F.filter(F.transform(zipped, mention), lambda m: m["about_load"] & m["value_mw"].between(0.5, 1500.0))
+    kept = F.filter(F.transform(whole, mention), lambda m: m["about_load"] & m["value_mw"].between(0.5, 1500.0))
     return F.transform(kept, lambda m: F.struct(m["value_mw"].alias("value_mw"), m["basis"].alias("basis"), m["quote"].alias("quote")))
