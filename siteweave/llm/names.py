@@ -21,6 +21,7 @@ repeated rows count once; empty tables give no rows; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -32,7 +33,8 @@ from siteweave.storage import Scratch
 MIN_SUFFIX = 3
 #: Organisations that may share a suffix before it is refined, and after.
 COMMON = 12
-MIN_RATIO = 0.8
+#: Share of the coined word that the name must have as a common subsequence; a short form of half the word still has that.
+MIN_RATIO = 0.5
 
 LEGAL = ("inc", "incorporated", "llc", "lp", "llp", "ltd", "limited", "corp", "corporation", "co", "company", "holdings", "holding", "group", "plc", "the", "and")
 STATES = (
@@ -121,26 +123,37 @@ def short_forms(word: str) -> set[str]:
     return {f for f in cut | skeletons(word) if len(f) >= MIN_SUFFIX and f != word}
 
 
+@lru_cache(maxsize=4096)
+def _writings(coined: str, trade: str) -> tuple[tuple[str, ...], dict[str, float], tuple[str, ...]]:
+    """Full writings of a listed name, writings with a short form and their weight, and the long words for its trade."""
+    trades = next((t for t in TRADES if t[0] == trade or trade in t), (trade,))
+    full = (coined, *(coined + t for t in trades), *(t + coined for t in trades))
+    short = {}
+    for form in short_forms(coined):
+        for t in trades:
+            for text in (form + t, t + form):
+                short[text] = max(short.get(text, 0.0), 1 + len(form) / 100)
+    return full, short, tuple(t for t in trades if len(t) >= 7)
+
+
 def closeness(text: str, coined: str, trade: str) -> float:
-    """0 for another body; else larger the closer: 3 and up for the word itself, 2 for a slip, 1 for a short form."""
-    writings = next((t for t in TRADES if t[0] == trade or trade in t), (trade,))
-    forms = [coined, *(coined + t for t in writings), *(t + coined for t in writings)]
-    ratio = max(lcs_length(text, f) / max(len(text), len(f)) for f in forms)
-    if text in forms:
-        return 3 + ratio
-    if ratio >= MIN_RATIO and len(coined) >= 5 and any(within_one_slip(text, f) for f in forms):
-        return 2 + ratio
-    for short in short_forms(coined):
-        if any(text in (short + t, t + short) for t in writings):
-            return 1 + len(short) / 100
-    # A slip in a long word for the trade beside a short form, or one beside a slip in the coined word.
-    long = [t for t in writings if len(t) >= 7]
+    """0 for another body; else larger the closer: 3 for the word itself, 2 and up for a slip, 1 and up for a short form, below 1 for both."""
+    if lcs_length(text, coined) < MIN_RATIO * len(coined):
+        return 0.0
+    full, short, long = _writings(coined, trade)
+    if text in full:
+        return 3.0
+    if len(coined) >= 5 and any(within_one_slip(text, f) for f in full):
+        return 2 + max(lcs_length(text, f) / max(len(text), len(f)) for f in full)
+    if text in short:
+        return short[text]
+    # A slip in a long word for the trade beside one in the coined word, or beside a short form.
     for t in long:
         for head, tail in ((text[: len(coined) + d], text[len(coined) + d :]) for d in (-1, 0, 1)):
-            if len(coined) >= 6 and within_one_slip(head, coined) and within_one_slip(tail, t):
+            if len(coined) >= 6 and within_one_slip(tail, t) and within_one_slip(head, coined):
                 return 0.9
-        for short in short_forms(coined):
-            if len(short) >= 5 and text.startswith(short) and within_one_slip(text[len(short) :], t):
+        for form in short_forms(coined):
+            if len(form) >= 5 and text.startswith(form) and within_one_slip(text[len(form) :], t):
                 return 0.5
     return 0.0
 
@@ -179,6 +192,8 @@ def link_names(names: DataFrame, listed: DataFrame) -> DataFrame:
     asked = asked.withColumn("block", F.explode(F.array("suffix", F.concat("suffix", F.lit("|"), "initial")))).select("ident", "block")
     pairs = asked.join(blocks, "block").select("ident", "body").distinct()
     pairs = pairs.join(bodies.select(F.col("ident").alias("body"), F.split("text", " ").alias("w")), "body")
+    # Few bytes but much work per row: spread over all tasks, which adaptive coalescing by size would not do.
+    pairs = pairs.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "ident", "body")
     pairs = pairs.select("ident", "body", F.col("w")[0].alias("coined"), F.array_join(F.slice("w", 2, 100), "").alias("trade"))
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

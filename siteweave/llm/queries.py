@@ -15,7 +15,7 @@ from siteweave.llm.packing import CAPACITY, pack
 from siteweave.llm.survivor import survivors
 from siteweave.llm.tokenizer import encode_documents
 from siteweave.llm.usable import STAND_INS, area_usable, text_usable, valid_deliveries
-from siteweave.storage import table
+from siteweave.storage import Scratch, table
 
 #: Sorts after every key in plain byte order, so that a facility is never the least vertex of a group with records.
 FACILITY_MARK = "\U0010ffff"
@@ -114,10 +114,13 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     peering = table(spark, sf_dir, "peeringdb_fac").select(record_key(F.lit("peeringdb"), F.col("id")).alias("record_key"), F.col("org_name").alias("name"))
     units = table(spark, sf_dir, "nei_units").select(record_key(F.lit("epa_nei"), F.col("eis_facility_id")).alias("record_key"), F.col("company_name").alias("name"))
     rows = facilities.unionByName(peering).unionByName(units).where(F.col("record_key").isNotNull() & F.col("name").isNotNull())
-    # Rows with the same name text are counted before anything else is done with the text.
-    rows = rows.groupBy("record_key", "name").count().withColumn("text", words_of(F.col("name"))).where(F.col("text") != "").select("record_key", "text", "count")
+    scratch = Scratch(spark, "operators")
+    # Equal names are counted and folded once, before anything else is done with them.
+    counted = scratch.cut(rows.groupBy("record_key", "name").count())
+    texts = scratch.cut(counted.select("name").distinct().withColumn("text", words_of(F.col("name"))).where(F.col("text") != ""))
     listed = table(spark, sf_dir, "operators").select(F.col("operator_id").alias("id"), F.col("operator_name").alias("name"))
-    linked = rows.join(link_names(rows, listed), "text").groupBy("record_key", "id").agg(F.sum("count").alias("n"))
+    known = texts.join(link_names(texts, listed), "text").select("name", "id")
+    linked = counted.join(known, "name").groupBy("record_key", "id").agg(F.sum("count").alias("n"))
     most = F.max(F.struct("n", (-F.col("id")).alias("nid")))
     return linked.groupBy("record_key").agg(most.alias("m")).select("record_key", (-F.col("m.nid")).alias("operator_id"))
 
