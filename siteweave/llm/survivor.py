@@ -1,8 +1,9 @@
 """The surviving values of a group of duplicate records, field by field.
 
 A record dominates another of its group if it has every usable field that the
-other has, is trusted at least as much and is at least as recent, and is better
-in one of these. The undominated records are the first layer, the undominated
+other has, is trusted at least as much and is at least as recent, and is more
+trusted, later or, both being equal, has the smaller id; so a tie of the policy is
+never decided by fields that are not asked for. The undominated records are the first layer, the undominated
 ones of the rest the second, and so on. Within a layer records are ordered by
 the policy: most trusted, then latest, then smallest id. The first record of the
 first layer is the base; a field that it lacks is filled from the records after
@@ -36,7 +37,7 @@ NO_TRUST = 1 << 30
 
 def _dominates(d: Column, c: Column) -> Column:
     alike = (d["mask"].bitwiseAND(c["mask"]) == c["mask"]) & (d["trust"] <= c["trust"]) & (d["ago"] <= c["ago"])
-    better = (d["mask"] != c["mask"]) | (d["trust"] < c["trust"]) | (d["ago"] < c["ago"]) | (d["id"] < c["id"])
+    better = (d["trust"] < c["trust"]) | (d["ago"] < c["ago"]) | (d["id"] < c["id"])
     return alike & better
 
 
