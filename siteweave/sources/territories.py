@@ -10,9 +10,9 @@ SCHEMA = "features ARRAY<STRUCT<properties: STRUCT<Acronym: STRING, Utility: STR
 
 def read_territories(spark: SparkSession, path: str) -> DataFrame:
     """(utility, utility_name, utility_type, geometry): the acronym, or the name where it is blank; shapes as text."""
-    feature = F.explode("features")
-    rows = spark.read.option("multiLine", True).schema(SCHEMA).json(path).select(feature.alias("f")).select("f.properties.*", "f.geometry.*")
-    return rows.select(F.coalesce(F.nullif(F.trim("Acronym"), F.lit("")), F.col("Utility")).alias("utility"), F.col("Utility").alias("utility_name"), F.col("Type").alias("utility_type"), shape_text(F.col("type"), F.col("coordinates")).alias("geometry"))
+    f = spark.read.option("multiLine", True).schema(SCHEMA).json(path).select(F.explode("features").alias("f"))
+    part = lambda name: F.col(f"f.properties.{name}")
+    return f.select(F.coalesce(F.nullif(F.trim(part("Acronym")), F.lit("")), part("Utility")).alias("utility"), part("Utility").alias("utility_name"), part("Type").alias("utility_type"), shape_text(F.col("f.geometry.type"), F.col("f.geometry.coordinates")).alias("geometry"))
 
 
 def shape_text(kind: Column, coordinates: Column) -> Column:
