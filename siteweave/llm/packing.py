@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from siteweave.storage import Scratch
 
 CAPACITY = 2_048
-#: Parts into which the items of one length are ranked.
+#: Parts into which the items of one length are ranked, at least; as many as shuffle partitions where these are more.
 RANK_PARTS = 64
 
 
@@ -87,7 +87,8 @@ def pack(items: DataFrame, key: str, size: str, capacity: int = CAPACITY) -> Dat
     pieces = F.transform(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / capacity).cast("int")), lambda i: F.struct(i.alias("piece"), (i * F.lit(capacity)).cast("bigint").alias("first"), F.least(F.lit(capacity).cast("bigint"), F.col("n") - i * F.lit(capacity)).alias("length")))
     cut = rows.withColumn("p", F.explode(pieces)).select("k", "p.piece", "p.first", "p.length")
     # Rank within (length, part), then the parts' offsets: no length, however common, is ranked in one task.
-    parted = cut.withColumn("part", F.pmod(F.xxhash64("k", "piece"), F.lit(RANK_PARTS)).cast("int"))
+    parts = max(RANK_PARTS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parted = cut.withColumn("part", F.pmod(F.xxhash64("k", "piece"), F.lit(parts)).cast("int"))
     ranked = scratch.cut(parted.withColumn("r", F.row_number().over(Window.partitionBy("length", "part").orderBy("k", "piece")) - 1))
     sizes = ranked.groupBy("length", "part").agg(F.count("*").alias("c"))
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
