@@ -104,7 +104,10 @@ def _judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         kept, places = [], []
         for r in batch.to_dict("records"):
-            akin = any(_akin(x, y) for x in r["a_words"] for y in r["b_words"])
+            # A town that only one side names is no sign of the same operator.
+            towns = [t for t in (r["a_city"], r["b_city"]) if t]
+            mine, theirs = ([w for w in r[f"{side}_words"] if not any(w in t for t in towns)] for side in "ab")
+            akin = any(_akin(x, y) for x in mine for y in theirs)
             kept.append(akin)
             a, b = tuple(r[f"a_{c}"] for c in PLACE), tuple(r[f"b_{c}"] for c in PLACE)
             places.append(0 if not akin or not a[0] or not b[0] else 1 if same_place(a, b) else -1)
