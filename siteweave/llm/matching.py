@@ -1,8 +1,7 @@
 """Records of the same site in several sources that share no identifier.
 
 A cascade of deterministic rules, from strong to weak. Each pass joins exactly on
-a weaker combination of attributes and checks what it found; what a pass has
-resolved takes no part in later passes against sites it is known not to be:
+a weaker combination of attributes and checks what it found:
 
 1. site code and house number, same operator;
 2. site code, same operator;
@@ -10,8 +9,9 @@ resolved takes no part in later passes against sites it is known not to be:
 4. up to 60 m, then 150 m apart, same operator, nothing known against it;
 5. up to 250 m apart, likewise, and no second site of that operator about.
 
-After the passes on codes and addresses a record carries the codes and house
-numbers of the records it was resolved with; a pair that these put on two sites
+Records that a pass has resolved are anti-joined from the side that asks in the next
+passes. After the passes on codes and addresses a record carries the codes and house
+numbers of the records it was resolved with; a pair that is near or has a third in common that these put on two sites
 is out, one that they put on one site is in. Of the sites of one operator around
 a record without code and address the nearest is the one it can be matched to.
 
@@ -97,6 +97,7 @@ def profiles(records: DataFrame) -> DataFrame:
 
 
 SIDE = ("src", "codes", "words", *PLACE)
+JUDGED = "left string, right string, metres double, place int"
 
 
 def _judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -134,36 +135,36 @@ def match_sources(records: DataFrame) -> DataFrame:
     spark = records.sparkSession
     scratch = Scratch(spark, "matching")
     people = scratch.cut(profiles(records).dropDuplicates(["key"]))
-    # Exact joins on attribute combinations; a block is a code, or a house number with one more part of the address.
-    parts = F.concat(
-        F.transform("codes", lambda c: F.concat(F.lit("c|"), c)),
-        F.when(F.col("num") == "", F.array().cast("array<string>")).otherwise(
-            F.filter(F.array(*[F.when(F.col(c) != "", F.concat(F.lit(f"{c}|"), "num", F.lit("|"), part)) for c, part in (("zip", F.col("zip")), ("city", F.col("city")), ("street", F.substring("street", 1, 3)), ("street", F.substring("street", -3, 3)))]), lambda x: x.isNotNull())
-        ),
-    )
-    blocks = people.select("key", "src", F.explode(parts).alias("block"))
-    other = blocks.select(F.col("key").alias("right"), F.col("src").alias("src2"), "block")
-    joined = blocks.join(other, "block").where((F.col("key") < F.col("right")) & (F.col("src") != F.col("src2"))).select(F.col("key").alias("left"), "right", F.lit(None).cast("double").alias("metres"))
-    close = near_pairs(people.select(F.col("key").alias("id"), "lat", "lon"), FAR_M).select(F.col("left_id").alias("left"), F.col("right_id").alias("right"), F.col("distance_m").alias("metres"))
-    candidates = joined.unionByName(close).groupBy("left", "right").agg(F.min("metres").alias("metres"))
-    judged = _sides(candidates, people).mapInPandas(_judge, "left string, right string, metres double, place int")
-    judged = scratch.cut(judged)
     known = people.select("key", "codes", F.when(F.col("num") != "", F.array("num")).otherwise(F.array().cast("array<string>")).alias("nums"))
-    strong = scratch.cut(_with(judged, known).withColumn("rule", _strong_rule()).where(F.col("rule").isNotNull()).select("left", "right", "rule", "a_codes", "b_codes", "a_nums", "b_nums"))
+    strong: DataFrame | None = None
+    for rule, blocks, holds in _passes():
+        keyed = people.select("key", "src", F.explode(blocks).alias("block"))
+        # Resolved records are looked up by open ones, but no longer by each other.
+        ask = keyed if strong is None else keyed.join(strong.select(F.explode(F.array("left", "right")).alias("key")).distinct(), "key", "left_anti")
+        found = ask.join(keyed.select(F.col("key").alias("other"), F.col("src").alias("src2"), "block"), "block").where(F.col("src") != F.col("src2"))
+        pairs = found.select(F.least("key", "other").alias("left"), F.greatest("key", "other").alias("right"), F.lit(None).cast("double").alias("metres")).distinct()
+        judged = _sides(pairs, people).mapInPandas(_judge, JUDGED)
+        hits = _with(judged, known).where(holds).select("left", "right", F.lit(rule).alias("rule"), "a_codes", "b_codes", "a_nums", "b_nums")
+        strong = scratch.cut(hits if strong is None else strong.unionByName(hits))
+    close = near_pairs(people.select(F.col("key").alias("id"), "lat", "lon"), FAR_M).select(F.col("left_id").alias("left"), F.col("right_id").alias("right"), F.col("distance_m").alias("metres"))
+    # Two records that were resolved with the same third are looked at too, wherever they are.
+    ends = strong.select(F.col("left").alias("via"), F.col("right").alias("end")).unionByName(strong.select(F.col("right").alias("via"), F.col("left").alias("end")))
+    linked = ends.join(ends.withColumnRenamed("end", "other"), "via").where(F.col("end") < F.col("other")).select(F.col("end").alias("left"), F.col("other").alias("right"), F.lit(None).cast("double").alias("metres"))
+    close = close.unionByName(linked).groupBy("left", "right").agg(F.min("metres").alias("metres"))
+    judged = scratch.cut(_sides(close.join(strong.select("left", "right"), ["left", "right"], "left_anti"), people).mapInPandas(_judge, JUDGED))
     # What the resolved records of a site know together. Sites have few records each; sets stay small.
     told = strong.select(F.col("left").alias("key"), F.col("b_codes").alias("codes"), F.col("b_nums").alias("nums")).unionByName(strong.select(F.col("right").alias("key"), F.col("a_codes").alias("codes"), F.col("a_nums").alias("nums")))
     facts = known.unionByName(told).select("key", F.explode(F.concat(F.transform("codes", lambda c: F.concat(F.lit("c"), c)), F.transform("nums", lambda n: F.concat(F.lit("n"), n)))).alias("fact")).distinct()
     gathered = facts.groupBy("key").agg(F.collect_set("fact").alias("facts"))
     starts = lambda sign: F.filter(F.coalesce("facts", F.array().cast("array<string>")), lambda f: f.startswith(sign))
     enriched = people.select("key").join(gathered, "key", "left").select("key", starts("c").alias("codes"), starts("n").alias("nums"))
-    open_pairs = judged.where(F.col("metres").isNotNull() & (F.col("place") >= 0)).join(strong.select("left", "right"), ["left", "right"], "left_anti")
-    weak = _with(open_pairs, enriched)
+    weak = _with(judged.where(F.col("place") >= 0), enriched)
     one_site = _shares("a_codes", "b_codes") | (_shares("a_nums", "b_nums") & ~_apart("a_codes", "b_codes"))
     two_sites = _apart("a_codes", "b_codes") | (_apart("a_nums", "b_nums") & ~_shares("a_codes", "b_codes"))
     weak = scratch.cut(weak.withColumn("one", one_site).where(F.col("one") | ~two_sites))
     # Around each record: the nearest site that knows its code or number, and whether there are two such sites.
     around = weak.select(F.col("left").alias("key"), "metres", F.col("b_codes").alias("codes"), F.col("b_nums").alias("nums")).unionByName(weak.select(F.col("right").alias("key"), "metres", F.col("a_codes").alias("codes"), F.col("a_nums").alias("nums")))
-    around = around.where((F.size("codes") > 0) | (F.size("nums") > 0))
+    around = around.where(F.col("metres").isNotNull() & ((F.size("codes") > 0) | (F.size("nums") > 0)))
     first = lambda c: F.array_min(c)
     nearest = around.groupBy("key").agg(F.min_by(F.struct("codes", "nums", "metres"), F.struct("metres", "codes", "nums")).alias("z"), (F.min(first("codes")) != F.max(first("codes"))).alias("c2"), (F.min(first("nums")) != F.max(first("nums"))).alias("n2"))
     nearest = nearest.select("key", "z.codes", "z.nums", (F.coalesce("c2", F.lit(False)) | F.coalesce("n2", F.lit(False))).alias("several"))
@@ -190,9 +191,18 @@ def _with(pairs: DataFrame, facts: DataFrame) -> DataFrame:
     return pairs.join(a, "left").join(b, "right")
 
 
-def _strong_rule() -> Column:
-    code = _shares("a_codes", "b_codes")
-    return F.when(code & (F.col("place") == 1), "code_and_number").when(code, "code").when((F.col("place") == 1) & ~_apart("a_codes", "b_codes"), "address")
+def _passes() -> list[tuple[str, Column, Column]]:
+    """(rule, keys of its exact join, what must hold of a pair) of the passes on codes and addresses, from strong to weak."""
+    none = F.array().cast("array<string>")
+    numbered = F.col("num") != ""
+    ends = [("zip", F.col("zip")), ("city", F.col("city")), ("street", F.substring("street", 1, 3)), ("street", F.substring("street", -3, 3))]
+    partial = F.filter(F.array(*[F.when(F.col(c) != "", F.concat_ws("|", F.lit(c), "num", part)) for c, part in ends]), lambda x: x.isNotNull())
+    code, same = _shares("a_codes", "b_codes"), F.col("place") == 1
+    return [
+        (RULES[0], F.when(numbered, F.transform("codes", lambda c: F.concat_ws("|", c, "num"))).otherwise(none), code & same),
+        (RULES[1], F.col("codes"), code),
+        (RULES[2], F.when(numbered, partial).otherwise(none), same & ~_apart("a_codes", "b_codes")),
+    ]
 
 
 def _label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
