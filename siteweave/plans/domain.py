@@ -12,20 +12,12 @@ from siteweave.operators import analytics, classify, evidence, lookups, power
 from siteweave.operators.spatial import near_pairs
 from siteweave.schemas import facility_rules, violations
 from siteweave.sources import nei, osm, peeringdb
+from siteweave.plans.catalogue import Catalogue
 from siteweave.storage import table
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
+catalogue = Catalogue()
+query = catalogue.query
+QUERIES, SQL = catalogue.queries, catalogue.sql
 
 
 def _values(rows) -> str:

@@ -9,20 +9,12 @@ from siteweave.operators import analytics
 from siteweave.operators.lookups import range_lookup
 from siteweave.schemas import conform
 from siteweave.sources.filings import month_windows as windows
+from siteweave.plans.catalogue import Catalogue
 from siteweave.storage import table
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return add
+catalogue = Catalogue()
+query = catalogue.query
+QUERIES, SQL = catalogue.queries, catalogue.sql
 
 
 @query("""
