@@ -19,6 +19,8 @@ def record_key(source: Column, source_id: Column) -> Column:
 def any_timestamp(c: Column) -> Column:
     """Text in ISO notation with Z, an offset or none (then UTC), or epoch seconds; else null."""
     text = F.trim(c)
+    # A clock time without zone is UTC whatever the session's zone.
+    text = F.when(text.rlike(r":\d{2}(?:\.\d+)?$") & ~text.rlike(r"[+-]\d{2}:\d{2}$"), F.concat(text, F.lit("Z"))).otherwise(text)
     return F.coalesce(
         text.try_cast("timestamp"),
         F.when(text.rlike(r"^\d{9,11}$"), F.timestamp_seconds(text.try_cast("bigint"))),

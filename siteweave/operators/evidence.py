@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siteweave.operators.lookups import BROADCAST_ROWS
 from siteweave.operators.spatial import containing_regions, haversine_m, located
 from siteweave.storage import Scratch
 
@@ -12,8 +13,11 @@ from siteweave.storage import Scratch
 def by_phrase(facilities: DataFrame, overrides: DataFrame) -> DataFrame:
     """All facilities whose name (and operator, where one is given) contains an override's text in any case.
 
-    Overrides are entered by hand and few; they are broadcast and every facility is read once.
+    Overrides are entered by hand and few. A literal substring has no key to join on, so each
+    facility is read once against all of them; more than BROADCAST_ROWS are refused.
     """
+    if overrides.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
+        raise ValueError(f"more than {BROADCAST_ROWS} hand-entered overrides")
     small = F.broadcast(overrides.select(F.lower("name_contains").alias("_n"), F.lower("operator_contains").alias("_o"), *[c for c in overrides.columns if c not in ("name_contains", "operator_contains")]))
     hit = F.lower("name").contains(F.col("_n")) & (F.col("_o").isNull() | F.coalesce(F.lower("operator").contains(F.col("_o")), F.lit(False)))
     return facilities.join(small, hit).drop("_n", "_o")

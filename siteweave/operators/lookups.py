@@ -1,7 +1,7 @@
 """Joins with small ordered tables: ranges, boxes, aliases and ordered fallbacks.
 
-The table on the right is a dimension with a stated bound, so it is broadcast and
-the probed side is never shuffled for the join itself. Where several rows of it can
+The table on the right is a dimension; it is broadcast only up to a counted size,
+and then the probed side is never shuffled for the join itself. Where several rows of it can
 apply, the choice is made inside the row by an ordered aggregate over the few hits.
 """
 
@@ -16,6 +16,8 @@ from siteweave.functions.ratings import postcode_prefix
 from siteweave.functions.similarity import operator_key
 from siteweave.vocabulary import DEFAULT_YEAR, DENSITY_PRIORS, JURISDICTIONS, UNATTRIBUTED_LABEL
 
+#: Rows of a table that a plan here may send to every task; its size is counted first.
+BROADCAST_ROWS = 10_000
 STATE_CODES = tuple(row[0] for row in JURISDICTIONS)
 
 
@@ -34,9 +36,15 @@ def prior_of(facility_class: Column, year: Column) -> Column:
 
 
 def range_lookup(df: DataFrame, value: Column, ranges: DataFrame, low: str, high: str, take: str, into: str) -> DataFrame:
-    """``take`` of the range that holds the value; ranges are disjoint and bounded, others give null."""
-    small = F.broadcast(ranges.select(F.col(low).alias("_low"), F.col(high).alias("_high"), F.col(take).alias(into)))
-    return df.join(small, value.between(F.col("_low"), F.col("_high")), "left").drop("_low", "_high")
+    """``take`` of the range of whole numbers that holds the value; ranges are disjoint, gaps give null.
+
+    Up to BROADCAST_ROWS ranges go to every task; more of them are written out number by number for an equi-join.
+    """
+    rows = ranges.select(F.col(low).alias("_low"), F.col(high).alias("_high"), F.col(take).alias(into))
+    if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return df.join(F.broadcast(rows), value.between(F.col("_low"), F.col("_high")), "left").drop("_low", "_high")
+    each = rows.select(F.explode(F.sequence("_low", "_high")).alias("_low"), into)
+    return df.join(each, value == F.col("_low"), "left").drop("_low")
 
 
 def only_box(lat: Column, lon: Column, boxes: list[tuple[str, tuple[float, float, float, float]]]) -> Column:
@@ -66,16 +74,16 @@ def assign_state(df: DataFrame, zip_ranges: DataFrame, boxes: list, state: str,
 def resolve_operators(df: DataFrame, raw: str, aliases: DataFrame, unattributed: DataFrame, prefix: str = "") -> DataFrame:
     """Adds operator and operator_confidence: alias, unattributed, alias_token or unresolved, in that order.
 
-    Distinct texts are resolved once; the aliases (a few hundred) are broadcast.
+    Distinct texts are resolved once; whether the aliases are broadcast is left to their measured size.
     """
     texts = df.select(F.col(raw).alias("_raw")).where(F.trim(raw) != "").distinct().withColumn("_key", operator_key(F.col("_raw"))).where(F.col("_key") != "")
-    exact = F.broadcast(aliases.select(F.col("alias_key").alias("_k1"), F.col("canonical").alias("_exact")))
-    joined = F.broadcast(aliases.select(F.col("alias_key").alias("_k2"), F.col("canonical").alias("_joined")))
+    exact = aliases.select(F.col("alias_key").alias("_k1"), F.col("canonical").alias("_exact"))
+    joined = aliases.select(F.col("alias_key").alias("_k2"), F.col("canonical").alias("_joined"))
     texts = texts.join(exact, F.col("_key") == F.col("_k1"), "left").join(joined, F.replace("_key", F.lit(" "), F.lit("")) == F.col("_k2"), "left")
-    vehicles = F.broadcast(unattributed.groupBy().agg(F.collect_set("pattern").alias("_patterns")))
+    vehicles = F.broadcast(unattributed.groupBy().agg(F.collect_set("pattern").alias("_patterns")))  # one row
     texts = texts.join(vehicles).withColumn("_spv", F.exists("_patterns", lambda p: F.col("_key").contains(p) | p.contains(F.col("_key")))).drop("_patterns")
     # Whole-word containment through the words themselves: an alias is a candidate where its first word occurs.
-    heads = F.broadcast(aliases.where(F.col("alias_key").contains(" ") | (F.length("alias_key") >= 3)).select(F.split("alias_key", " ")[0].alias("_head"), "alias_key", "canonical", "ord"))
+    heads = aliases.where(F.col("alias_key").contains(" ") | (F.length("alias_key") >= 3)).select(F.split("alias_key", " ")[0].alias("_head"), "alias_key", "canonical", "ord")
     words = texts.where(F.col("_exact").isNull() & F.col("_joined").isNull() & ~F.col("_spv")).select("_raw", "_key", F.explode(F.array_distinct(F.split("_key", " "))).alias("_head"))
     inside = F.concat(F.lit(" "), "_key", F.lit(" ")).contains(F.concat(F.lit(" "), F.col("alias_key"), F.lit(" ")))
     weight = F.length(F.replace("alias_key", F.lit(" "), F.lit("")))

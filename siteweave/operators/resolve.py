@@ -128,7 +128,7 @@ def clusters_in_rounds(edges: DataFrame, forbidden: DataFrame, scratch: Scratch)
     """(v, cluster) of every vertex that merged into another, by deciding locally best edges together."""
     live = scratch.cut(edges.select("i", "j", F.struct(F.col("score").alias("s"), F.col("i").alias("a"), F.col("j").alias("b")).alias("w")))
     bans = scratch.cut(forbidden.select(F.least("i", "j").alias("p"), F.greatest("i", "j").alias("q")).distinct())
-    moves: list[DataFrame] = []
+    owner: DataFrame | None = None
     while not live.isEmpty():
         ends = live.select(F.col("i").alias("v"), "w").unionByName(live.select(F.col("j").alias("v"), "w"))
         # Highest score first, among equals the least pair: the score is negated to take one minimum.
@@ -140,7 +140,14 @@ def clusters_in_rounds(edges: DataFrame, forbidden: DataFrame, scratch: Scratch)
         banned = bans.withColumn("ban", F.lit(True))
         judged = scratch.cut(pairs.join(banned, ["p", "q"], "left"))
         merge = judged.where(F.col("ban").isNull()).select(F.col("q").alias("v"), F.col("p").alias("to"))
-        moves.append(merge)
+        # Who moved before follows where its cluster moves now.
+        moved_on = merge.select("v", F.col("to").alias("cluster"))
+        if owner is not None:
+            later = merge.select(F.col("v").alias("cluster"), F.col("to").alias("_to"))
+            moved_on = moved_on.unionByName(owner.join(later, "cluster", "left").select("v", F.coalesce("_to", "cluster").alias("cluster")))
+        after = scratch.cut(moved_on)
+        scratch.drop(owner)
+        owner = after
         refused = judged.where(F.col("ban")).select("p", "q")
 
         def moved(df: DataFrame, a: str, b: str, merge: DataFrame = merge) -> DataFrame:
@@ -153,19 +160,7 @@ def clusters_in_rounds(edges: DataFrame, forbidden: DataFrame, scratch: Scratch)
         next_live = scratch.cut(moved(kept, "i", "j"))
         scratch.drop(live, bans)
         live, bans = next_live, next_bans
-    spark = edges.sparkSession
-    if not moves:
-        return spark.createDataFrame([], "v string, cluster string")
-    # Follow the moves from the last round to the first: what a vertex moved to may itself have moved later.
-    final: DataFrame | None = None
-    for merge in reversed(moves):
-        if final is None:
-            final = merge.select("v", F.col("to").alias("cluster"))
-        else:
-            later = final.select(F.col("v").alias("to"), F.col("cluster").alias("_c"))
-            step = merge.join(later, "to", "left").select("v", F.coalesce("_c", "to").alias("cluster"))
-            final = step.unionByName(final)
-    return scratch.cut(final)
+    return owner if owner is not None else edges.sparkSession.createDataFrame([], "v string, cluster string")
 
 
 def _best(column: str, rank: str = "prio") -> Column:

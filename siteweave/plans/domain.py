@@ -281,11 +281,11 @@ _LINKED = """l AS (SELECT DISTINCT trim(facility_id) AS facility_id, lower(trim(
 v AS (SELECT * FROM (SELECT *, lower(trim(source)) AS src, lower(trim(source_id)) AS sid, row_number() OVER (PARTITION BY lower(trim(source)), lower(trim(source_id)) ORDER BY updated_at DESC, row_id DESC) AS r FROM records) WHERE r = 1)"""
 
 
-def _linked(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _linked(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Links with the given columns of each record's valid delivery; no other column is read or shuffled."""
     links = table(spark, sf_dir, "facility_sources").select(F.trim("facility_id").alias("facility_id"), key_part(F.col("source")).alias("src"), key_part(F.col("source_id")).alias("sid")).distinct()
-    rows = table(spark, sf_dir, "records").withColumn("src", key_part(F.col("source"))).withColumn("sid", key_part(F.col("source_id")))
-    keep = [c for c in rows.columns if c not in ("src", "sid")]
-    newest = rows.groupBy("src", "sid").agg(F.max_by(F.struct(*keep), F.struct("updated_at", "row_id")).alias("r")).select("src", "sid", "r.*")
+    rows = table(spark, sf_dir, "records").select(key_part(F.col("source")).alias("src"), key_part(F.col("source_id")).alias("sid"), "updated_at", "row_id", *columns)
+    newest = rows.groupBy("src", "sid").agg(F.max_by(F.struct(*columns), F.struct("updated_at", "row_id")).alias("r")).select("src", "sid", "r.*")
     return links.join(newest, ["src", "sid"])
 
 
@@ -298,7 +298,7 @@ SELECT facility_id, arg_min(clli, printf('%02d|%s|%s', p, src, sid)) FILTER (cll
 def pick_by_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each column of a facility from its most trusted record that has it, largest measures, its sources."""
     rank = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in v.SOURCE_PRIORITY.items() for x in pair]), F.col("src")), F.lit(v.OTHER_PRIORITY))
-    rows = _linked(spark, sf_dir).withColumn("prio", rank)
+    rows = _linked(spark, sf_dir, "clli", "website", "postcode", "footprint_sqm", "pdb_net_count").withColumn("prio", rank)
     best = lambda c: F.expr(f"min_by({c}, struct(prio, src, sid)) FILTER (WHERE {c} IS NOT NULL)").alias(c)
     most = lambda c: F.max(F.nanvl(c, F.lit(None).cast("double"))).alias(c)
     return rows.groupBy("facility_id").agg(best("clli"), best("website"), best("postcode"), most("footprint_sqm"), most("pdb_net_count"), F.array_join(F.array_sort(F.collect_set("src")), ",").alias("source_list"), F.count_distinct("src").cast("int").alias("n_sources"))
@@ -309,7 +309,7 @@ WITH {_LINKED} SELECT l.facility_id, arg_max(l.src || '|' || l.sid, printf('%020
 """)
 def anchor_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A3: the record with the largest footprint of every facility."""
-    rows = _linked(spark, sf_dir).where(F.nanvl("footprint_sqm", F.lit(None).cast("double")) > 0)
+    rows = _linked(spark, sf_dir, "footprint_sqm").where(F.nanvl("footprint_sqm", F.lit(None).cast("double")) > 0)
     return rows.groupBy("facility_id").agg(F.max_by(F.concat_ws("|", "src", "sid"), F.struct("footprint_sqm", "src", "sid")).alias("anchor"))
 
 
@@ -351,7 +351,7 @@ def _facilities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumns({c: clean(F.col(c)) for c in numeric})
 
 
-@query(f"WITH {_PRIORS}, {_FAC}, {_PRIOR} SELECT facility_id, wm AS w_mid, pm AS pue_mid FROM pf")
+@query(f"WITH {_PRIORS}, {_FAC}, {_PRIOR} SELECT facility_id, CAST(wm AS DOUBLE) AS w_mid, CAST(pm AS DOUBLE) AS pue_mid FROM pf")
 def prior_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The density row of each facility's class and year."""
     rows = table(spark, sf_dir, "facilities").withColumn("p", lookups.prior_of(F.col("facility_class"), F.col("year_built")))
@@ -531,7 +531,7 @@ SELECT (SELECT count(*) FROM e) AS n, (SELECT quantile_cont(err, 0.5) FROM e) AS
 """)
 def error_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Median, mode, worst case, and the correlation without it."""
-    rows = _history(spark, sf_dir).where(F.col("created_year").isNotNull()).withColumn("noise", F.col("id") % 97 + F.col("created_year")).withColumn("err", F.col("seen_year") - F.col("created_year"))
+    rows = _history(spark, sf_dir).where(F.col("created_year").isNotNull()).withColumn("noise", F.col("id") % 97 + F.col("created_year")).withColumn("err", (F.col("seen_year") - F.col("created_year")).cast("bigint"))
     return analytics.error_profile(rows, "err", "created_year", "noise", "id").select("n", "median_error", "modal_error", "worst", F.round("corr_without_worst", 9).alias("corr_without_worst"))
 
 

@@ -248,3 +248,14 @@ def test_stream(spark, tmp_path):
     batches = len(list((tmp_path / "check" / "commits").glob("[0-9]*")))
     assert rows(feed.latest(spark, f"{tmp_path}/out", batches), "id", "version") == [("a", 2), ("b", 1), ("c", 1)]
     assert feed.deliveries_by_window(spark.read.schema(schema).option("recursiveFileLookup", True).parquet(f"{tmp_path}/in"), "delivered", ["id"]).count() == 4
+
+
+def test_range_lookup_beyond_the_broadcast_bound(spark, monkeypatch):
+    from siteweave.operators import lookups
+
+    ranges = spark.createDataFrame([(1, 3, "a"), (5, 9, "b")], "low int, high int, name string")
+    df = spark.createDataFrame([(i,) for i in (None, 0, 1, 3, 4, 5, 9, 10)], "x int")
+    want = rows(lookups.range_lookup(df, F.col("x"), ranges, "low", "high", "name", "got"))
+    assert want == sorted([(None, None), (0, None), (1, "a"), (3, "a"), (4, None), (5, "b"), (9, "b"), (10, None)], key=repr)
+    monkeypatch.setattr(lookups, "BROADCAST_ROWS", 1)
+    assert rows(lookups.range_lookup(df, F.col("x"), ranges, "low", "high", "name", "got")) == want
