@@ -167,7 +167,7 @@ WITH {_VALID}, l AS (SELECT DISTINCT trim(facility_id) AS facility_id, lower(tri
 m AS (SELECT * FROM l WHERE facility_id IN (SELECT facility_id FROM l GROUP BY 1 HAVING count(*) > 1)),
 t AS (SELECT lower(trim(source)) AS src, min(trust_rank) AS rank FROM source_trust GROUP BY 1),
 r AS (SELECT m.facility_id, m.src, m.sid, coalesce(t.rank, 1000000) AS rank, v.updated_at, {_BARE.format("v.name")} AS n, {_BARE.format("v.address")} AS a, v.footprint_sqm AS f FROM m JOIN v USING (src, sid) LEFT JOIN t USING (src)),
-u AS (SELECT 'name' AS field, * FROM r WHERE {_USABLE.format(b="n")} UNION ALL SELECT 'address', * FROM r WHERE {_USABLE.format(b="a")} UNION ALL SELECT 'footprint_sqm', * FROM r WHERE NOT isnan(f) AND f >= 1 AND f <= 5e6 AND NOT regexp_full_match(CAST(CAST(f AS BIGINT) AS VARCHAR), '9{{4,}}') AND CAST(f AS BIGINT) NOT IN (12345, 123456, 1234567))
+u AS (SELECT 'name' AS field, * FROM r WHERE {_USABLE.format(b="n")} UNION ALL SELECT 'address', * FROM r WHERE {_USABLE.format(b="a")} UNION ALL SELECT 'footprint_sqm', * FROM r WHERE NOT isnan(f) AND f >= 1 AND f <= 5e6 AND NOT (f = floor(f) AND (regexp_full_match(CAST(CAST(f AS BIGINT) AS VARCHAR), '9{{4,}}') OR f IN (12345, 123456, 1234567))))
 SELECT facility_id, field, src AS source, sid AS source_id FROM (SELECT *, row_number() OVER (PARTITION BY facility_id, field ORDER BY rank, updated_at DESC, sid, src) AS k FROM u) WHERE k = 1
 """,
 }

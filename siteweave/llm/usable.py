@@ -24,9 +24,9 @@ def text_usable(c: Column) -> Column:
 
 
 def area_usable(c: Column) -> Column:
-    """A number of square metres that a building can have: 1 to 5 million, and no run of nines or a repeated-digit filler."""
-    text = F.format_string("%.0f", c)
-    return F.coalesce(~F.isnan(c) & (c >= 1) & (c <= 5e6) & ~text.rlike(r"^9{4,}$") & ~text.isin("123456", "1234567", "12345"), F.lit(False))
+    """A number of square metres that a building can have: 1 to 5 million, and no whole number of nines or of digits in a row."""
+    filler = (c == F.floor(c)) & (F.format_string("%.0f", c).rlike(r"^9{4,}$") | c.isin(12345.0, 123456.0, 1234567.0))
+    return F.coalesce(~F.isnan(c) & (c >= 1) & (c <= 5e6) & ~filler, F.lit(False))
 
 
 def valid_deliveries(records: DataFrame) -> DataFrame:

@@ -103,8 +103,8 @@ def test_usable_and_valid(spark):
     texts = ["Equinix", " TBD ", "(none)", "?", "-", "", None, "N/A", "unknown", "Unnamed data center", "Address withheld", "A1"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     assert [r[0] for r in df.orderBy("i").select(text_usable(F.col("t"))).collect()] == [True] + [False] * 10 + [True]
-    areas = spark.createDataFrame([(0, 0.0), (1, -1.0), (2, 9999999.0), (3, float("nan")), (4, None), (5, 1234.5), (6, 99999.0)], "i int, a double")
-    assert [r[0] for r in areas.orderBy("i").select(area_usable(F.col("a"))).collect()] == [False] * 5 + [True, False]
+    areas = spark.createDataFrame([(0, 0.0), (1, -1.0), (2, 9999999.0), (3, float("nan")), (4, None), (5, 1234.5), (6, 99999.0), (7, 9998.73), (8, 9999.0)], "i int, a double")
+    assert [r[0] for r in areas.orderBy("i").select(area_usable(F.col("a"))).collect()] == [False] * 5 + [True, False, True, False]
     delivered = spark.createDataFrame([(1, "OSM ", " 1", datetime(2031, 1, 1)), (2, "osm", "1", datetime(2031, 1, 2)), (3, "osm", "1", datetime(2031, 1, 2)), (4, "osm", None, None), (5, "epa", "1", None)], "row_id long, source string, source_id string, updated_at timestamp")
     assert rows(valid_deliveries(delivered), "src", "sid", "row_id") == [("epa", "1", 5), ("osm", "1", 3)]
 
