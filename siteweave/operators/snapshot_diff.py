@@ -26,8 +26,8 @@ from pyspark.sql import types as T
 from siteweave.storage import Scratch
 
 BLANKS = " \t\r\n "
-#: Half a billionth below the stated step, so that a step of exactly 0.000001 counts as one whatever its binary rounding.
-COORDINATE_STEP = 0.000001 - 5e-10
+#: The stated step less the rounding of degrees in binary, so that two values written one step apart differ.
+COORDINATE_STEP = 0.000001 - 1e-12
 FANOUT_BITS = 4
 
 

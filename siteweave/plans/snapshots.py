@@ -24,7 +24,7 @@ QUERIES = {"p7_found": p7_found}
 _PLAIN = ("aka", "address1", "address2", "city", "clli", "country", "name", "org_name", "property", "state", "status", "website", "zipcode")
 _NUMBERS = ("campus_id", "carrier_count", "diverse_serving_substations", "ix_count", "net_count", "org_id")
 _TRIMMED = "coalesce(trim({}, chr(9) || chr(10) || chr(13) || ' ' || chr(160)), '')"
-_NEAR = "(({0} IS NULL AND {1} IS NULL) OR coalesce(abs({0} - {1}) < 0.0000009995, false))"
+_NEAR = "(({0} IS NULL AND {1} IS NULL) OR coalesce(abs({0} - {1}) < 0.000000999999, false))"
 _CONTENT = " || chr(0) || ".join([*(_TRIMMED.format(c) for c in _PLAIN), *(f"coalesce(CAST({c} AS VARCHAR), '')" for c in _NUMBERS), "array_to_string(list_sort(list_transform(available_voltage_services, lambda x: trim(x))), chr(31))"]).replace("chr(0)", "chr(1)")
 _POINTS = " AND ".join(_NEAR.format(f"then_.{c}", f"now_.{c}") for c in ("c1", "c2", "c3", "c4", "c5", "c6"))
 
@@ -43,7 +43,7 @@ then_ AS (SELECT y.* REPLACE (s.d AS d) FROM y JOIN s ON s.series = y.series AND
 j AS (SELECT coalesce(now_.series, then_.series) AS source, coalesce(now_.k, then_.k) AS k, coalesce(now_.d, then_.d) AS d,
   CASE WHEN then_.k IS NULL THEN 'added' WHEN now_.k IS NULL THEN 'removed'
        WHEN NOT (now_.t = then_.t AND {_POINTS} AND len(now_.g) = len(then_.g)
-            AND len(list_filter(range(1, len(now_.g) + 1), lambda i: NOT coalesce(abs(now_.g[i].lat - then_.g[i].lat) < 0.0000009995 AND abs(now_.g[i].lon - then_.g[i].lon) < 0.0000009995, false))) = 0) THEN 'changed' END AS change
+            AND len(list_filter(range(1, len(now_.g) + 1), lambda i: NOT coalesce(abs(now_.g[i].lat - then_.g[i].lat) < 0.000000999999 AND abs(now_.g[i].lon - then_.g[i].lon) < 0.000000999999, false))) = 0) THEN 'changed' END AS change
   FROM now_ FULL JOIN then_ ON now_.series = then_.series AND now_.k = then_.k AND now_.d = then_.d)
 SELECT source, split_part(k, '|', 2) AS source_id, strftime(d, '%Y-%m-%d') AS snapshot_date, change FROM j WHERE change IS NOT NULL
 """
