@@ -225,17 +225,17 @@ def block_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("review_id", F.round(sim.block_ratio(sim.short_address(F.col("left_address")), sim.short_address(F.col("right_address"))), 6).alias("ratio"))
 
 
-@query("""
-WITH f AS (SELECT facility_id, city, list_distinct(list_filter(string_split(regexp_replace(lower(coalesce(name, '')), '[^a-z0-9 ]+', ' ', 'g'), ' '), lambda w: w <> '' AND w NOT IN ('data','center','centre','centers','centres','datacenter','the','at','of','and','inc','llc','corp','campus','facility','site','building','bldg'))) AS t
-           FROM facilities WHERE city IS NOT NULL)
-SELECT a.facility_id AS left_id, b.facility_id AS right_id, round(CASE WHEN len(a.t) = 0 OR len(b.t) = 0 THEN 0 ELSE len(list_intersect(a.t, b.t)) / len(list_distinct(list_concat(a.t, b.t))) END, 6) AS jaccard
-FROM f a JOIN f b ON a.city = b.city AND a.facility_id < b.facility_id
+_TOKENS = "list_distinct(list_filter(string_split(regexp_replace(lower(coalesce({c}, '')), '[^a-z0-9 ]+', ' ', 'g'), ' '), lambda w: w <> '' AND w NOT IN (" + ", ".join(f"'{w}'" for w in v.NAME_STOPWORDS) + ")))"
+
+
+@query(f"""
+WITH r AS (SELECT review_id, {_TOKENS.format(c="left_name")} AS a, {_TOKENS.format(c="right_name")} AS b FROM dedupe_review)
+SELECT review_id, round(CASE WHEN len(a) = 0 OR len(b) = 0 THEN 0 ELSE len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))) END, 6) AS jaccard FROM r
 """)
-def jaccard_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token overlap of names of facilities in one city."""
-    rows = table(spark, sf_dir, "facilities").where(F.col("city").isNotNull()).select("facility_id", "city", sim.name_tokens(F.col("name")).alias("t"))
-    other = rows.select(F.col("facility_id").alias("right_id"), "city", F.col("t").alias("u"))
-    return rows.join(other, "city").where(F.col("facility_id") < F.col("right_id")).select(F.col("facility_id").alias("left_id"), "right_id", F.round(sim.jaccard(F.col("t"), F.col("u")), 6).alias("jaccard"))
+def name_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token overlap of the names of reviewed pairs."""
+    overlap = sim.jaccard(sim.name_tokens(F.col("left_name")), sim.name_tokens(F.col("right_name")))
+    return table(spark, sf_dir, "dedupe_review").select("review_id", F.round(overlap, 6).alias("jaccard"))
 
 
 @query("""
