@@ -9,6 +9,9 @@ from siteweave.operators.lookups import BROADCAST_ROWS
 from siteweave.operators.spatial import containing_regions, haversine_m, located
 from siteweave.storage import Scratch
 
+# A name of so many long words has 255 sets of them.
+SUBSET_WORDS = 8
+
 
 def by_phrase(facilities: DataFrame, overrides: DataFrame) -> DataFrame:
     """All facilities whose name (and operator, where one is given) contains an override's text in any case.
@@ -24,11 +27,26 @@ def by_phrase(facilities: DataFrame, overrides: DataFrame) -> DataFrame:
 
 
 def by_title(facilities: DataFrame, filings: DataFrame) -> DataFrame:
-    """(filing_id, facility_id, overlap): for each filing title the facility sharing most words of over four letters; the smaller id on a tie."""
-    words = lambda c: F.explode(F.array_distinct(F.filter(F.split(F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]+", " "), " "), lambda w: F.length(w) > 4)))
-    a = filings.select("filing_id", words(F.col("title")).alias("word"))
-    b = facilities.select("facility_id", words(F.col("name")).alias("word"))
-    counts = a.join(b, "word").groupBy("filing_id", "facility_id").agg(F.count("*").alias("overlap"))
+    """(filing_id, facility_id, overlap): for each filing title the facility sharing most words of over four letters; the smaller id on a tie.
+
+    Sets of words that names hold are indexed with the smallest facility id of each. A title grows the sets it holds word by word,
+    and the largest it reaches decide, so a word of many names costs a title one row and not one for every name.
+    Names of more than SUBSET_WORDS such words have too many sets; they are joined word by word.
+    """
+    scratch = Scratch(filings.sparkSession, "titles")
+    words = lambda c: F.array_sort(F.array_distinct(F.filter(F.split(F.regexp_replace(F.lower(c), r"[^\p{L}\p{N}]+", " "), " "), lambda w: F.length(w) > 4)))
+    names = scratch.cut(facilities.select(words(F.col("name")).alias("words"), "facility_id").where(F.size("words") > 0).groupBy("words").agg(F.min("facility_id").alias("facility_id")))
+    subsets = F.expr("filter(aggregate(words, array(''), (sets, w) -> concat(sets, transform(sets, s -> ltrim(concat(s, ' ', w))))), s -> s != '')")
+    index = scratch.cut(names.where(F.size("words") <= SUBSET_WORDS).select(F.explode(subsets).alias("held"), "facility_id").groupBy("held").agg(F.min("facility_id").alias("facility_id")))
+    titles = scratch.cut(filings.select("filing_id", F.explode(words(F.col("title"))).alias("word")))
+    level, held = 1, scratch.cut(titles.withColumnRenamed("word", "held").join(index, "held"))
+    known = scratch.cut(held.select("filing_id", F.col("held").alias("word")))
+    long = names.where(F.size("words") > SUBSET_WORDS).select("facility_id", F.explode("words").alias("word"))
+    counts = titles.join(long, "word").groupBy("filing_id", "facility_id").agg(F.count("*").alias("overlap"))
+    while not held.isEmpty():
+        counts = counts.unionByName(held.groupBy("filing_id").agg(F.min("facility_id").alias("facility_id"), F.lit(level).cast("bigint").alias("overlap")))
+        longer = held.select("filing_id", "held").join(known, "filing_id").where(F.col("word") > F.substring_index("held", " ", -1))
+        level, held = level + 1, scratch.cut(longer.select("filing_id", F.concat_ws(" ", "held", "word").alias("held")).join(index, "held"))
     best = F.min_by(F.struct("facility_id", "overlap"), F.struct((-F.col("overlap")).alias("o"), "facility_id"))
     return counts.groupBy("filing_id").agg(best.alias("b")).select("filing_id", "b.facility_id", "b.overlap")
 

@@ -588,11 +588,23 @@ c AS (SELECT doc_id, facility_id, count(*) AS overlap FROM w JOIN n USING (word)
 SELECT doc_id AS filing_id, facility_id, overlap FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY overlap DESC, facility_id) AS r FROM c) WHERE r = 1
 """)
 def title_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """For each short text the facility whose name shares most long words with it."""
+    """text_overlap over texts of under 200 letters only, as its SQL has it."""
     titles = table(spark, sf_dir, "documents").where(F.length("text") < 200).select(F.col("doc_id").alias("filing_id"), F.col("text").alias("title"))
     return evidence.by_title(table(spark, sf_dir, "facilities"), titles)
 
 
+@query("""
+WITH w AS (SELECT doc_id, unnest(list_distinct(list_filter(string_split(regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', ' ', 'g'), ' '), lambda x: length(x) > 4))) AS word FROM documents),
+n AS (SELECT facility_id, unnest(list_distinct(list_filter(string_split(regexp_replace(lower(name), '[^\\p{L}\\p{N}]+', ' ', 'g'), ' '), lambda x: length(x) > 4))) AS word FROM facilities),
+c AS (SELECT doc_id, facility_id, count(*) AS overlap FROM w JOIN n USING (word) GROUP BY 1, 2)
+SELECT doc_id AS filing_id, facility_id, overlap FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY overlap DESC, facility_id) AS r FROM c) WHERE r = 1
+""")
+def text_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For each text of any length the facility whose name shares most long words with it."""
+    texts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("filing_id"), F.col("text").alias("title"))
+    return evidence.by_title(table(spark, sf_dir, "facilities"), texts)
+
+
 @query("""
 SELECT f.facility_id, o.note FROM facilities f JOIN (VALUES ('data center', NULL, 'a'), ('campus', 'networks', 'b'), ('bldg', 'telecom', 'c')) AS o(n, op, note) ON contains(lower(f.name), o.n) AND (o.op IS NULL OR coalesce(contains(lower(f.operator), o.op), false))
 """)
