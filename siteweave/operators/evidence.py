@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from siteweave import dims
 from siteweave.operators.lookups import BROADCAST_ROWS
 from siteweave.operators.spatial import containing_regions, haversine_m, located
 from siteweave.storage import Scratch
@@ -51,6 +52,36 @@ def by_title(facilities: DataFrame, filings: DataFrame) -> DataFrame:
     return counts.groupBy("filing_id").agg(best.alias("b")).select("filing_id", "b.facility_id", "b.overlap")
 
 
+def in_states_of(facilities: DataFrame, layer: DataFrame) -> DataFrame:
+    """Facilities of the layer's states, or in their boxes where the state is unknown; all if the layer names no state."""
+    if "state" not in layer.columns:
+        return facilities
+    boxes = dims.boxes(layer.sparkSession).join(layer.select("state").distinct(), "state", "left_semi").withColumnRenamed("state", "_state")
+    inside = F.col("lon").between(F.col("min_lon"), F.col("max_lon")) & F.col("lat").between(F.col("min_lat"), F.col("max_lat"))
+    return facilities.join(F.broadcast(boxes), (F.col("state") == F.col("_state")) | (F.col("state").isNull() & inside), "left_semi")  # a few boxes
+
+
+def cited_figures(facilities: DataFrame, overrides: DataFrame | None, filings: DataFrame | None) -> DataFrame | None:
+    """(facility_id, stated_value_mw, basis, source_url, retrieved_at, quote, cited_order): hand-entered figures in their order, then those of filings; none without a value or a citation.
+
+    Filings with a state go to facilities of that state only.
+    """
+    basis = F.coalesce("basis", F.lit("total_facility")).alias("basis")
+    kept = [F.col("value_mw").alias("stated_value_mw"), basis, "source_url", "retrieved_at", "quote"]
+    parts = []
+    if overrides is not None:
+        usable = overrides.where(F.col("value_mw").isNotNull() & ~F.isnan("value_mw") & F.col("source_url").isNotNull()).withColumnsRenamed({"match_name": "name_contains", "match_operator": "operator_contains"})
+        parts.append(by_phrase(facilities.select("facility_id", "name", "operator"), usable).select("facility_id", *kept, F.lit(0).alias("_from"), F.lit("").alias("_key"), F.col("line").cast("bigint").alias("_place")))
+    if filings is not None:
+        titles = filings.select(F.col("sch_number").alias("filing_id"), "title").distinct()
+        placed = by_title(in_states_of(facilities, filings), titles).select(F.col("filing_id").alias("sch_number"), "facility_id")
+        parts.append(filings.join(placed, "sch_number").select("facility_id", *kept, F.lit(1).alias("_from"), F.col("sch_number").alias("_key"), F.col("place").cast("bigint").alias("_place")))
+    if not parts:
+        return None
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return rows.withColumn("cited_order", F.row_number().over(Window.partitionBy("facility_id").orderBy("_from", "_key", "_place"))).drop("_from", "_key", "_place")
+
+
 def serving_territories(facilities: DataFrame, territories: DataFrame, overlays: DataFrame) -> DataFrame:
     """(facility_id, utility, utility_candidates): territories of the point without overlays; the smallest serves."""
     from siteweave.functions.projection import area_m2

@@ -55,7 +55,7 @@ def attested_estimates(cited: DataFrame) -> DataFrame:
     """From cited figures (facility_id, stated_value_mw, basis, source_url, facility_class, year_built)."""
     rows = cited.where(F.col("stated_value_mw") > 0).withColumn("p", prior_of(F.col("facility_class"), F.col("year_built")))
     load = F.when(F.col("basis") == "it_load", F.col("stated_value_mw")).when(F.col("basis") == "critical_load", F.col("stated_value_mw") * CRITICAL_TO_IT).otherwise(F.col("stated_value_mw") / F.col("p.pue_mid"))
-    return rows.select("facility_id", F.lit(TIERS[0]).alias("method"), "basis", load.alias("it_load_mw"), (load * (1 - ATTESTED_BAND)).alias("ci_low_mw"), (load * (1 + ATTESTED_BAND)).alias("ci_high_mw"), gwh(load, F.col("p.pue_mid")).alias("annual_gwh"), F.col("p.pue_mid").alias("pue_used"), "stated_value_mw", "source_url")
+    return rows.select("facility_id", F.lit(TIERS[0]).alias("method"), "basis", load.alias("it_load_mw"), (load * (1 - ATTESTED_BAND)).alias("ci_low_mw"), (load * (1 + ATTESTED_BAND)).alias("ci_high_mw"), gwh(load, F.col("p.pue_mid")).alias("annual_gwh"), F.col("p.pue_mid").alias("pue_used"), "stated_value_mw", "source_url", *[c for c in ("retrieved_at", "quote", "cited_order") if c in cited.columns])
 
 
 def tier_rank(method: Column) -> Column:
@@ -63,8 +63,8 @@ def tier_rank(method: Column) -> Column:
 
 
 def best_estimates(estimates: DataFrame) -> DataFrame:
-    """One row per facility: for each column the first non-null value in order of precedence, and the number of methods."""
-    order = tier_rank(F.col("method"))
+    """One row per facility: for each column the first non-null value in order of precedence, and the number of methods. Cited figures of one facility go by cited_order, if there is one."""
+    order = F.struct(tier_rank(F.col("method")), F.col("cited_order")) if "cited_order" in estimates.columns else tier_rank(F.col("method"))
     first = lambda c, n: F.expr(f"min_by({c}, rank) FILTER (WHERE {c} IS NOT NULL)").alias(n)
     named = (("it_load_mw", "best_power_mw"), ("ci_low_mw", "power_ci_low_mw"), ("ci_high_mw", "power_ci_high_mw"), ("method", "power_tier"), ("annual_gwh", "est_annual_gwh"))
     return estimates.withColumn("rank", order).groupBy("facility_id").agg(*[first(c, n) for c, n in named], F.count_distinct("method").cast("bigint").alias("n_power_methods"))
@@ -72,7 +72,7 @@ def best_estimates(estimates: DataFrame) -> DataFrame:
 
 def tier_agreement(estimates: DataFrame) -> DataFrame:
     """Quartiles of the ratio right/left for each pair of tiers over facilities that have both."""
-    wide = estimates.groupBy("facility_id").pivot("method", list(TIERS)).agg(F.first("it_load_mw", ignorenulls=True))
+    wide = estimates.groupBy("facility_id").pivot("method", list(TIERS)).agg(F.min_by("it_load_mw", "cited_order") if "cited_order" in estimates.columns else F.first("it_load_mw", ignorenulls=True))
     pairs = [(a, b) for i, a in enumerate(TIERS) for b in TIERS[i + 1 :]]
     rows = F.explode(F.array(*[F.struct(F.lit(f"{a} vs {b}").alias("pair"), F.when(F.col(a) > 0, F.col(b) / F.col(a)).alias("ratio")) for a, b in pairs]))
     quarters = F.percentile("ratio", F.array(*[F.lit(q) for q in (0.25, 0.5, 0.75)]))

@@ -46,8 +46,11 @@ def tagged(records: DataFrame) -> DataFrame:
     return classify.classify(both, lookups.in_any_box(F.col("lat"), F.col("lon"), ALL_BOXES))
 
 
-def build(records: DataFrame, inventory: DataFrame, territories: DataFrame | None = None, cited: DataFrame | None = None) -> Built:
-    """All tables from records in the common shape and the generator inventory."""
+def build(records: DataFrame, inventory: DataFrame, territories: DataFrame | None = None, overrides: DataFrame | None = None, filings: DataFrame | None = None) -> Built:
+    """All tables from records in the common shape, the generator inventory, territories, hand-entered figures and figures of filings.
+
+    Territories with a state serve facilities of that state only.
+    """
     spark = records.sparkSession
     scratch = Scratch(spark, "build")
     rows = scratch.cut(tagged(measured(records)))
@@ -58,11 +61,12 @@ def build(records: DataFrame, inventory: DataFrame, territories: DataFrame | Non
     excluded = rows.where(F.col("exclusion_rule").isNotNull()).unionByName(gated.where(F.col("exclusion_rule").isNotNull()), allowMissingColumns=True)
     kept = power.gross_area(kept.withColumnRenamed("building_levels", "building_levels_reported"), levels="building_levels_reported")
     if territories is not None:
-        kept = kept.join(evidence.serving_territories(kept, territories, dims.overlays(spark)), "facility_id", "left")
+        kept = kept.join(evidence.serving_territories(evidence.in_states_of(kept, territories), territories, dims.overlays(spark)), "facility_id", "left")
     else:
         kept = kept.withColumns({"utility": F.lit(None).cast("string"), "utility_candidates": F.lit(None).cast("string")})
     kept = scratch.cut(kept)
     parts = [power.area_estimates(kept), power.fleet_estimates(kept, links, inventory)]
+    cited = evidence.cited_figures(kept, overrides, filings)
     if cited is not None:
         parts.append(power.attested_estimates(cited.join(kept.select("facility_id", "facility_class", "year_built"), "facility_id")))
     estimates = parts[0]
@@ -73,7 +77,7 @@ def build(records: DataFrame, inventory: DataFrame, territories: DataFrame | Non
     white = estimates.groupBy("facility_id").agg(F.max("est_white_space_sqft").alias("est_white_space_sqft"))
     out = scratch.cut(kept.join(power.best_estimates(estimates), "facility_id", "left").join(white, "facility_id", "left"))
     summary = analytics.summary_by_state(out, dims.jurisdictions(spark))
-    return Built(out, links, review, excluded, estimates, power.tier_agreement(estimates), summary)
+    return Built(out, links, review, excluded, estimates.drop("cited_order"), power.tier_agreement(estimates), summary)
 
 
 def write_all(built: Built, folder: str) -> None:
@@ -112,3 +116,37 @@ def read_raw(spark: SparkSession, raw: str) -> tuple[DataFrame, DataFrame]:
     from_units, inventory = nei.to_records(units)
     mapped = osm.to_records(elements.withColumn("tags", F.col("tags")))
     return mapped.unionByName(peeringdb.to_records(registry)).unionByName(from_units), inventory
+
+
+def _latest(spark: SparkSession, pattern: str) -> str | None:
+    """The path with the latest date among those that fit the pattern, if any does."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return max((f.getPath().toString() for f in found or []), default=None)
+
+
+# The layer of territories and the filings are California's.
+EVIDENCE_STATE = "CA"
+OVERRIDES = "match_name STRING, match_operator STRING, basis STRING, value_mw DOUBLE, source_url STRING, retrieved_at STRING, quote STRING"
+
+
+def read_evidence(spark: SparkSession, raw: str) -> dict[str, DataFrame | None]:
+    """Territories, overrides and filings below ``raw``, each None where there is none.
+
+    ``cec_gis/<date>/*.geojson[.gz]``; ``reference/manual_overrides.csv``; ``ceqanet/<date>/search`` and ``detail``, JSON lines of
+    (development_type, window_start, html) and (sch_number, source_url, html).
+    """
+    from siteweave.sources import filings, tables, territories
+
+    layer, listed, search = _latest(spark, f"{raw}/cec_gis/*/*.geojson*"), _latest(spark, f"{raw}/reference/manual_overrides.csv"), _latest(spark, f"{raw}/ceqanet/*/search")
+    found: dict[str, DataFrame | None] = {"territories": None, "overrides": None, "filings": None}
+    if layer:
+        found["territories"] = territories.read_territories(spark, layer).withColumn("state", F.lit(EVIDENCE_STATE))
+    if listed:
+        found["overrides"] = tables.read_reference(spark, listed, OVERRIDES).withColumn("line", F.monotonically_increasing_id())
+    if search:
+        titles = filings.discover(spark.read.schema("development_type STRING, window_start STRING, html STRING").json(search)).select("sch_number", "title")
+        day = search.rstrip("/").split("/")[-2]
+        pages = spark.read.schema("sch_number STRING, source_url STRING, html STRING").json(search[: -len("search")] + "detail").distinct()
+        found["filings"] = filings.harvest(pages.join(titles, "sch_number").withColumn("retrieved_at", F.lit(day))).withColumn("state", F.lit(EVIDENCE_STATE))
+    return found

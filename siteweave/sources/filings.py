@@ -101,12 +101,12 @@ def discover(pages: DataFrame) -> DataFrame:
 
 
 def harvest(pages: DataFrame) -> DataFrame:
-    """Power figures in the text of detail pages (sch_number, title, source_url, html)."""
+    """Power figures in the text of detail pages (sch_number, title, source_url, html), numbered by their place in it; the day of retrieval is kept where pages have it."""
     ship(pages.sparkSession)
 
     @F.pandas_udf("string")
     def visible(page: pd.Series) -> pd.Series:
         return page.map(page_text)
 
-    found = pages.withColumn("m", F.explode(power_mentions(visible("html"))))
-    return found.select("sch_number", "title", "source_url", "m.value_mw", "m.basis", "m.quote")
+    found = pages.select("*", F.posexplode(power_mentions(visible("html"))).alias("place", "m"))
+    return found.select("sch_number", "title", "source_url", "m.value_mw", "m.basis", "m.quote", "place", *[c for c in ("retrieved_at",) if c in pages.columns])

@@ -1,11 +1,15 @@
 """Queries and verbs over the whole of their input."""
 
+import gzip
+import json
 import random
 
 import pytest
 
 from conftest import rows
+from siteweave import cli
 from siteweave.operators import evidence
+from siteweave.sources import nei
 
 
 @pytest.mark.parametrize("bound", (8, 2))
@@ -31,3 +35,31 @@ def test_text_overlap_takes_texts_of_any_length(spark, tmp_path):
     spark.createDataFrame([("f1", "Silicon Valley")], "facility_id string, name string").write.parquet(f"{tmp_path}/facilities.parquet")
     spark.createDataFrame([(1, "x " * 500 + "in Silicon Valley"), (2, "Valley"), (3, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     assert rows(__spark_entry__.queries()["text_overlap"](spark, str(tmp_path))) == [(1, "f1", 2), (2, "f1", 1)]
+
+
+def test_build_reads_territories_overrides_and_filings(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(cli, "build_session", lambda **_: spark)
+    raw = tmp_path / "raw"
+
+    def put(name, text):
+        (raw / name).parent.mkdir(parents=True, exist_ok=True)
+        (raw / name).write_bytes(gzip.compress(text.encode()) if name.endswith("gz") else text.encode())
+
+    node = lambda i, lat, lon, name, **tags: dict(type="node", id=i, lat=lat, lon=lon, tags={"name": name, "telecom": "data_center", "operator": "Equinix", **tags})
+    put("osm/CA/2031-01-01/o.json", json.dumps({"elements": [node(1, 37.4, -121.95, "Silicon Valley Data Center"), node(2, 34.0, -118.2, "Vantage Harbor Data Center")]}))
+    put("osm/TX/2031-01-01/o.json", json.dumps({"elements": [node(3, 32.8, -96.8, "Silicon Harbor Valley Expansion Data Center", **{"addr:state": "TX"})]}))
+    put("peeringdb/US/2031-01-01/f.json", "[]")
+    put("epa_nei/CA/2031-01-01/u.csv", ",".join(nei.COLUMNS) + "\n")
+    ring = [[-123, 36], [-90, 36], [-90, 38], [-123, 38], [-123, 36]]
+    layer = {"features": [{"properties": {"Acronym": "PGE", "Utility": "Big", "Type": "IOU"}, "geometry": {"type": "Polygon", "coordinates": [ring]}}]}
+    put("cec_gis/2031-01-01/t.geojson.gz", json.dumps(layer))
+    put("reference/manual_overrides.csv", "# note\nmatch_name,match_operator,basis,value_mw,source_url,retrieved_at,quote\nharbor,,it_load,30,https://x/1,2031-01-01,q\nharbor,,it_load,40,https://x/2,2031-01-01,q\nharbor,,it_load,50,,,\n")
+    put("ceqanet/2031-01-01/search/s.json", json.dumps(dict(development_type="Office", window_start="2031-01-01", html="<table><tr></tr><tr><td>77</td><td>EIR</td><td>City</td><td>x</td><td>Silicon Valley Data Center Expansion</td></tr></table>")))
+    put("ceqanet/2031-01-01/detail/d.json", json.dumps(dict(sch_number="77", source_url="https://y/77", html="<p>critical load of 50 MW</p>")))
+    out = str(tmp_path / "out")
+    assert cli.main(["build", out, "--raw", str(raw)]) == 0
+    got = {r["name"].split()[0] + (r["state"] or ""): r for r in spark.read.parquet(f"{out}/facilities.parquet").collect()}
+    assert {k: (r["utility"], r["power_tier"]) for k, r in got.items()} == {"Silicon": ("PGE", "A_attested"), "Vantage": (None, "A_attested"), "SiliconTX": (None, "A_attested")}
+    assert got["Vantage"]["best_power_mw"] == got["SiliconTX"]["best_power_mw"] == 30.0
+    cited = spark.read.parquet(f"{out}/power_estimates.parquet")
+    assert sorted(map(tuple, cited.select("stated_value_mw", "basis", "source_url", "retrieved_at").collect())) == [(30.0, "it_load", "https://x/1", "2031-01-01")] * 2 + [(40.0, "it_load", "https://x/2", "2031-01-01")] * 2 + [(50.0, "critical_load", "https://y/77", "2031-01-01")]
