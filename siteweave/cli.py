@@ -8,9 +8,8 @@ import sys
 from pyspark.sql import functions as F
 
 from siteweave import dims
-from siteweave.operators import analytics, lookups, power
+from siteweave.operators import analytics, power
 from siteweave.plans import build as plan
-from siteweave.schemas import facility_rules, violations
 from siteweave.session import build_session
 from siteweave.sources.tables import read_published
 
@@ -41,7 +40,7 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     facilities = read_published(spark, f"{args.folder}/facilities.parquet")
     if args.verb == "validate":
-        found = violations(facilities, facility_rules(lookups.in_any_box(F.col("lat"), F.col("lon"), plan.ALL_BOXES)), unique="facility_id").where(F.col("violations") > 0)
+        found = plan.check(facilities, read_published(spark, f"{args.folder}/power_estimates.parquet")).where(F.col("violations") > 0)
         found.show(truncate=False)
         return int(not found.isEmpty())
     if args.verb == "report":

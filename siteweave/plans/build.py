@@ -46,6 +46,12 @@ def tagged(records: DataFrame) -> DataFrame:
     return classify.classify(both, lookups.in_any_box(F.col("lat"), F.col("lon"), ALL_BOXES))
 
 
+def explained(estimates: DataFrame) -> DataFrame:
+    """Estimates with the basis and the assumptions that are published with them."""
+    assumptions = F.to_json(F.struct("method", "pue_used", "partial_occupancy"), {"ignoreNullFields": "false"})
+    return estimates.withColumn("assumptions_json", assumptions).withColumn("basis", F.coalesce(F.col("basis"), F.lit("modelled")) if "basis" in estimates.columns else F.lit("modelled"))
+
+
 def build(records: DataFrame, inventory: DataFrame, territories: DataFrame | None = None, overrides: DataFrame | None = None, filings: DataFrame | None = None) -> Built:
     """All tables from records in the common shape, the generator inventory, territories, hand-entered figures and figures of filings.
 
@@ -72,8 +78,7 @@ def build(records: DataFrame, inventory: DataFrame, territories: DataFrame | Non
     estimates = parts[0]
     for part in parts[1:]:
         estimates = estimates.unionByName(part, allowMissingColumns=True)
-    assumptions = F.to_json(F.struct("method", "pue_used", "partial_occupancy"), {"ignoreNullFields": "false"})
-    estimates = scratch.cut(estimates.withColumn("assumptions_json", assumptions).withColumn("basis", F.coalesce(F.col("basis"), F.lit("modelled")) if cited is not None else F.lit("modelled")))
+    estimates = scratch.cut(explained(estimates))
     white = estimates.groupBy("facility_id").agg(F.max("est_white_space_sqft").alias("est_white_space_sqft"))
     out = scratch.cut(kept.join(power.best_estimates(estimates), "facility_id", "left").join(white, "facility_id", "left"))
     summary = analytics.summary_by_state(out, dims.jurisdictions(spark))
@@ -99,11 +104,12 @@ def write_all(built: Built, folder: str) -> None:
     writers.write_description(spark, writers.package_description("facility-registry", "Facilities and load estimates", tables, [{"title": s} for s in vocabulary.SOURCE_PRIORITY]), folder)
 
 
-def check(built: Built) -> DataFrame:
-    """Violations of the contracts on the published tables."""
+def check(facilities: DataFrame, estimates: DataFrame) -> DataFrame:
+    """(rule, violations, table): violations of the contracts on both published tables."""
     inside = lookups.in_any_box(F.col("lat"), F.col("lon"), ALL_BOXES)
-    a = violations(built.facilities, facility_rules(inside), unique="facility_id").withColumn("table", F.lit("facilities"))
-    return a.unionByName(violations(built.estimates.withColumn("source_url", F.col("source_url") if "source_url" in built.estimates.columns else F.lit(None).cast("string")), power_rules()).withColumn("table", F.lit("power_estimates")))
+    a = violations(facilities, facility_rules(inside), unique="facility_id").withColumn("table", F.lit("facilities"))
+    url = F.col("source_url") if "source_url" in estimates.columns else F.lit(None).cast("string")
+    return a.unionByName(violations(estimates.withColumn("source_url", url), power_rules()).withColumn("table", F.lit("power_estimates")))
 
 
 def read_raw(spark: SparkSession, raw: str) -> tuple[DataFrame, DataFrame]:

@@ -10,7 +10,7 @@ from siteweave.functions import ratings, similarity as sim
 from siteweave.functions.keys import key_part, record_key
 from siteweave.operators import analytics, classify, evidence, lookups, power
 from siteweave.operators.spatial import near_pairs
-from siteweave.schemas import facility_rules, violations
+from siteweave.schemas import facility_rules, power_rules, violations
 from siteweave.sources import nei, osm, peeringdb
 from siteweave.plans.catalogue import Catalogue
 from siteweave.storage import table
@@ -551,6 +551,52 @@ def contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.where(F.col("rule").isin("position_present", "power_range", "sources_counted", "facility_id_unique", "inside_a_jurisdiction"))
 
 
+_BROKEN = lambda rule, ok, of: f"SELECT '{rule}' AS rule, count(*) FILTER (NOT coalesce({ok}, false)) AS violations FROM {of}"
+_FACILITY_RULES = {
+    "facility_id_present": "facility_id IS NOT NULL",
+    "name_present": "name IS NOT NULL",
+    "position_present": "la IS NOT NULL AND lo IS NOT NULL",
+    "lat_range": "la BETWEEN -90 AND 90",
+    "lon_range": "lo BETWEEN -180 AND 180",
+    "inside_a_jurisdiction": _INSIDE.replace("lon BETWEEN", "lo BETWEEN").replace("lat BETWEEN", "la BETWEEN"),
+    "power_range": "mw IS NULL OR mw BETWEEN 0 AND 2000",
+    "tier_known": "power_tier IS NULL OR power_tier IN ('A_attested', 'B_generator', 'C_area')",
+    "sources_counted": "n_sources >= 1",
+    "interval_ordered": "coalesce(low <= mw + 1e-9 AND mw <= high + 1e-9, true)",
+}
+
+
+@query(f"""
+WITH f AS (SELECT *, {_NAN('lat')} AS la, {_NAN('lon')} AS lo, {_POWER} AS mw, {_NAN('power_ci_low_mw')} AS low, {_NAN('power_ci_high_mw')} AS high FROM facilities)
+{' UNION ALL '.join(_BROKEN(rule, ok, 'f') for rule, ok in _FACILITY_RULES.items())}
+UNION ALL SELECT 'facility_id_unique', (SELECT count(*) FROM f) - (SELECT count(*) FROM (SELECT DISTINCT facility_id FROM f))
+""")
+def facility_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V1: violations of every rule of the contract on published facilities; contract_violations has five of them."""
+    from siteweave.plans.build import ALL_BOXES as boxes
+
+    return violations(_facilities(spark, sf_dir), facility_rules(lookups.in_any_box(F.col("lat"), F.col("lon"), boxes)), unique="facility_id")
+
+
+_POWER_RULES = {
+    "method_known": "method IN ('A_attested', 'B_generator', 'C_area')",
+    "basis_present": "basis IS NOT NULL",
+    "assumptions_present": "method IS NOT NULL",
+    "load_range": "mw BETWEEN 0 AND 2000",
+    "interval_ordered": "lo <= hi + 1e-9",
+    "attested_has_url": "method <> 'A_attested' OR length(url) > 0",
+}
+
+
+@query(f"""{_ALL_EST}, p AS (SELECT *, CASE method WHEN 'A_attested' THEN 'critical_load' ELSE 'modelled' END AS basis, CASE method WHEN 'A_attested' THEN 'https://filing.example/' END AS url FROM e)
+{' UNION ALL '.join(_BROKEN(rule, ok, 'p') for rule, ok in _POWER_RULES.items())}""")
+def power_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V2: violations of every rule of the contract on load estimates."""
+    from siteweave.plans.build import explained
+
+    return violations(explained(_estimates(spark, sf_dir)), power_rules())
+
+
 @query("""
 WITH f AS (SELECT facility_id, lat, lon FROM facilities WHERE lat IS NOT NULL AND lon IS NOT NULL AND NOT isnan(lat) AND NOT isnan(lon) AND NOT (lat = 0 AND lon = 0)),
 n AS (SELECT DISTINCT type || '/' || id AS k, lat, lon FROM overpass_datacenters WHERE type = 'node' AND lat IS NOT NULL AND snapshot_date = (SELECT max(snapshot_date) FROM overpass_datacenters)),

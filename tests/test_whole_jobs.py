@@ -9,6 +9,7 @@ import pytest
 from conftest import rows
 from siteweave import cli
 from siteweave.operators import evidence
+from siteweave.schemas import FACILITY_COLUMNS, POWER_COLUMNS
 from siteweave.sources import nei
 
 
@@ -63,3 +64,28 @@ def test_build_reads_territories_overrides_and_filings(spark, tmp_path, monkeypa
     assert got["Vantage"]["best_power_mw"] == got["SiliconTX"]["best_power_mw"] == 30.0
     cited = spark.read.parquet(f"{out}/power_estimates.parquet")
     assert sorted(map(tuple, cited.select("stated_value_mw", "basis", "source_url", "retrieved_at").collect())) == [(30.0, "it_load", "https://x/1", "2031-01-01")] * 2 + [(40.0, "it_load", "https://x/2", "2031-01-01")] * 2 + [(50.0, "critical_load", "https://y/77", "2031-01-01")]
+
+
+FACILITY = dict(facility_id="f", name="N", lat=37.4, lon=-121.95, best_power_mw=2.0, power_ci_low_mw=1.0, power_ci_high_mw=3.0, power_tier="C_area", n_sources=1)
+ESTIMATE = dict(facility_id="f", method="C_area", basis="modelled", it_load_mw=2.0, ci_low_mw=1.0, ci_high_mw=3.0, assumptions_json="{}")
+
+
+def put_table(spark, path, columns, row):
+    kinds = {"lat": "double", "lon": "double", "n_sources": "int"}
+    kind = lambda c: kinds.get(c, "double" if c.endswith(("_mw", "_gwh", "_sqft", "_reported")) else "string")
+    spark.createDataFrame([tuple(row.get(c) for c in columns)], ", ".join(f"{c} {kind(c)}" for c in columns)).write.mode("overwrite").parquet(path)
+
+
+def test_validate_reads_both_tables_and_all_rules(spark, tmp_path, monkeypatch):
+    import __spark_entry__
+
+    monkeypatch.setattr(cli, "build_session", lambda **_: spark)
+    outcome = []
+    for facility, estimate in (({}, {}), ({}, {"method": "guess"}), ({}, {"basis": None}), ({}, {"ci_low_mw": 9.0}), ({"name": None}, {})):
+        put_table(spark, f"{tmp_path}/facilities.parquet", FACILITY_COLUMNS, FACILITY | facility)
+        put_table(spark, f"{tmp_path}/power_estimates.parquet", POWER_COLUMNS, ESTIMATE | estimate)
+        outcome.append(cli.main(["validate", str(tmp_path)]))
+    assert outcome == [0, 1, 1, 1, 1]
+    put_table(spark, f"{tmp_path}/facilities.parquet", FACILITY_COLUMNS, FACILITY | dict(facility_id=None, name=None, lat=91.0, lon=-181.0, power_tier="x", power_ci_low_mw=9.0))
+    got = dict(rows(__spark_entry__.queries()["facility_violations"](spark, str(tmp_path))))
+    assert {r for r, n in got.items() if n} == {"facility_id_present", "name_present", "lat_range", "lon_range", "inside_a_jurisdiction", "tier_known", "interval_ordered"}
