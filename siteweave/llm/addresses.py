@@ -30,7 +30,10 @@ from siteweave.functions.text import FOLD_FROM, FOLD_TO
 from siteweave.llm.names import slips
 from siteweave.storage import Scratch
 
-MIN_COSINE = 0.3
+# Weights of grams lie between 1 and this, however many streets there are.
+MAX_WEIGHT = 2.0
+# Two slips touch six grams at most and leave one in streets of three letters or more, so no pair that the exact check allows has a lower cosine.
+MIN_COSINE = 0.99 / (1 + 6 * MAX_WEIGHT**2)
 
 TYPES = {
     "street": "st", "st": "st", "str": "st", "avenue": "ave", "ave": "ave", "av": "ave", "boulevard": "blvd", "blvd": "blvd", "boul": "blvd", "drive": "dr", "dr": "dr", "drv": "dr",
@@ -126,6 +129,11 @@ def grams(street: str) -> list[str]:
     return sorted({padded[i : i + 2] for i in range(len(padded) - 1)})
 
 
+def gram_weight(count: int, most: int) -> float:
+    """Rarer is heavier, but mildly so: the grams of a slip are the rarest of all."""
+    return min(MAX_WEIGHT, 1.0 + 0.2 * math.log((most + 1) / count))
+
+
 def _weights(street: str, rarity: dict[str, float]) -> dict[str, float]:
     weights = {g: rarity.get(g, max(rarity.values(), default=1.0)) for g in grams(street)}
     norm = math.sqrt(sum(w * w for w in weights.values()))
@@ -191,8 +199,7 @@ def same_addresses(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     split = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(padded) - 1), lambda i: F.substring(padded, i, F.lit(2))))
     seen = counted.select(F.explode(split).alias("gram")).groupBy("gram").count().collect()
     n = max((r["count"] for r in seen), default=1)
-    # Rarer is heavier, but mildly so: the grams of a slip are the rarest of all.
-    rarity = {r["gram"]: 1.0 + 0.2 * math.log((n + 1) / r["count"]) for r in seen}
+    rarity = {r["gram"]: gram_weight(r["count"], n) for r in seen}
     shared = spark.sparkContext.broadcast(rarity)
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
