@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,14 +19,16 @@ SUBSET_WORDS = 8
 def by_phrase(facilities: DataFrame, overrides: DataFrame) -> DataFrame:
     """All facilities whose name (and operator, where one is given) contains an override's text in any case.
 
-    Overrides are entered by hand and few. A literal substring has no key to join on, so each
-    facility is read once against all of them; more than BROADCAST_ROWS are refused.
+    A literal substring has no key to join on, so each facility is read against all overrides, BROADCAST_ROWS of them at a time.
     """
-    if overrides.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
-        raise ValueError(f"more than {BROADCAST_ROWS} hand-entered overrides")
-    small = F.broadcast(overrides.select(F.lower("name_contains").alias("_n"), F.lower("operator_contains").alias("_o"), *[c for c in overrides.columns if c not in ("name_contains", "operator_contains")]))
+    texts = overrides.select(F.lower("name_contains").alias("_n"), F.lower("operator_contains").alias("_o"), *[c for c in overrides.columns if c not in ("name_contains", "operator_contains")])
+    blocks = [texts]
+    if (n := overrides.count()) > BROADCAST_ROWS:
+        numbered = Scratch(overrides.sparkSession, "overrides").cut(texts.withColumn("_block", F.floor((F.row_number().over(Window.orderBy("_n")) - 1) / BROADCAST_ROWS)))
+        blocks = [numbered.where(F.col("_block") == k).drop("_block") for k in range(-(-n // BROADCAST_ROWS))]
     hit = F.lower("name").contains(F.col("_n")) & (F.col("_o").isNull() | F.coalesce(F.lower("operator").contains(F.col("_o")), F.lit(False)))
-    return facilities.join(small, hit).drop("_n", "_o")
+    found = [facilities.join(F.broadcast(block), hit).drop("_n", "_o") for block in blocks]
+    return reduce(DataFrame.unionByName, found)
 
 
 def by_title(facilities: DataFrame, filings: DataFrame) -> DataFrame:
