@@ -3,19 +3,23 @@
 A linear-chain conditional random field labels every word of a document: a word's
 features are the word, its beginnings and ends, its letter 3-grams and the lexicons
 it is in; transitions between languages are learned with them, and forward-backward
-gives each word's probabilities in its context. A sentence takes the language with
+gives each word's probabilities in its context. A segment takes the language with
 the largest sum over its words, and the mean probability as its confidence.
 
 The field is fitted here, on at most SAMPLE_PER_LABEL documents per label of up to
-SAMPLE_CHARS characters each. Their labels are noisy and some mix languages, so the
-words are first labelled sentence by sentence: by the lexicons, then twice by the
-words' own counts over the sentences so far. Everything else covers all documents
-and whole texts.
+SAMPLE_CHARS characters each. Their labels are noisy and some mix languages, so each
+sentence gets its own label first: the document's label is the prior, and the counts
+of the sentence's words over the sentences of every language, with the lexicons as
+pseudo-counts, must outweigh it. A word of several languages is in the lexicon of
+each, so it speaks for none of them alone. Everything else covers all documents and
+whole texts.
 
 Defined results for odd input: null, empty and blank texts, and texts of numbers,
-codes, signs and addresses only, have no sentence and give no rows; a sentence has
-at least MIN_WORDS words, MIN_DISTINCT of them different; with no labelled document
-the lexicons alone decide; an empty table gives no rows; other columns are not read.
+codes, signs and units only, have no segment and give no rows; a segment has at
+least one word of two letters with a vowel, and is a whole sentence if it has
+WHOLE_WORDS different ones; shorter segments have their row too, with ``whole``
+false; with no labelled document the lexicons alone decide; an empty table gives no
+rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -36,19 +40,28 @@ from siteweave.storage import ship
 LANGUAGES = ("en", "es", "fr", "de", "pt", "it")
 SAMPLE_PER_LABEL = 400
 SAMPLE_CHARS = 4_000
-MIN_WORDS, MIN_DISTINCT = 5, 4
+#: Different words that make a segment a whole sentence.
+WHOLE_WORDS = 3
 BUCKETS = 1 << 15
-ROUNDS = 40
+#: Rounds of the fit, fewer once the mean log likelihood of a word has not gained GAIN for PATIENCE rounds.
+ROUNDS, GAIN, PATIENCE = 40, 0.003, 2
+RATE = 0.1
+#: The fit cuts documents into runs of sentences of about so many words.
+RUN_WORDS = 60
 MEMO_WORDS = 200_000
+#: Log odds that a document's own label gives to each of its sentences, before its words are looked at.
+LABEL_PRIOR = 4.0
+#: Occurrences that a lexicon stands for, and documents a word must be in to count.
+LEXICON_COUNT, WORD_DOCUMENTS = 5.0, 3
 
-# Frequent function words of each language.
+# Frequent function words of each language; a word of several languages is in each list.
 LEXICON = {
-    "en": "the of and to is was for that this be on by with from but not has only may who which file at were are have it its".split(),
-    "es": "el los las de que y en un una se por para con su al lo del desde hasta pero más está según fue muy".split(),
-    "fr": "le les des du et est une un que qui dans pour sur au aux pas ce cette dont il mais nous été avec par".split(),
-    "de": "der die das und ist nicht den dem ein eine des im zu für mit auf wird dass von sich oder noch aber bei".split(),
-    "pt": "o os as da do das dos que em um uma não para com por na no foi mas ao são pela ainda mais até".split(),
-    "it": "il lo gli di del della dei che un una per con non è si nel al sono ma dalla alla più anche ancora".split(),
+    "en": "a an and are as at be but by for from has have if in is it its may no not of on only or that the this to was were which who will with".split(),
+    "es": "a al cada como con cuando de del desde donde el en entre es está esta este fue ha han hasta la las lo los más muy no o para pero por que se según si sin sobre su sus también un una y ya".split(),
+    "fr": "a au aux avec ce cette dans de des dont du elle en est et été il la le les leur mais ne nous on ont ou où par pas plus pour que qui sa sans se ses si son sont sur un une y".split(),
+    "de": "aber als am an auch auf aus bei das dass dem den der des die ein eine einen einer es für hat im in ist mit nach nicht noch nur oder sich und vom von war werden wie wird zu".split(),
+    "pt": "a à ao aos as até com como da das de do dos e é em está esta este foi foram há já mais mas na nas não no nos o os ou para pela pelo por que são se sem seu sobre sua um uma".split(),
+    "it": "a al alla anche ancora che come con da dal dalla dei del della delle di e è gli ha i il in la le lo ma nel nella non o per più questa questo se si sono su sul tra un una uno".split(),
 }
 # Names of the languages in common notations, after folding.
 LABELS = {
@@ -62,8 +75,10 @@ LABELS = {
 
 _FOLD = str.maketrans(FOLD_FROM, FOLD_TO)
 _SKIP = re.compile(r"(?:https?://|www\.)\S+|\S+@\S+\.\S+|<\|[^|>]*\|>", re.IGNORECASE)
+_SKIP_SIGNS = ("://", "@", "<|", "www.", "WWW.")
 _END = re.compile(r"[.!?…][\"'»”’)\]]*(?=\s)|\n[ \t\r]*\n")
-_WORD = re.compile(r"(?<![\w])[^\W\d_]+(?:['’][^\W\d_]+)*(?![\w])")
+_WORD = re.compile(r"\b[^\W\d_]+\b")
+_SPOKEN = re.compile(r"(?=.*[aeiouyàáâãäåèéêëìíîïòóôõöùúûüÿœæ])..", re.IGNORECASE)
 
 
 def label_language(c: Column) -> Column:
@@ -86,8 +101,15 @@ def split_sentences(text: str) -> list[tuple[int, int]]:
 
 
 def words_of(text: str) -> list[str]:
-    """Words of letters; those of more than one are kept, apostrophes split."""
-    return [w for m in _WORD.findall(_SKIP.sub(" ", text)) for w in re.split("['’]", m) if w]
+    """Words of letters; apostrophes part them; addresses of pages, of mail and marks are skipped."""
+    if any(sign in text for sign in _SKIP_SIGNS):
+        text = _SKIP.sub(" ", text)
+    return _WORD.findall(text)
+
+
+def spoken(word: str) -> bool:
+    """Whether it is a word and no unit or code: two letters or more and a vowel."""
+    return _SPOKEN.match(word) is not None
 
 
 def _features(word: str) -> list[int]:
@@ -111,104 +133,155 @@ def _lexicons() -> dict[str, set[str]]:
     return _lex
 
 
-def _by_lexicon(words: list[str]) -> np.ndarray:
-    """Hits per language; a word that k languages have counts 1/k."""
-    score = np.zeros(len(LANGUAGES))
-    for word in words:
-        low = word.lower()
-        hits = [k for k, code in enumerate(LANGUAGES) if low in _lexicons()[code]]
-        for k in hits:
-            score[k] += 1 / len(hits)
-    return score
-
-
 class LanguageField:
     """Weights of features and transitions, and forward-backward over batches of word sequences."""
 
     def __init__(self, weights: np.ndarray, transitions: np.ndarray, start: np.ndarray) -> None:
         self.weights, self.transitions, self.start = weights, transitions, start
-        self.memo: dict[str, np.ndarray] = {}
-
-    def emission(self, word: str) -> np.ndarray:
-        found = self.memo.get(word)
-        if found is None:
-            if len(self.memo) >= MEMO_WORDS:
-                self.memo.clear()
-            found = self.memo[word] = self.weights[_features(word)].sum(0)
-        return found
-
-    def marginals(self, sequences: list[list[str]]) -> list[np.ndarray]:
-        """Probabilities (words, languages) of each sequence; sequences of like length go together."""
-        out: list[np.ndarray] = [np.zeros((0, len(LANGUAGES)))] * len(sequences)
-        order = sorted((i for i, s in enumerate(sequences) if s), key=lambda i: len(sequences[i]))
+        self.forget()
+
+    def forget(self) -> None:
+        self.ids: dict[str, int] = {}
+        self.spoken: set[int] = set()
+        self.table = np.zeros((1024, len(LANGUAGES)), dtype=np.float32)
+
+    def number(self, words: list[str]) -> list[int]:
+        """The words as rows of the table of emissions (their exponentials, the largest 1), which is filled as words are met."""
+        out = list(map(self.ids.get, words))
+        if None in out:
+            for word in words:
+                if word not in self.ids:
+                    k = self.ids[word] = len(self.ids)
+                    if k == len(self.table):
+                        self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+                    score = self.weights[_features(word)].sum(0)
+                    self.table[k] = np.exp(score - score.max())
+                    if spoken(word):
+                        self.spoken.add(k)
+            out = list(map(self.ids.get, words))
+        return out
+
+    def marginals(self, sequences: list[list[int]]) -> np.ndarray:
+        """Probabilities (words, languages) of all words of all sequences of numbered words, one after the other."""
+        lengths = np.array([len(s) for s in sequences], dtype=np.int64)
+        flat = np.array([w for s in sequences for w in s], dtype=np.int64)
+        out = np.empty((len(flat), len(LANGUAGES)), dtype=np.float32)
+        begins = np.cumsum(lengths) - lengths
+        # Sequences of like length go together.
+        order = np.argsort(lengths, kind="stable")
+        order = order[lengths[order] > 0]
         at = 0
         while at < len(order):
-            longest, group = 0, []
-            while at < len(order) and len(group) < 512 and (len(group) + 1) * len(sequences[order[at]]) <= 200_000 or not group:
-                group.append(order[at])
-                at += 1
-            longest = len(sequences[group[-1]])
-            scores = np.zeros((len(group), longest, len(LANGUAGES)))
-            for row, i in enumerate(group):
-                scores[row, : len(sequences[i])] = [self.emission(w) for w in sequences[i]]
-            sizes = np.array([len(sequences[i]) for i in group])
-            probable, _ = forward_backward(scores, sizes, self.transitions, self.start)
-            for row, i in enumerate(group):
-                out[i] = probable[row, : sizes[row]]
+            end = min(len(order), at + 2048)
+            while end - at > 1 and (end - at) * lengths[order[end - 1]] > 400_000:
+                end = at + max(1, (end - at) // 2)
+            group = order[at:end]
+            at = end
+            sizes = lengths[group]
+            steps = np.arange(sizes.max())[:, None]
+            valid = steps < sizes
+            where = np.where(valid, begins[group] + steps, 0)
+            probable, _ = _passes(self.table[flat[where]], sizes, self.transitions, self.start, counts=False)
+            out[where[valid]] = probable[valid]
         return out
 
 
 def forward_backward(scores: np.ndarray, sizes: np.ndarray, transitions: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Marginals (batch, words, labels) and expected transition counts, on probabilities rescaled at every step."""
-    batch, longest, labels = scores.shape
+    """Marginals (batch, words, labels) and expected transition counts."""
     local = np.exp(scores - scores.max(2, keepdims=True))
-    move = np.exp(transitions)
-    ahead, scale = np.zeros_like(local), np.ones((batch, longest, 1))
-    step = local[:, 0] * np.exp(start)
+    joint, expected = _passes(np.ascontiguousarray(local.transpose(1, 0, 2)), sizes, transitions, start)
+    return joint.transpose(1, 0, 2), expected
+
+
+def _passes(local: np.ndarray, sizes: np.ndarray, transitions: np.ndarray, start: np.ndarray, counts: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Both passes over (words, batch, labels), on probabilities rescaled at every step; overwrites ``local``."""
+    longest, batch, labels = local.shape
+    move = np.exp(transitions).astype(local.dtype)
+    ahead, scale = np.empty_like(local), np.empty((longest, batch, 1), dtype=local.dtype)
+    step = local[0] * np.exp(start).astype(local.dtype)
     for t in range(longest):
         if t:
-            step = (ahead[:, t - 1] @ move) * local[:, t]
-        scale[:, t] = step.sum(1, keepdims=True)
-        ahead[:, t] = step / scale[:, t]
-    back = np.zeros_like(local)
-    expected = np.zeros_like(move)
-    row = np.arange(batch)
-    back[row, sizes - 1] = 1.0
+            np.matmul(ahead[t - 1], move, out=step)
+            step *= local[t]
+        np.sum(step, axis=1, keepdims=True, out=scale[t])
+        np.divide(step, scale[t], out=ahead[t])
+    local /= scale
+    back = np.empty_like(local)
+    expected = np.zeros((labels, labels))
+    back[-1] = 1.0
+    live = np.arange(longest)[:, None] < sizes
+    whole = live.all(1)
+    reverse = np.ascontiguousarray(move.T)
     for t in range(longest - 2, -1, -1):
-        inside = (t + 1 < sizes)[:, None]
-        carry = local[:, t + 1] * back[:, t + 1] / scale[:, t + 1]
-        back[:, t] = np.where(inside, carry @ move.T, back[:, t])
-        expected += move * ((ahead[:, t] * inside).T @ (carry * inside))
-    joint = ahead * back
-    return joint / np.maximum(joint.sum(2, keepdims=True), 1e-300), expected
+        carry = local[t + 1] * back[t + 1]
+        np.matmul(carry, reverse, out=back[t])
+        if not whole[t + 1]:
+            inside = live[t + 1][:, None]
+            back[t] = np.where(inside, back[t], 1.0)
+            carry *= inside
+        if counts:
+            expected += ahead[t].T @ carry
+    ahead *= back
+    ahead /= np.maximum(ahead.sum(2, keepdims=True), 1e-30)
+    return ahead, move * expected
 
 
 def _sentence_labels(documents: list[list[list[str]]], given: list[int]) -> list[list[int]]:
-    """A language for each sentence of each document, from lexicons first and then the words' own counts."""
-    labels = []
-    for sentences, language in zip(documents, given):
-        own = []
+    """A language for each sentence of each document: the document's own unless the sentence's words outweigh it."""
+    n = len(LANGUAGES)
+    seen: dict[str, set[int]] = defaultdict(set)
+    for k, sentences in enumerate(documents):
         for words in sentences:
-            score = _by_lexicon(words)
-            best = int(score.argmax())
-            own.append(best if score[best] >= 2 and score[best] > np.partition(score, -2)[-2] + 0.9 else (language if len(words) >= MIN_WORDS else -1))
-        labels.append(own)
-    for _ in range(2):
-        counts: dict[str, np.ndarray] = defaultdict(lambda: np.zeros(len(LANGUAGES)))
-        for sentences, own in zip(documents, labels):
+            for word in words:
+                seen[word.lower()].add(k)
+    base: dict[str, np.ndarray] = {w: np.zeros(n) for w, docs in seen.items() if len(docs) >= WORD_DOCUMENTS}
+    for k, code in enumerate(LANGUAGES):
+        for word in _lexicons()[code]:
+            base.setdefault(word, np.zeros(n))[k] += LEXICON_COUNT
+    rows = {w: k for k, w in enumerate(base)}
+    pseudo = np.array(list(base.values()))
+    coded = [[[rows[w] for w in map(str.lower, words) if w in rows] for words in sentences] for sentences in documents]
+    labels = [[language] * len(sentences) for sentences, language in zip(documents, given)]
+    for _ in range(3):
+        count = pseudo.copy()
+        for sentences, own in zip(coded, labels):
             for words, language in zip(sentences, own):
-                if language >= 0:
-                    for word in words:
-                        counts[word.lower()][language] += 1
-        logs = {w: np.log((n + 0.3) / (n.sum() + 0.3 * len(LANGUAGES))) for w, n in counts.items()}
-        for sentences, own in zip(documents, labels):
+                np.add.at(count[:, language], words, 1)
+        logs = np.log((count + 0.3) / (count.sum(0) + 0.3 * len(count)))
+        for sentences, own, language in zip(coded, labels, given):
             for k, words in enumerate(sentences):
-                known = [logs[w] for w in map(str.lower, words) if w in logs]
-                if len(known) >= MIN_WORDS:
-                    own[k] = int(np.sum(known, axis=0).argmax())
+                score = logs[words].sum(0)
+                score[language] += LABEL_PRIOR
+                own[k] = int(score.argmax())
     return labels
 
 
+def _runs(documents: list[list[list[str]]], labels: list[list[int]]) -> Iterator[tuple[list[str], list[int]]]:
+    """Words and their languages of runs of sentences of about RUN_WORDS words."""
+    for sentences, own in zip(documents, labels):
+        words: list[str] = []
+        ids: list[int] = []
+        for sentence, language in zip(sentences, own):
+            words += sentence
+            ids += [language] * len(sentence)
+            if len(words) >= RUN_WORDS:
+                yield words, ids
+                words, ids = [], []
+        if words:
+            yield words, ids
+
+
+class _Sums:
+    """Sums of rows by a fixed index, sorted once."""
+
+    def __init__(self, index: np.ndarray) -> None:
+        self.order = np.argsort(index, kind="stable")
+        self.where, self.first = np.unique(index[self.order], return_index=True)
+
+    def into(self, target: np.ndarray, rows: np.ndarray) -> None:
+        target[self.where] += np.add.reduceat(rows[self.order], self.first, axis=0)
+
+
 def fit_field(texts: list[str], given: list[str]) -> LanguageField:
     """Conditional maximum likelihood with Adagrad over the whole sample in every round."""
     n = len(LANGUAGES)
@@ -217,52 +290,51 @@ def fit_field(texts: list[str], given: list[str]) -> LanguageField:
         weights[zlib.crc32(f"x{code}".encode()) % BUCKETS, k] = 1.0
     transitions += 2.0 * np.eye(n)
     documents = [[words_of(t[a:b]) for a, b in split_sentences(t)] for t in texts]
-    labels = _sentence_labels(documents, [LANGUAGES.index(g) for g in given])
-    sequences, gold = [], []
-    for sentences, own in zip(documents, labels):
-        words, ids, last = [], [], next((x for x in own if x >= 0), -1)
-        for sentence, language in zip(sentences, own):
-            last = language if language >= 0 else last
-            words += sentence
-            ids += [last] * len(sentence)
-        if words and last >= 0:
-            sequences.append(words)
-            gold.append(ids)
-    if not sequences:
+    runs = list(_runs(documents, _sentence_labels(documents, [LANGUAGES.index(g) for g in given])))
+    if not runs:
         return LanguageField(weights, transitions, start)
     kinds: dict[str, int] = {}
-    coded = [np.array([kinds.setdefault(w, len(kinds)) for w in s]) for s in sequences]
+    coded = [np.array([kinds.setdefault(w, len(kinds)) for w in words]) for words, _ in runs]
     lists = [_features(w) for w in kinds]
-    owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    first = np.cumsum([0, *map(len, lists)])[:-1]
     flat = np.concatenate([np.array(x) for x in lists])
+    owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+    by_feature = _Sums(flat)
     groups = []
     order = sorted(range(len(coded)), key=lambda i: len(coded[i]))
-    for at in range(0, len(order), 256):
-        ids = order[at : at + 256]
+    for at in range(0, len(order), 2048):
+        ids = order[at : at + 2048]
         sizes = np.array([len(coded[i]) for i in ids])
-        words, want = np.zeros((len(ids), sizes.max()), dtype=int), np.zeros((len(ids), sizes.max()), dtype=int)
-        for row, i in enumerate(ids):
-            words[row, : sizes[row]], want[row, : sizes[row]] = coded[i], gold[i]
-        groups.append((words, want, sizes, np.arange(sizes.max())[None, :] < sizes[:, None]))
+        valid = np.arange(sizes.max())[None, :] < sizes[:, None]
+        words, want = np.zeros(valid.shape, dtype=int), np.zeros(valid.shape, dtype=int)
+        words[valid] = np.concatenate([coded[i] for i in ids])
+        want[valid] = np.concatenate([runs[i][1] for i in ids])
+        pair = valid[:, 1:]
+        moves = np.bincount(want[:, :-1][pair] * n + want[:, 1:][pair], minlength=n * n).reshape(n, n)
+        groups.append((words, np.eye(n)[want[valid]], np.eye(n)[want[:, 0]], moves, sizes, valid, _Sums(words[valid])))
     total = sum(len(s) for s in coded)
     past = [np.full_like(x, 1e-6) for x in (weights, transitions, start)]
+    before, still = -np.inf, 0
     for _ in range(ROUNDS):
-        emission = np.zeros((len(lists), n))
-        np.add.at(emission, owner, weights[flat])
-        by_kind, by_move, by_start = np.zeros_like(emission), np.zeros_like(transitions), np.zeros_like(start)
-        for words, want, sizes, valid in groups:
+        emission = np.add.reduceat(weights[flat], first, axis=0).astype(np.float32)
+        by_kind, by_move, by_start, likely = np.zeros((len(lists), n)), np.zeros_like(transitions), np.zeros_like(start), 0.0
+        for words, want, opening, moves, sizes, valid, by_word in groups:
             probable, expected = forward_backward(emission[words], sizes, transitions, start)
-            delta = (np.eye(n)[want] - probable)[valid]
-            np.add.at(by_kind, words[valid], delta)
-            by_move -= expected
-            pair = valid[:, 1:]
-            np.add.at(by_move, (want[:, :-1][pair], want[:, 1:][pair]), 1)
-            by_start += (np.eye(n)[want[:, 0]] - probable[:, 0]).sum(0)
+            here = probable[valid]
+            by_word.into(by_kind, want - here)
+            likely += float(np.log(np.maximum((here * want).sum(1), 1e-12)).sum())
+            by_move += moves - expected
+            by_start += (opening - probable[:, 0]).sum(0)
         gradient = np.zeros_like(weights)
-        np.add.at(gradient, flat, by_kind[owner])
-        for value, slope, seen in ((weights, gradient / total - 1e-6 * weights, past[0]), (transitions, by_move / total - 1e-6 * transitions, past[1]), (start, by_start / total - 1e-6 * start, past[2])):
-            seen += slope * slope
-            value += 0.3 * slope / np.sqrt(seen)
+        by_feature.into(gradient, by_kind[owner])
+        for value, slope, known in ((weights, gradient / total - 1e-6 * weights, past[0]), (transitions, by_move / total - 1e-6 * transitions, past[1]), (start, by_start / total - 1e-6 * start, past[2])):
+            known += slope * slope
+            value += RATE * slope / np.sqrt(known)
+        likely /= total
+        still = 0 if likely > before + GAIN else still + 1
+        before = max(before, likely)
+        if still == PATIENCE:
+            break
     return LanguageField(weights, transitions, start)
 
 
@@ -289,15 +361,15 @@ _fields: dict[str, LanguageField] = {}
 
 
 def sentence_languages(documents: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang") -> DataFrame:
-    """(key, sentence, first, length, lang, confidence, words): every sentence with its language; offsets in code points."""
+    """(key, sentence, first, length, lang, confidence, words, whole): every segment with its language; offsets in code points."""
     spark = documents.sparkSession
     ship(spark)
     field = fit_field(*sample_labelled(documents, key, text, label))
-    name = f"{id(field)}-{zlib.crc32(field.weights.tobytes())}"
+    name = str(zlib.crc32(field.weights.tobytes()))
     shared = spark.sparkContext.broadcast((field.weights.astype(np.float32), field.transitions, field.start))
     rows = documents.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).where(F.col("text").isNotNull())
     kind = rows.schema["key"].dataType.simpleString()
-    columns = ["key", "sentence", "first", "length", "lang", "confidence", "words"]
+    columns = ["key", "sentence", "first", "length", "lang", "confidence", "words", "whole"]
 
     def label_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if name not in _fields:
@@ -305,23 +377,35 @@ def sentence_languages(documents: DataFrame, key: str = "doc_id", text: str = "t
             _fields[name] = LanguageField(*shared.value)
         model = _fields[name]
         for batch in batches:
-            out = []
-            spans = [split_sentences(t) for t in batch["text"]]
-            parts = [[words_of(t[a:b]) for a, b in s] for t, s in zip(batch["text"], spans)]
-            found = model.marginals([[w for words in p for w in words] for p in parts])
-            for ident, where, sentences, probable in zip(batch["key"], spans, parts, found):
-                at = number = 0
-                for (a, b), words in zip(where, sentences):
-                    here = probable[at : at + len(words)]
-                    at += len(words)
-                    long = [w.lower() for w in words if len(w) > 1]
-                    if len(long) < MIN_WORDS or len(set(long)) < MIN_DISTINCT:
-                        continue
-                    total = here.sum(0)
-                    best = int(total.argmax())
-                    out.append((ident, number, a, b - a, LANGUAGES[best], float(total[best] / len(words)), len(words)))
-                    number += 1
-            yield pd.DataFrame(out, columns=columns)
-
-    schema = f"key {kind}, sentence int, first int, length int, lang string, confidence double, words int"
+            if len(model.ids) > MEMO_WORDS:
+                model.forget()
+            out: list[tuple] = []
+            sequences: list[list[int]] = []
+            begins: list[int] = []
+            kept: list[bool] = []
+            at = 0
+            for ident, content in zip(batch["key"], batch["text"]):
+                number = 0
+                sequence: list[int] = []
+                for a, b in split_sentences(content):
+                    words = model.number(words_of(content[a:b]))
+                    if words:
+                        different = len(model.spoken.intersection(words))
+                        begins.append(at + len(sequence))
+                        kept.append(different > 0)
+                        sequence += words
+                        if different:
+                            out.append((ident, number, a, b - a, len(words), different >= WHOLE_WORDS))
+                            number += 1
+                sequences.append(sequence)
+                at += len(sequence)
+            if not out:
+                continue
+            score = np.add.reduceat(model.marginals(sequences), begins, axis=0)[np.array(kept)]
+            frame = pd.DataFrame(out, columns=["key", "sentence", "first", "length", "words", "whole"])
+            frame["lang"] = np.array(LANGUAGES)[score.argmax(1)]
+            frame["confidence"] = np.minimum(score.max(1) / frame["words"].to_numpy(), 1.0)
+            yield frame[columns]
+
+    schema = f"key {kind}, sentence int, first int, length int, lang string, confidence double, words int, whole boolean"
     return rows.mapInPandas(label_batches, schema).withColumnRenamed("key", key)

@@ -140,7 +140,7 @@ def p10_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
-    present = sentence_languages(documents).groupBy("doc_id").agg(F.collect_set("lang").alias("langs"))
+    present = sentence_languages(documents).where("whole").groupBy("doc_id").agg(F.collect_set("lang").alias("langs"))
     labels = documents.select("doc_id", label_language(F.col("lang")).alias("label"))
     doubtful = (F.size("langs") > 1) | F.col("label").isNull() | ~F.array_contains("langs", F.col("label"))
     return present.join(labels, "doc_id").where(doubtful).select("doc_id", F.explode("langs").alias("lang")).distinct()

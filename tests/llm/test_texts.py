@@ -131,19 +131,61 @@ def test_forward_backward_against_all_paths():
             assert expected[a, b] == pytest.approx(sum(w * sum(x == (a, b) for x in zip(p, p[1:])) for p, w in weight.items()) / total)
 
 
+#: Sentences of shared words, none of them in the fitted corpus below.
+HELD_OUT = {
+    "en": ["The meeting of the board is on the first day of the month.", "It may be that all of the doors were shut by then."],
+    "es": ["La puerta de la sala se abre solo durante la visita.", "Las obras de la nave empiezan en cuanto llegue el permiso."],
+    "fr": ["Le conseil de la ville se prononcera sur la demande de la société.", "La porte de la salle ne se ferme pas."],
+    "de": ["Die Tür zu der Halle ist in der Nacht nicht offen.", "Man hat es dem Rat im Mai gesagt."],
+    "pt": ["Os lotes a leste de Santa Maria são de uso industrial.", "Os visitantes têm de se apresentar no portão antes de entrar."],
+    "it": ["La porta della sala si apre soltanto di giorno.", "La domanda di allaccio non è stata ancora accolta."],
+}
+
+
+def bare(text):
+    return text.translate(str.maketrans(L.FOLD_FROM, L.FOLD_TO))
+
+
+@pytest.mark.parametrize("change", [str, str.upper, bare, lambda t: bare(t).upper()])
+def test_held_out_sentences(change):
+    data = [(text, code) for _, text, code in corpus(120)]
+    field = L.fit_field(*map(list, zip(*data)))
+    tried = [(code, change(s)) for code, sentences in HELD_OUT.items() for s in sentences]
+    found = [field.marginals([field.number(L.words_of(s))]) for _, s in tried]
+    assert [L.LANGUAGES[int(x.sum(0).argmax())] for x in found] == [code for code, _ in tried]
+
+
+def test_labels_outweigh_shared_words_and_yield_to_evidence():
+    fr, es, pt = LANG["fr"], LANG["es"], LANG["pt"]
+    documents = [[L.words_of(s) for s in HELD_OUT[code]] for code in ("fr", "pt", "es")]
+    assert L._sentence_labels(documents, [fr, pt, es]) == [[fr, fr], [pt, pt], [es, es]]
+    # Twenty documents in Spanish show that the one labelled French is none.
+    documents = [[L.words_of(s) for s in SENTENCES["es"]]] * 20 + [[L.words_of(s) for s in SENTENCES["fr"]]] * 20 + [[L.words_of(SENTENCES["es"][1])]]
+    assert L._sentence_labels(documents, [es] * 20 + [fr] * 21)[-1] == [es]
+
+
+LANG = {code: k for k, code in enumerate(L.LANGUAGES)}
+
+
 def test_languages(spark):
     data = corpus()
     mixed = [(900, "The line should be ready and the file says nothing more. «Os lotes são de uso industrial, e não há registo de nenhuma venda.» Nobody on the call has paid the fee for this.", "en"), (901, "NAO CONSEGUIMOS SABER QUEM E O DONO DO TERRENO, E POR ISSO A FICHA CONTINUA ABERTA.", None), (902, "| 36 | G42 1700 kW 46.4981, -81.7396 https://docs.example/a/b?the=of kW kW", "en"), (903, "", None), (904, None, "fr"), (905, "  \n ", "fr"), (906, "The utility\nhas agreed to serve\nthe new substation in 1990.\n\nLos vecinos dijeron que el ruido se oye durante la noche.", "de"), (907, SENTENCES["de"][1] + " " * 20_000 + SENTENCES["it"][0], "it")]
-    df = spark.createDataFrame([(*r, "x") for r in data + mixed], "doc_id long, text string, lang string, words string")
-    got = defaultdict(list)
+    short = [(910, "Nobody called. ### 12 kW. The file says nothing.", "en"), (911, "12 kW. Nobody called. kW kW kW.", "en")]
+    df = spark.createDataFrame([(*r, "x") for r in data + mixed + short], "doc_id long, text string, lang string, words string")
+    got, whole, spans = defaultdict(list), defaultdict(list), defaultdict(list)
     for r in L.sentence_languages(df).orderBy("doc_id", "sentence").collect():
         got[r["doc_id"]].append(r["lang"])
+        whole[r["doc_id"]].append(r["whole"])
+        spans[r["doc_id"]].append((r["sentence"], r["first"], r["length"], r["words"]))
         assert 0 < r["confidence"] <= 1
     truth = [code for code in SENTENCES for _ in range(40)]
     right = sum(lang == truth[i] for i in range(240) for lang in got[i])
     assert right / sum(len(got[i]) for i in range(240)) > 0.99
     assert got[900] == ["en", "pt", "en"] and got[901] == ["pt"] and got[906] == ["en", "es"] and got[907] == ["de", "it"]
     assert not any(got[i] for i in (902, 903, 904, 905))
+    # Short segments have rows too, marked as no whole sentences; units alone have none.
+    assert got[910] == ["en", "en"] and whole[910] == [False, True] and got[911] == ["en"] and whole[911] == [False]
+    assert spans[910] == [(0, 0, 14, 2), (1, 25, 23, 4)] and spans[911] == [(0, 6, 15, 2)]
 
 
 def test_languages_without_labels(spark):
