@@ -2,7 +2,9 @@
 
 Keys fall into hash ranges. Every range of every snapshot has a digest, and
 ranges form a Merkle tree; trees of consecutive snapshots are compared from the
-top, and only rows of leaf ranges whose digests differ are compared one by one.
+top, and only rows of leaf ranges whose digests differ are read again and compared
+one by one. Only digests are written: one row for about ROWS_A_LEAF rows of a
+snapshot, and for every level above a FANOUTth of that.
 
 Defined results for odd input:
 
@@ -29,6 +31,8 @@ BLANKS = " \t\r\n "
 #: The stated step less the rounding of degrees in binary, so that two values written one step apart differ.
 COORDINATE_STEP = 0.000001 - 1e-12
 FANOUT_BITS = 4
+#: Rows of a snapshot in a leaf: few, so that a leaf without a change is likely.
+ROWS_A_LEAF = 8
 
 
 def _trim(c: Column) -> Column:
@@ -118,43 +122,46 @@ def _alike(left: str, right: str) -> Column:
 def snapshot_changes(rows: DataFrame, leaf_bits: int | None = None) -> DataFrame:
     """(series, key, snap, change) against the snapshot just before, from ``canonical_rows``.
 
-    ``leaf_bits``: the tree has 2**leaf_bits leaves a snapshot; by default about 64
-    rows a leaf, at most 2**16 leaves, so that the digests stay a small table at any size.
+    ``rows`` is read twice: for the digests, and for the leaves that differ.
+    ``leaf_bits``: the tree has 2**leaf_bits leaves a snapshot; by default as many as
+    leave about ROWS_A_LEAF rows in each at any size.
     """
-    spark = rows.sparkSession
-    scratch = Scratch(spark, "snapshot-diff")
-    row = F.struct("a", "b", "coords", "ring")
-    newest = F.max_by(row, F.struct("version", "tie", "a", "b"))
-    picked = rows.groupBy("series", "key", "snap").agg(newest.alias("row"))
-    picked = picked.select("series", "key", "snap", "row", F.xxhash64("key").alias("h"), F.xxhash64(F.col("key"), F.col("row")).alias("digest"))
-    kept = scratch.cut(picked)
+    scratch = Scratch(rows.sparkSession, "snapshot-diff")
+    counts = scratch.cut(rows.groupBy("series", "snap").count())
     if leaf_bits is None:
-        n = kept.count()
-        leaf_bits = max(FANOUT_BITS, min(16, (max(n, 1) // 64).bit_length()))
-    leaf_bits = -(-leaf_bits // FANOUT_BITS) * FANOUT_BITS
-    kept = kept.withColumn("bucket", F.shiftrightunsigned("h", 64 - leaf_bits))
-
+        widest = counts.agg(F.max("count")).first()[0] or 1
+        leaf_bits = max(1, (widest // ROWS_A_LEAF).bit_length())
+    rows = rows.withColumn("bucket", F.shiftrightunsigned(F.xxhash64("key"), 64 - leaf_bits))
+    # A snapshot is the later one of one step and the earlier one of the next; one row for each date.
     order = Window.partitionBy("series").orderBy("snap")
-    dates = kept.select("series", "snap").distinct().withColumn("before", F.lag("snap").over(order))
-    steps = scratch.cut(dates.where(F.col("before").isNotNull()))
-
-    leaves = scratch.cut(kept.groupBy("series", "snap", "bucket").agg(F.bit_xor("digest").alias("x"), F.sum(F.col("digest").cast("decimal(20,0)")).alias("s"), F.count("*").alias("n")))
-    suspects: DataFrame | None = None
-    for bits in range(FANOUT_BITS, leaf_bits + 1, FANOUT_BITS):
-        node = F.shiftright("bucket", leaf_bits - bits)
-        level = leaves.groupBy("series", "snap", node.alias("node")).agg(F.xxhash64(F.bit_xor("x"), F.sum("s"), F.sum("n")).alias("d"))
-        now = level.join(steps, ["series", "snap"]).select("series", "snap", "node", F.col("d").alias("now"))
-        then = level.withColumnRenamed("snap", "before").join(steps, ["series", "before"]).select("series", "snap", "node", F.col("d").alias("then"))
-        if suspects is not None:
-            parents = suspects.select("series", "snap", F.col("node").alias("parent"))
-            parent = F.shiftright("node", FANOUT_BITS)
-            now = now.withColumn("parent", parent).join(parents, ["series", "snap", "parent"], "left_semi").drop("parent")
-            then = then.withColumn("parent", parent).join(parents, ["series", "snap", "parent"], "left_semi").drop("parent")
-        suspects = now.join(then, ["series", "snap", "node"], "full").where(~F.col("now").eqNullSafe(F.col("then"))).select("series", "snap", "node")
-    differing = scratch.cut(suspects.withColumnRenamed("node", "bucket"))
-
-    now = kept.join(differing, ["series", "snap", "bucket"], "left_semi").select("series", "key", "snap", F.col("row").alias("now"))
-    then = kept.withColumnRenamed("snap", "before").join(steps, ["series", "before"]).join(differing, ["series", "snap", "bucket"], "left_semi").select("series", "key", "snap", F.col("row").alias("then"))
-    both = then.join(now, ["series", "key", "snap"], "full")
+    dates = counts.select("series", "snap", F.lag("snap").over(order).alias("before"), F.lead("snap").over(order).alias("after"))
+    roles = F.array(F.when(F.col("before").isNotNull(), F.struct(F.col("snap").alias("step"), F.lit(True).alias("now"))), F.when(F.col("after").isNotNull(), F.struct(F.col("after").alias("step"), F.lit(False).alias("now"))))
+    steps = scratch.cut(dates.select("series", "snap", F.explode(F.filter(roles, lambda r: r.isNotNull())).alias("r")).select("series", "snap", "r.step", "r.now"))
+
+    version = F.struct("version", "tie", "a", "b")
+    digest = F.xxhash64("key", "a", "b", "coords", "ring")
+    newest = rows.groupBy("series", "snap", "bucket", "key").agg(F.max_by(digest, version).alias("digest"))
+    leaves = newest.groupBy("series", "snap", "bucket").agg(F.bit_xor("digest").alias("x"), F.sum(F.col("digest").cast("decimal(20,0)")).alias("s"), F.count("*").alias("n"))
+    leaves = leaves.select("series", "snap", "bucket", F.xxhash64("x", "s", "n").alias("d")).join(steps, ["series", "snap"])
+    side = lambda now: F.max(F.when(F.col("now") == now, F.col("d")))
+    level = scratch.cut(leaves.groupBy("series", "step", F.col("bucket").alias("node")).agg(side(True).alias("now"), side(False).alias("then")))
+    # Upwards: the digests of a node's children make its own.
+    levels = [level]
+    for _ in range(FANOUT_BITS, leaf_bits, FANOUT_BITS):
+        mixed = lambda c: F.bit_xor(F.xxhash64("node", c)).alias(c)
+        level = scratch.cut(level.groupBy("series", "step", F.shiftright("node", FANOUT_BITS).alias("parent")).agg(mixed("now"), mixed("then")).withColumnRenamed("parent", "node"))
+        levels.append(level)
+    # Downwards: children of nodes that differ only.
+    differing: DataFrame | None = None
+    for level in reversed(levels):
+        if differing is not None:
+            level = level.withColumn("parent", F.shiftright("node", FANOUT_BITS)).join(differing.withColumnRenamed("node", "parent"), ["series", "step", "parent"], "left_semi")
+        differing = scratch.cut(level.where(~F.col("now").eqNullSafe(F.col("then"))).select("series", "step", "node"))
+    scratch.drop(*levels)
+
+    doubtful = rows.join(steps, ["series", "snap"]).join(differing.withColumnRenamed("node", "bucket"), ["series", "step", "bucket"], "left_semi")
+    row = F.struct("a", "b", "coords", "ring")
+    of = lambda now: F.max_by(F.when(F.col("now") == now, row), F.when(F.col("now") == now, version))
+    both = doubtful.groupBy("series", "step", "bucket", "key").agg(of(True).alias("now"), of(False).alias("then"))
     change = F.when(F.col("then").isNull(), "added").when(F.col("now").isNull(), "removed").when(~_alike("now", "then"), "changed")
-    return both.select("series", "key", "snap", change.alias("change")).where(F.col("change").isNotNull())
+    return both.select("series", "key", F.col("step").alias("snap"), change.alias("change")).where(F.col("change").isNotNull())
