@@ -1,10 +1,18 @@
 """Groups of records from pairwise ties.
 
 The component of the vertex of highest degree is found by breadth-first joins
-from a frontier and taken out of the graph by an anti-join; what is left, many
-small components, is labelled by propagating minima: every round ties each
-vertex's larger neighbours, then its smaller ones, to the least of them, until
-all that is left are stars around the least vertex.
+from a frontier and taken out of the graph by an anti-join. What is left, many
+small components, is labelled by propagating minima: in every round each vertex
+takes the least vertex around it, in an order that is drawn anew by round, and
+vertices with the same least one become one vertex. A round leaves a fraction of
+the vertices, whatever the shape, so long chains take few rounds too.
+
+The frontier goes on as long as it adds more than one in THIN of what it has
+reached. What then still hangs on to it, such as the rest of a chain, is tied to
+the start instead, and gets its label with the small components.
+
+Vertices are 64-bit numbers, digests of their keys; keys whose digests agree in
+all but the last SLOT_BITS bits are told apart by these bits.
 
 Defined results for odd input: null ends and self-ties say nothing; repeated
 ties and both directions count once; vertices are compared as plain bytes; an
@@ -13,91 +21,115 @@ empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siteweave.storage import Scratch
 
-#: Frontier joins before what was reached is contracted to one vertex and left to the propagation of minima, which is exact for any shape.
-FRONTIER_ROUNDS = 12
-SALTS = 16
+THIN = 16
+SLOT_BITS = 4
+
+
+def _number(key: Column) -> Column:
+    return F.shiftleft(F.shiftrightunsigned(F.xxhash64(key), SLOT_BITS), SLOT_BITS)
 
 
-def _mark(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
-    return row[0], row[1]
+def _numbered(ties: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(v, id) of every vertex, and the ties as distinct (x, y), x < y."""
+    pairs = ties.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b"))).select(F.col("a").cast("string").alias("a"), F.col("b").cast("string").alias("b"))
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct()
+    # Keys with one digest are very few: a list of more than 1 << SLOT_BITS has no chance.
+    slots = ends.groupBy(_number(F.col("v")).alias("h")).agg(F.array_sort(F.collect_list("v")).alias("vs"))
+    slot = F.when(F.col("slot") < 1 << SLOT_BITS, F.col("slot")).otherwise(F.raise_error(F.lit("digests of vertices collide")).cast("int"))
+    vertices = scratch.cut(slots.select("h", F.posexplode("vs").alias("slot", "v")).select("v", (F.col("h") + slot).alias("id")))
+    moved = scratch.cut(vertices.where(F.col("id") != _number(F.col("v"))))
+    for end in ("a", "b"):
+        pairs = pairs.join(moved.withColumnRenamed("v", end), end, "left").withColumn(end, F.coalesce("id", _number(F.col(end)))).drop("id")
+    return vertices, scratch.cut(pairs.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct())
 
 
-def _peel(edges: DataFrame, scratch: Scratch) -> tuple[DataFrame | None, DataFrame, str | None]:
-    """(reached vertices, edges left, the start); edges that still leave the reached part start at the start."""
-    both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    top = both.groupBy("a").count().orderBy(F.desc("count"), "a").first()
+def _both(edges: DataFrame) -> DataFrame:
+    return edges.unionByName(edges.select(F.col("y").alias("x"), F.col("x").alias("y")))
+
+
+def _peel(edges: DataFrame, scratch: Scratch) -> tuple[DataFrame | None, DataFrame, int | None]:
+    """(reached vertices, ties left, the start); ties that still leave the reached part start at the start."""
+    around = _both(edges)
+    top = around.groupBy("x").count().orderBy(F.desc("count"), "x").first()
     if top is None:
         return None, edges, None
-    start = top["a"]
-    # The neighbours of a vertex lie in SALTS parts, so that those of a hub are read by many tasks.
-    around = scratch.cut(both.withColumn("salt", F.pmod(F.hash("b"), F.lit(SALTS))))
-    spark = edges.sparkSession
-    frontier = spark.createDataFrame([(start,)], "v string")
-    reached = frontier
-    parts = [scratch.cut(frontier)]
-    for _ in range(FRONTIER_ROUNDS):
-        ask = frontier.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        step = around.join(ask, (around["a"] == ask["v"]) & (around["salt"] == ask["salt"])).select(F.col("b").alias("v")).distinct()
-        frontier = scratch.cut(step.join(reached, "v", "left_anti"))
-        if frontier.isEmpty():
-            break
-        parts.append(frontier)
-        reached = parts[0]
-        for part in parts[1:]:
-            reached = reached.unionByName(part)
-    reached = scratch.cut(reached)
-    outer = reached.select(F.col("v"), F.lit(start).alias("to"))
-    left = edges.join(reached.withColumnRenamed("v", "a"), "a", "left_anti").join(reached.withColumnRenamed("v", "b"), "b", "left_anti").select("a", "b")
-    if not frontier.isEmpty():
-        cross = both.join(outer, both["a"] == outer["v"]).select("b", "to").join(reached.withColumnRenamed("v", "b"), "b", "left_anti")
-        left = left.unionByName(cross.select(F.least("to", "b").alias("a"), F.greatest("to", "b").alias("b")).distinct())
-    return reached, scratch.cut(left), start
-
-
-def _stars(edges: DataFrame, scratch: Scratch) -> DataFrame:
-    """(v, root) of all vertices that are not themselves roots."""
-    before = _mark(edges)
-    while before[0]:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        larger = both.where(F.col("b") > F.col("a")).join(least, "a").select(F.col("b").alias("x"), F.col("m").alias("y"))
-        wide = scratch.cut(larger.where(F.col("x") != F.col("y")).distinct())
-        # x is always the larger end here.
-        least = wide.groupBy("x").agg(F.min("y").alias("m"))
-        smaller = wide.join(least, "x").select(F.col("y").alias("x"), F.col("m").alias("y")).unionByName(least.select("x", F.col("m").alias("y")))
-        after_edges = scratch.cut(smaller.where(F.col("x") != F.col("y")).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-        after = _mark(after_edges)
-        scratch.drop(wide, edges)
-        edges = after_edges
-        if after == before:
-            break
-        before = after
-    return edges.select(F.col("b").alias("v"), F.col("a").alias("root"))
+    start = top["x"]
+    parts = [scratch.cut(edges.sparkSession.createDataFrame([(start,)], "v bigint"))]
+    reached = added = 1
+    # Neighbours of a level lie in it, in the one before or in the one after.
+    while added * THIN > reached:
+        step = around.join(parts[-1].withColumnRenamed("v", "x"), "x").select(F.col("y").alias("v")).distinct()
+        for known in parts[-2:]:
+            step = step.join(known, "v", "left_anti")
+        parts.append(scratch.cut(step))
+        added = parts[-1].count()
+        reached += added
+    inside = parts[0]
+    for part in parts[1:]:
+        inside = inside.unionByName(part)
+    inside = scratch.cut(inside)
+    left = edges
+    for end in ("x", "y"):
+        left = left.join(inside.withColumnRenamed("v", end), end, "left_anti")
+    if added:
+        hanging = around.join(parts[-1].withColumnRenamed("v", "x"), "x").select(F.col("y").alias("v")).distinct()
+        for known in parts[-2:]:
+            hanging = hanging.join(known, "v", "left_anti")
+        left = left.select("x", "y").unionByName(hanging.select(F.least(F.lit(start), "v").alias("x"), F.greatest(F.lit(start), "v").alias("y")))
+    left = scratch.cut(left.select("x", "y"))
+    scratch.drop(*parts)
+    return inside, left, start
+
+
+def _minima(edges: DataFrame, scratch: Scratch) -> DataFrame | None:
+    """(v, root): one of its vertices for all vertices of a component; None without ties."""
+    steps: list[DataFrame] = []
+    while not edges.isEmpty():
+        order = lambda c, n=len(steps): F.xxhash64(F.lit(n), c)
+        least = _both(edges).groupBy("x").agg(F.min_by("y", order("y")).alias("m"))
+        least = scratch.cut(least.select(F.col("x").alias("v"), F.when(order("m") < order("x"), F.col("m")).otherwise(F.col("x")).alias("m")))
+        steps.append(least)
+        ends = edges.join(least.select(F.col("v").alias("x"), F.col("m").alias("p")), "x").join(least.select(F.col("v").alias("y"), F.col("m").alias("q")), "y")
+        after = scratch.cut(ends.where(F.col("p") != F.col("q")).select(F.least("p", "q").alias("x"), F.greatest("p", "q").alias("y")).distinct())
+        scratch.drop(edges)
+        edges = after
+    if not steps:
+        return None
+    labels = steps[-1].withColumnRenamed("m", "root")
+    for step in reversed(steps[:-1]):
+        above = labels.select(F.col("v").alias("m"), "root")
+        labels = step.join(above, "m", "left").select("v", F.coalesce("root", "m").alias("root"))
+    return labels
 
 
 def groups(ties: DataFrame) -> DataFrame:
     """(v, root): every vertex that occurs in a tie (a, b) with another, and the least vertex of its component."""
     spark = ties.sparkSession
     scratch = Scratch(spark, "groups")
-    edges = scratch.cut(ties.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    vertices, edges = _numbered(ties, scratch)
     reached, left, start = _peel(edges, scratch)
     if reached is None:
         return spark.createDataFrame([], "v string, root string")
-    stars = _stars(left, scratch)
-    labels = stars.unionByName(stars.select(F.col("root").alias("v"), "root").distinct())
-    labels = scratch.cut(labels)
-    # The reached part takes the lesser of its own least vertex and the label its start got from beyond.
-    own = reached.agg(F.min("v").alias("root"))
-    beyond = labels.where(F.col("v") == start).select("root")
-    top = scratch.cut(own.unionByName(beyond).agg(F.min("root").alias("root")))
-    least = top.first()["root"]
-    tied = [r["root"] for r in beyond.limit(1).collect()]
-    moved = F.col("root").isin(tied) if tied else F.lit(False)
-    rest = labels.where(F.col("v") != start).select("v", F.when(moved, F.lit(least)).otherwise(F.col("root")).alias("root"))
-    return reached.select("v", F.lit(least).alias("root")).unionByName(rest)
+    rest = _minima(left, scratch)
+    big, members = start, reached
+    if rest is not None:
+        rest = scratch.cut(rest)
+        tied = rest.where(F.col("v") == start).first()
+        big = tied["root"] if tied else start
+        members = rest.unionByName(reached.where(F.col("v") != start).select("v", F.lit(big).alias("root")))
+        if not tied:
+            members = members.unionByName(spark.createDataFrame([(start, start)], "v bigint, root bigint"))
+    else:
+        members = reached.select("v", F.lit(start).alias("root"))
+    labelled = scratch.cut(vertices.join(members.withColumnRenamed("v", "id"), "id").select("v", "root"))
+    # The peeled component may hold a great part of all rows; its least key is one value.
+    least = labelled.where(F.col("root") == big).agg(F.min("v")).first()[0]
+    mine = labelled.where(F.col("root") == big).select("v", F.lit(least).alias("root"))
+    others = labelled.where(F.col("root") != big)
+    roots = others.groupBy("root").agg(F.min("v").alias("least"))
+    return mine.unionByName(others.join(roots, "root").select("v", F.col("least").alias("root")))

@@ -47,8 +47,14 @@ STAR = [("hub", f"s{i:03}") for i in range(80)]
 
 
 @pytest.mark.parametrize("pairs", [STAR + CHAIN + [("x", "y"), ("y", "x"), ("x", "x"), (None, "y"), ("z", None), ("x", "y")], STAR + [("s000", "c000")] + CHAIN])
-def test_groups(spark, pairs, monkeypatch):
-    monkeypatch.setattr(components, "FRONTIER_ROUNDS", 4)
+def test_groups(spark, pairs):
+    assert rows(components.groups(ties(spark, pairs))) == brute_groups(pairs)
+
+
+def test_groups_with_a_tail_and_keys_of_one_digest(spark, monkeypatch):
+    # The frontier stops at the chain that hangs on to the hub, and eight digests stand for all keys.
+    monkeypatch.setattr(components, "_number", lambda key: F.shiftleft(F.pmod(F.xxhash64(key), F.lit(8)), 4))
+    pairs = STAR[:30] + [("s000", "c000")] + CHAIN[:20] + [("x", "y")]
     assert rows(components.groups(ties(spark, pairs))) == brute_groups(pairs)
 
 
