@@ -1,22 +1,24 @@
 """The surviving values of a group of duplicate records, field by field.
 
-A record dominates another of its group if it has every usable field that the
-other has, is trusted at least as much and is at least as recent, and is more
-trusted, later or, both being equal, has the smaller id; so a tie of the policy is
-never decided by fields that are not asked for. The undominated records are the first layer, the undominated
-ones of the rest the second, and so on. Within a layer records are ordered by
-the policy: most trusted, then latest, then smallest id. The first record of the
-first layer is the base; a field that it lacks is filled from the records after
-it in that layer, then from the next layers.
-
-Since dominance compares the sets of usable fields, a dominated record never has
-a field that no record of the first layer has; so the fills follow the policy
-over the whole group.
+A record dominates another of its group if it has at least as many usable fields,
+is trusted at least as much and is at least as recent, and is better in one of the
+three. The undominated records are the first layer, the undominated ones of the rest
+the second, and so on, as many layers as there are: a record's layer is one more than
+the highest of those that dominate it.
+
+Within a layer the policy decides: most trusted, then latest, then smallest id. The
+first record of the first layer is the base. A field that it lacks is filled from the
+records after it in that layer, then from the successive layers. The policy has the
+last word between layers too: completeness counts fields, so a record that alone is
+trusted most for a field may stand behind a fuller one that lacks it; the layers are
+gone through to the end, and a later layer's record takes the field if the policy puts
+it before what was found so far. ``layer`` tells where each value came from.
 
 Records of a group with the same usable fields and trust differ in recency only,
-and just the latest of them can be undominated. They are reduced to it before
-the shuffle, which leaves at most 2**fields times the number of trust ranks per
-group, however large the group is.
+so all but the latest of them are dominated by it and have nothing that it lacks.
+They are reduced to it before the shuffle, which leaves at most 2**fields times the
+number of trust ranks per group, however large the group is; layers are those of
+the records left.
 
 Defined results for odd input: a null trust comes after every rank, a null time
 before every other; equal records count once; a group without a usable value of
@@ -31,14 +33,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LAYERS = 4
 NO_TRUST = 1 << 30
 
 
 def _dominates(d: Column, c: Column) -> Column:
-    alike = (d["mask"].bitwiseAND(c["mask"]) == c["mask"]) & (d["trust"] <= c["trust"]) & (d["ago"] <= c["ago"])
-    better = (d["trust"] < c["trust"]) | (d["ago"] < c["ago"]) | (d["id"] < c["id"])
-    return alike & better
+    alike = (d["full"] >= c["full"]) & (d["trust"] <= c["trust"]) & (d["ago"] <= c["ago"])
+    return alike & ((d["full"] > c["full"]) | (d["trust"] < c["trust"]) | (d["ago"] < c["ago"]))
 
 
 def survivors(records: DataFrame, group: str, usable: Sequence[tuple[str, Column]], trust: Column, time: Column, identity: Sequence[str]) -> DataFrame:
@@ -53,27 +53,28 @@ def survivors(records: DataFrame, group: str, usable: Sequence[tuple[str, Column
     rows = records.select(F.col(group).alias("grp"), mask.cast("int").alias("mask"), F.coalesce(trust.cast("int"), F.lit(NO_TRUST)).alias("trust"), ago.alias("ago"), F.struct(*identity).alias("id"))
     rows = rows.where(F.col("grp").isNotNull() & (F.col("mask") > 0))
     reduced = rows.groupBy("grp", "mask", "trust").agg(F.min(F.struct("ago", "id")).alias("best"))
-    lists = reduced.groupBy("grp").agg(F.array_sort(F.collect_list(F.struct("trust", "best.ago", "best.id", "mask"))).alias("rest"))
-    layers = []
-    for n in range(1, LAYERS + 1):
-        column = f"layer{n}"
-        if n < LAYERS:
-            front = F.filter("rest", lambda c: ~F.exists("rest", lambda d: _dominates(d, c)))
-            lists = lists.withColumn(column, front).withColumn("rest", F.array_except("rest", column))
-        else:
-            lists = lists.withColumn(column, F.col("rest"))
-        layers.append(column)
-    ordered = F.flatten(F.array(*[_tagged(c, n) for n, c in enumerate(layers, 1)]))
-    lists = lists.select("grp", ordered.alias("ordered"))
+    record = F.struct("trust", "best.ago", (-F.bit_count("mask")).alias("lack"), "best.id", "mask")
+    ordered = F.transform(F.array_sort(F.collect_list(record)), lambda c: F.struct(c["trust"].alias("trust"), c["ago"].alias("ago"), (-c["lack"]).alias("full"), c["id"].alias("id"), c["mask"].alias("mask"), F.lit(1).alias("layer")))
+    lists = reduced.groupBy("grp").agg(ordered.alias("records"))
+    # In this order a record comes after all that dominate it, whose layers are known by then.
+    empty = F.filter("records", lambda c: F.lit(False))
+    layered = F.aggregate("records", empty, lambda done, c: F.concat(done, F.array(c.withField("layer", _layer(done, c)))))
+    # By layer, and within each by the policy.
+    policy = F.transform(layered, lambda c: F.struct(c["layer"].alias("layer"), c["trust"].alias("trust"), c["ago"].alias("ago"), c["id"].alias("id"), c["mask"].alias("mask")))
+    lists = lists.select("grp", F.array_sort(policy).alias("ordered"))
     fields = F.explode(F.array(*[_first_with(k, name) for k, (name, _) in enumerate(usable)]))
     out = lists.withColumn("win", fields).where(F.col("win.taken").isNotNull())
     return out.select(F.col("grp").alias(group), F.col("win.field").alias("field"), *[F.col(f"win.taken.id.{c}").alias(c) for c in identity], F.col("win.taken.layer").alias("layer"))
 
 
-def _tagged(column: str, n: int) -> Column:
-    return F.transform(column, lambda c: F.struct(F.lit(n).alias("layer"), c["id"].alias("id"), c["mask"].alias("mask")))
+def _layer(done: Column, c: Column) -> Column:
+    above = F.transform(F.filter(done, lambda d: _dominates(d, c)), lambda d: d["layer"])
+    return F.coalesce(F.array_max(above), F.lit(0)) + 1
 
 
 def _first_with(k: int, name: str) -> Column:
+    """Layer after layer: the record in front of its layer, and one of a later layer where the policy puts it before."""
     having = F.filter("ordered", lambda c: c["mask"].bitwiseAND(F.lit(1 << k)) != 0)
-    return F.struct(F.lit(name).alias("field"), F.try_element_at(having, F.lit(1)).alias("taken"))
+    rank = lambda c: F.struct(c["trust"], c["ago"], c["id"])
+    before = F.aggregate(having, F.try_element_at(having, F.lit(1)), lambda best, c: F.when(rank(c) < rank(best), c).otherwise(best))
+    return F.struct(F.lit(name).alias("field"), before.alias("taken"))

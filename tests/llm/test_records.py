@@ -87,10 +87,20 @@ def test_survivors(spark):
     df = spark.createDataFrame([(*r, "extra") for r in data], "grp string, name string, address string, trust int, t timestamp, id string, field string")
     got = survivors(df, "grp", [("name", F.col("name").isNotNull()), ("address", F.col("address").isNotNull())], F.col("trust"), F.col("t"), ("id",))
     assert rows(got, "grp", "field", "id") == sorted([("g", "name", "b"), ("g", "address", "c"), ("tie", "name", "y"), ("late", "name", "v"), ("late", "address", "v")], key=repr)
-    assert got.agg(F.max("layer")).first()[0] == 1
+    # b leads the first layer but has no address; c, with as many fields and later, is in the first layer too.
+    assert {(r["grp"], r["field"]): r["layer"] for r in got.where("grp = 'g'").collect()} == {("g", "name"): 1, ("g", "address"): 1}
     assert rows(survivors(df.limit(0), "grp", [("name", F.col("name").isNotNull())], F.col("trust"), F.col("t"), ("id",))) == []
 
 
+def test_layers_fill_what_the_first_lacks(spark):
+    at = lambda d: datetime(2031, 1, d)
+    # (name, address, area), trust, time: the first dominates the second, which dominates the third.
+    data = [("g", 1, 0, 1, 1, at(9), "a"), ("g", 0, 1, 0, 2, at(8), "b"), ("g", 0, 1, 0, 3, at(7), "c"), ("h", 1, 0, 0, 1, at(9), "a"), ("h", 1, 0, 0, 2, at(9), "b"), ("h", 0, 1, 0, 3, at(9), "c"), ("i", 1, 0, 1, 1, at(9), "a"), ("i", 0, 1, 0, 2, at(8), "b"), ("i", 1, 1, 1, 3, at(7), "c")]
+    df = spark.createDataFrame(data, "g string, n int, a int, f int, trust int, t timestamp, id string")
+    got = {(r["g"], r["field"]): (r["id"], r["layer"]) for r in survivors(df, "g", [(c, F.col(c) == 1) for c in "naf"], F.col("trust"), F.col("t"), ("id",)).collect()}
+    assert got == {("g", "n"): ("a", 1), ("g", "f"): ("a", 1), ("g", "a"): ("b", 2), ("h", "n"): ("a", 1), ("h", "a"): ("c", 3), ("i", "n"): ("a", 1), ("i", "f"): ("a", 1), ("i", "a"): ("b", 2)}
+
+
 def test_survivors_against_brute_force(spark):
     rng = random.Random(2)
     data = [(f"g{rng.randrange(12)}", *[rng.random() < 0.5 for _ in range(3)], rng.choice((1, 2, 3, None)), datetime(2031, 1, rng.randrange(1, 6)), f"i{k:03}") for k in range(200)]
