@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from siteweave.functions.text import FOLD_FROM, FOLD_TO
 from siteweave.llm.addresses import PLACE, read_address, same_place
-from siteweave.llm.names import LEGAL, TRADES, slips
+from siteweave.llm.names import LEGAL, slips
 from siteweave.operators.spatial import near_pairs
 from siteweave.storage import Scratch, ship
 
@@ -50,7 +50,9 @@ _NO_CODE = {"dh", "hall", "bldg", "room", "rm", "no", "unit", "ste", "fl"}
 _GENERIC = {
     *LEGAL, "data", "center", "centers", "centre", "centres", "datacenter", "datacenters", "datacentre", "datacentres", "ctrs", "dc", "dcs", "campus", "bldg", "building", "hall", "north", "south",
     "east", "west", "of", "svcs", "svc", "services", "service", "cloud", "digital", "infrastructure", "infra", "dig", "works", "wks", "compute", "dh", "annex", "expansion", "phase", "former",
-    "formerly", "leased", "site", "facility", "property", "unnamed", "unknown", "none", "null", "tbd", "not", "available", *(w for t in TRADES for w in t),
+    "formerly", "leased", "site", "facility", "property", "unnamed", "unknown", "none", "null", "tbd", "not", "available", "telecom", "telecommunications",
+    "telecoms", "telecomm", "telco", "tel", "hosting", "hstg", "colocation", "colo", "networks", "network", "netwks", "ntwks", "ntwk", "nets", "net", "computeworks", "computewks", "compworks", "interconnect",
+    "interconnection", "interconn", "intercon", "ix", "datactrs", "datactr", "digitalinfrastructure", "diginfrastructure", "digitalinfra", "diginfra", "cloudservices", "cloudservice", "cloudsvcs", "cloudsvc",
 }
 
 

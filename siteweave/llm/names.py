@@ -4,11 +4,15 @@ Suffix blocking: of every name on the list, its coined word and the short forms
 that people make of it (first letters, consonants only), all suffixes of at least
 MIN_SUFFIX letters are indexed, and of each word read backwards too, so that a
 slip at either end leaves a suffix whole. A suffix that many organisations share is
-refined with the first letter of the name, and dropped only if it is still common
-then. Pairs from the index are compared by the ratio of the longest common
-subsequence; an exact check of the kind of difference follows: one slip of the
-pen, a word for the trade written in another way, a short form together with
-the right word for the trade, words in another order or joined or split.
+refined with the first letter of the name, and dropped only if more than COMMON_SHARE
+of all organisations still have it then; a pair with more in common than that also
+shares its longer suffixes, which are indexed to their full length.
+
+Pairs from the index are compared by the longest common subsequence. The ratio of the
+name to the listed writing ranks the candidates; a part of the name counts as the
+organisation's word for its trade if it is a subsequence of it but for one sign in
+seven (TRADE_RATIO), so any way to shorten it is one, and the rest must be the coined
+word: whole, with one slip of the pen, or a short form of it beside that trade.
 
 Names that carry no organisation's word are linked to none, also where their
 first letters or their trade agree with one.
@@ -31,10 +35,12 @@ from siteweave.functions.text import fold
 from siteweave.storage import Scratch
 
 MIN_SUFFIX = 3
-#: Organisations that may share a suffix before it is refined, and after.
-COMMON = 12
+#: Share of the listed organisations that may have a suffix before it is refined, and after; so few as COMMON are never too many.
+COMMON_SHARE, COMMON = 0.04, 12
 #: Share of the coined word that the name must have as a common subsequence; a short form of half the word still has that.
 MIN_RATIO = 0.5
+#: Share of the shorter of two words for a trade that must be common to both.
+TRADE_RATIO = 0.85
 
 LEGAL = ("inc", "incorporated", "llc", "lp", "llp", "ltd", "limited", "corp", "corporation", "co", "company", "holdings", "holding", "group", "plc", "the", "and")
 STATES = (
@@ -44,18 +50,8 @@ STATES = (
     "oregon", "pennsylvania", "rhode island", "south carolina", "south dakota", "tennessee", "texas", "utah", "vermont", "west virginia", "virginia", "washington",
     "wisconsin", "wyoming",
 )
-#: Ways to write the words for a trade, without blanks; the first is the plain one.
-TRADES = (
-    ("datacenters", "datacentres", "datacenter", "datacentre", "datactrs", "datactr", "dcs", "dc"),
-    ("telecom", "telecommunications", "telecoms", "telecomm", "telco", "tel"),
-    ("hosting", "hostingservices", "hostingservice", "hostingsvcs", "hostingsvc", "hstg"),
-    ("colocation", "colo"),
-    ("digitalinfrastructure", "diginfrastructure", "digitalinfra", "diginfra", "digitalinfrastr"),
-    ("cloudservices", "cloudservice", "cloudsvcs", "cloudsvc", "cloud"),
-    ("networks", "network", "netwks", "ntwks", "ntwk", "nets", "net"),
-    ("computeworks", "computewks", "computewk", "compworks"),
-    ("interconnect", "interconnection", "interconn", "intercon", "ix"),
-)
+#: Other words for a trade, without blanks, that are no way to shorten it; a parameter of ``link_names``.
+TRADE_ALIASES = {"telecom": ("telecommunications",), "interconnect": ("ix",), "hosting": ("hostingservices", "hostingservice", "hostingsvcs", "hostingsvc")}
 
 
 def words_of(c: Column) -> Column:
@@ -123,42 +119,46 @@ def short_forms(word: str) -> set[str]:
     return {f for f in cut | skeletons(word) if len(f) >= MIN_SUFFIX and f != word}
 
 
+@lru_cache(maxsize=65_536)
+def same_trade(part: str, trade: str, aliases: tuple[str, ...] = ()) -> bool:
+    """Whether a part of a name is the word for a trade or short for it."""
+    if part in aliases:
+        return True
+    if len(part) < 2 or len(part) > len(trade) + 3 or part[0] != trade[0]:
+        return False
+    return lcs_length(part, trade) >= TRADE_RATIO * min(len(part), len(trade))
+
+
 @lru_cache(maxsize=4096)
-def _writings(coined: str, trade: str) -> tuple[tuple[str, ...], dict[str, float], tuple[str, ...]]:
-    """Full writings of a listed name, writings with a short form and their weight, and the long words for its trade."""
-    trades = next((t for t in TRADES if t[0] == trade or trade in t), (trade,))
-    full = (coined, *(coined + t for t in trades), *(t + coined for t in trades))
-    short = {}
-    for form in short_forms(coined):
-        for t in trades:
-            for text in (form + t, t + form):
-                short[text] = max(short.get(text, 0.0), 1 + len(form) / 100)
-    return full, short, tuple(t for t in trades if len(t) >= 7)
-
-
-def closeness(text: str, coined: str, trade: str) -> float:
-    """0 for another body; else larger the closer: 3 for the word itself, 2 and up for a slip, 1 and up for a short form, below 1 for both."""
+def _short_forms(coined: str) -> tuple[str, ...]:
+    return tuple(sorted(short_forms(coined), key=lambda f: (-len(f), f)))
+
+
+def closeness(text: str, coined: str, trade: str, aliases: tuple[str, ...] = ()) -> float:
+    """0 for another body; else larger the closer: 3 for the coined word itself, 2 and its ratio for a slip, 1 and its ratio for a short form."""
     if lcs_length(text, coined) < MIN_RATIO * len(coined):
         return 0.0
-    full, short, long = _writings(coined, trade)
-    if text in full:
+    if text == coined:
+        return 3.0
+    ratio = max(lcs_length(text, full) / max(len(text), len(full)) for full in (coined + trade, trade + coined))
+    # The name as a head and what stands behind it, and the other way about.
+    parts = lambda n: ((text[:n], text[n:]), (text[len(text) - n :], text[: len(text) - n])) if 0 < n < len(text) else ()
+    if any(head == coined and same_trade(rest, trade, aliases) for head, rest in parts(len(coined))):
         return 3.0
-    if len(coined) >= 5 and any(within_one_slip(text, f) for f in full):
-        return 2 + max(lcs_length(text, f) / max(len(text), len(f)) for f in full)
-    if text in short:
-        return short[text]
-    # A slip in a long word for the trade beside one in the coined word, or beside a short form.
-    for t in long:
-        for head, tail in ((text[: len(coined) + d], text[len(coined) + d :]) for d in (-1, 0, 1)):
-            if len(coined) >= 6 and within_one_slip(tail, t) and within_one_slip(head, coined):
-                return 0.9
-        for form in short_forms(coined):
-            if len(form) >= 5 and text.startswith(form) and within_one_slip(text[len(form) :], t):
-                return 0.5
+    if len(coined) >= 5:
+        if any(within_one_slip(text, full) for full in (coined, coined + trade, trade + coined)):
+            return 2 + ratio
+        for n in (len(coined), len(coined) - 1, len(coined) + 1):
+            if any(within_one_slip(head, coined) and same_trade(rest, trade, aliases) for head, rest in parts(n)):
+                return 2 + ratio
+    for form in _short_forms(coined):
+        if any(head == form and same_trade(rest, trade, aliases) for head, rest in parts(len(form))):
+            return 1 + ratio / 2 + len(form) / 100
     return 0.0
 
 
-def _suffix_keys(batches: Iterator[pd.DataFrame], listed: bool) -> Iterator[pd.DataFrame]:
+def _suffix_keys(batches: Iterator[pd.DataFrame], longest: int | None = None) -> Iterator[pd.DataFrame]:
+    """Suffixes of names, of up to ``longest`` letters; of listed names, where that is not given, with those of their short forms."""
     for batch in batches:
         rows = set()
         for ident, text in zip(batch["ident"], batch["text"]):
@@ -167,38 +167,42 @@ def _suffix_keys(batches: Iterator[pd.DataFrame], listed: bool) -> Iterator[pd.D
             forms = {joined, *words}
             for at in range(1, len(words)):
                 forms |= {"".join(words[:at]), "".join(words[at:])}
-            if listed and words:
+            if longest is None and words:
                 forms |= short_forms(words[0])
             for form in forms:
                 for way, letters in (("<", form), (">", form[::-1])):
-                    rows |= {(ident, joined[:1], way + letters[-n:]) for n in range(MIN_SUFFIX, min(len(letters), 12) + 1)}
+                    rows |= {(ident, joined[:1], way + letters[-n:]) for n in range(MIN_SUFFIX, min(len(letters), longest or len(letters)) + 1)}
         yield pd.DataFrame(list(rows), columns=["ident", "initial", "suffix"])
 
 
-def link_names(names: DataFrame, listed: DataFrame) -> DataFrame:
+def link_names(names: DataFrame, listed: DataFrame, aliases: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
     """(text, id, score): every distinct name text (as ``words_of`` gives it) and the listed organisation (id, name) that it denotes."""
     spark = names.sparkSession
+    aliases = TRADE_ALIASES if aliases is None else aliases
     scratch = Scratch(spark, "names")
-    texts = scratch.cut(names.select(F.col("text").alias("ident")).where(F.length(F.replace("ident", F.lit(" "), F.lit(""))) >= MIN_SUFFIX).distinct().withColumn("text", F.col("ident")))
-    bodies = listed.select(F.col("id").cast("string").alias("ident"), words_of(F.col("name")).alias("text")).where(F.col("text") != "").distinct()
+    # Few bytes but much work per row: spread over all tasks, which coalescing by size would not do.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    texts = names.select(F.col("text").alias("ident")).where(F.length(F.replace("ident", F.lit(" "), F.lit(""))) >= MIN_SUFFIX).distinct().withColumn("text", F.col("ident")).repartition(tasks, "ident")
+    bodies = scratch.cut(listed.select(F.col("id").cast("string").alias("ident"), words_of(F.col("name")).alias("text")).where(F.col("text") != "").distinct())
     keys = "ident string, initial string, suffix string"
-    index = scratch.cut(bodies.mapInPandas(lambda b: _suffix_keys(b, True), keys).distinct())
-    common = index.groupBy("suffix").count().where(F.col("count") > COMMON).select("suffix")
+    index = scratch.cut(bodies.repartition(tasks, "ident").mapInPandas(_suffix_keys, keys).distinct())
+    size = bodies.agg(F.count("*"), F.max(F.length("text"))).first()
+    many, longest = max(COMMON, int(COMMON_SHARE * size[0])), size[1] or MIN_SUFFIX
+    common = index.groupBy("suffix").count().where(F.col("count") > many).select("suffix")
     plain = index.join(common, "suffix", "left_anti").select(F.col("suffix").alias("block"), F.col("ident").alias("body"))
     refined = index.join(common, "suffix", "left_semi").select(F.concat("suffix", F.lit("|"), "initial").alias("block"), F.col("ident").alias("body"))
-    kept = refined.join(refined.groupBy("block").count().where(F.col("count") <= COMMON).select("block"), "block", "left_semi")
+    kept = refined.join(refined.groupBy("block").count().where(F.col("count") <= many).select("block"), "block", "left_semi")
     blocks = plain.unionByName(kept)
-    asked = texts.mapInPandas(lambda b: _suffix_keys(b, False), keys)
+    asked = texts.mapInPandas(lambda b: _suffix_keys(b, longest), keys)
     asked = asked.withColumn("block", F.explode(F.array("suffix", F.concat("suffix", F.lit("|"), "initial")))).select("ident", "block")
     pairs = asked.join(blocks, "block").select("ident", "body").distinct()
     pairs = pairs.join(bodies.select(F.col("ident").alias("body"), F.split("text", " ").alias("w")), "body")
-    # Few bytes but much work per row: spread over all tasks, which adaptive coalescing by size would not do.
-    pairs = pairs.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "ident", "body")
+    pairs = pairs.repartition(tasks, "ident", "body")
     pairs = pairs.select("ident", "body", F.col("w")[0].alias("coined"), F.array_join(F.slice("w", 2, 100), "").alias("trade"))
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            scores = [closeness(i.replace(" ", ""), c, t) for i, c, t in zip(batch["ident"], batch["coined"], batch["trade"])]
+            scores = [closeness(i.replace(" ", ""), c, t, aliases.get(t, ())) for i, c, t in zip(batch["ident"], batch["coined"], batch["trade"])]
             out = pd.DataFrame({"text": batch["ident"], "id": batch["body"], "score": scores})
             yield out[out["score"] > 0]
 
