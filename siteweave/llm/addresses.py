@@ -2,11 +2,18 @@
 
 An address is read into house number, direction, street, street type, city,
 state and postcode; places are the distinct readings. The street is a weighted
-bag of character 2-grams. Places are found through an inverted index of grams
-under their house number, prefix-filtered: of each street only the rarest grams
-are indexed, as many as any other street with a cosine of MIN_COSINE or more
-must share one of. Found pairs are verified by that cosine and by the house
-number; an exact check follows: at most one slip on either side in the street, none in a
+bag of character 1-grams and 2-grams: letters stay together where two are swapped.
+
+Places meet in blocks of one house number and one region, and of those only where
+some block-mate can agree: places with postcodes under the postcode, a place without
+one under its state, one without a state with those that lack a postcode, one without
+both with all. Inside the blocks candidates come from an inverted index of grams,
+prefix-filtered: of each street only the rarest grams are indexed, as many as any
+other street with a cosine of MIN_COSINE or more must share one of. Only numbers go
+through these joins; the readings are fetched for the candidates found.
+
+Candidates are verified by that cosine and by the house number, which leaves few wrong
+ones; an exact check follows: at most one slip on either side in the street, none in a
 numbered street, and no direction, type, city, state or postcode against another.
 
 Defined results for odd input: an address that is null, a stand-in or without
@@ -21,9 +28,10 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siteweave.functions.text import FOLD_FROM, FOLD_TO
@@ -31,9 +39,9 @@ from siteweave.llm.names import slips
 from siteweave.storage import Scratch
 
 # Weights of grams lie between 1 and this, however many streets there are.
-MAX_WEIGHT = 2.0
-# Two slips touch six grams at most and leave one in streets of three letters or more, so no pair that the exact check allows has a lower cosine.
-MIN_COSINE = 0.99 / (1 + 6 * MAX_WEIGHT**2)
+MAX_WEIGHT = 1.3
+# No pair of streets of three letters or more that the exact check allows has a lower cosine, even where all that differs has the largest weight and all else the least.
+MIN_COSINE = 0.32
 
 TYPES = {
     "street": "st", "st": "st", "str": "st", "avenue": "ave", "ave": "ave", "av": "ave", "boulevard": "blvd", "blvd": "blvd", "boul": "blvd", "drive": "dr", "dr": "dr", "drv": "dr",
@@ -126,35 +134,40 @@ def _read_street(text: str, inner_state: str, inner_zip: str, city: str | None,
 
 def grams(street: str) -> list[str]:
     padded = f"^{street}$"
-    return sorted({padded[i : i + 2] for i in range(len(padded) - 1)})
+    return sorted({*street, *(padded[i : i + 2] for i in range(len(padded) - 1))})
 
 
 def gram_weight(count: int, most: int) -> float:
     """Rarer is heavier, but mildly so: the grams of a slip are the rarest of all."""
-    return min(MAX_WEIGHT, 1.0 + 0.2 * math.log((most + 1) / count))
+    return min(MAX_WEIGHT, 1.0 + 0.05 * math.log((most + 1) / count))
 
 
-def _weights(street: str, rarity: dict[str, float]) -> dict[str, float]:
-    weights = {g: rarity.get(g, max(rarity.values(), default=1.0)) for g in grams(street)}
-    norm = math.sqrt(sum(w * w for w in weights.values()))
-    return {g: w / norm for g, w in weights.items()}
+class Streets:
+    """Weighted bags of streets, kept for the streets met last."""
 
+    def __init__(self, rarity: dict[str, float]) -> None:
+        self.rarity = rarity
+        self.bag = lru_cache(maxsize=100_000)(self._bag)
 
-def prefix_grams(street: str, rarity: dict[str, float]) -> list[str]:
-    """The rarest grams, until what is left is too light to reach MIN_COSINE."""
-    weights = _weights(street, rarity)
-    left, out = 1.0, []
-    for gram in sorted(weights, key=lambda g: (-weights[g], g)):
-        if left < MIN_COSINE**2:
-            break
-        out.append(gram)
-        left -= weights[gram] ** 2
-    return out
+    def _bag(self, street: str) -> dict[str, float]:
+        weights = {g: self.rarity.get(g, MAX_WEIGHT) for g in grams(street)}
+        norm = math.sqrt(sum(w * w for w in weights.values()))
+        return {g: w / norm for g, w in weights.items()}
 
+    def prefix(self, street: str) -> list[str]:
+        """The rarest grams, in one order for all streets, until what is left is too light to reach MIN_COSINE."""
+        bag = self.bag(street)
+        left, out = 1.0, []
+        for gram in sorted(bag, key=lambda g: (-self.rarity.get(g, MAX_WEIGHT), g)):
+            if left < MIN_COSINE**2:
+                break
+            out.append(gram)
+            left -= bag[gram] ** 2
+        return out
 
-def cosine(a: str, b: str, rarity: dict[str, float]) -> float:
-    x, y = _weights(a, rarity), _weights(b, rarity)
-    return sum(w * y[g] for g, w in x.items() if g in y)
+    def cosine(self, a: str, b: str) -> float:
+        x, y = self.bag(a), self.bag(b)
+        return sum(w * y[g] for g, w in x.items() if g in y)
 
 
 def _agree(a: str, b: str) -> bool:
@@ -182,6 +195,19 @@ def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=["key", *PLACE])
 
 
+def _blocks() -> Column:
+    """(block, ask): the blocks of a place, and whether it looks for others there."""
+    zipped, stated, none = F.col("zip") != "", F.col("state") != "", F.lit(None)
+    block = lambda sign, ask, *region: F.struct(F.xxhash64(F.lit(sign), "num", *region).alias("block"), ask.alias("ask"))
+    found = F.array(
+        F.when(zipped, block("zip", F.lit(True), "zip")).otherwise(none),
+        F.when(stated, block("state", ~zipped, "state")).otherwise(none),
+        F.when(~zipped | ~stated, block("no zip", ~stated)).otherwise(none),
+        block("any", ~zipped & ~stated),
+    )
+    return F.filter(found, lambda x: x.isNotNull())
+
+
 def same_addresses(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """((key, place), (left, right)): the place of every record (key, address, city, state, postcode), and pairs of places that are the same.
 
@@ -193,33 +219,41 @@ def same_addresses(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     readings = parts.where(F.col("key").isNotNull() & F.col("address").rlike(r"\d")).mapInPandas(_read, "key string, " + ", ".join(f"{c} string" for c in PLACE))
     readings = scratch.cut(readings.withColumn("place", F.xxhash64(*PLACE)))
     places = scratch.cut(readings.select("place", *PLACE).distinct())
-    # Counted over all streets; a gram is two of 38 signs, so this table has a bound of 1,444 rows.
+    # Counted over all streets; a gram is one or two of 38 signs, so this table has a bound of 1,482 rows.
     counted = places.select("street").distinct()
     padded = F.concat(F.lit("^"), "street", F.lit("$"))
-    split = F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(padded) - 1), lambda i: F.substring(padded, i, F.lit(2))))
-    seen = counted.select(F.explode(split).alias("gram")).groupBy("gram").count().collect()
-    n = max((r["count"] for r in seen), default=1)
-    rarity = {r["gram"]: gram_weight(r["count"], n) for r in seen}
-    shared = spark.sparkContext.broadcast(rarity)
+    pairs_of = F.transform(F.sequence(F.lit(1), F.length(padded) - 1), lambda i: F.substring(padded, i, F.lit(2)))
+    split = F.array_distinct(F.concat(pairs_of, F.split("street", "")))
+    seen = counted.select(F.explode(split).alias("gram")).where(F.col("gram") != "").groupBy("gram").count().collect()
+    most = max((r["count"] for r in seen), default=1)
+    shared = spark.sparkContext.broadcast({r["gram"]: gram_weight(r["count"], most) for r in seen})
+
+    blocks = places.select("place", "street", F.explode(_blocks()).alias("b")).select("place", "street", "b.block", "b.ask")
+    # Blocks where nobody asks, or nobody else is.
+    live = blocks.groupBy("block").agg(F.bool_or("ask").alias("asked"), F.count("*").alias("n")).where(F.col("asked") & (F.col("n") > 1)).select("block")
+    blocks = blocks.join(live, "block", "left_semi")
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        streets = Streets(shared.value)
         for batch in batches:
-            yield batch.assign(gram=[prefix_grams(s, shared.value) for s in batch["street"]]).explode("gram")
+            yield batch.assign(gram=[streets.prefix(s) for s in batch["street"]]).explode("gram")[["place", "block", "ask", "gram"]]
 
-    fields = ", ".join(f"{c} string" for c in PLACE)
-    indexed = places.mapInPandas(index, f"place bigint, {fields}, gram string")
-    left = indexed.select("num", "gram", F.col("place").alias("left"), F.struct(*PLACE).alias("a"))
-    right = indexed.select("num", "gram", F.col("place").alias("right"), F.struct(*PLACE).alias("b"))
-    candidates = left.join(right, ["num", "gram"]).where(F.col("left") < F.col("right")).groupBy("left", "right").agg(F.first("a").alias("a"), F.first("b").alias("b"))
-    flat = candidates.select("left", "right", *[F.col(f"a.{c}").alias(f"a_{c}") for c in PLACE], *[F.col(f"b.{c}").alias(f"b_{c}") for c in PLACE])
+    indexed = blocks.mapInPandas(index, "place bigint, block bigint, ask boolean, gram string")
+    indexed = scratch.cut(indexed.select("place", "ask", F.xxhash64("block", "gram").alias("key")))
+    asking = indexed.where("ask").select("key", F.col("place").alias("one"))
+    met = asking.join(indexed.select("key", F.col("place").alias("two")), "key").where(F.col("one") != F.col("two"))
+    candidates = met.select(F.least("one", "two").alias("left"), F.greatest("one", "two").alias("right")).distinct()
+    for side, name in (("left", "a"), ("right", "b")):
+        candidates = candidates.join(places.select(F.col("place").alias(side), *[F.col(c).alias(f"{name}_{c}") for c in PLACE]), side)
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        streets = Streets(shared.value)
         for batch in batches:
             one, two = (zip(*[batch[f"{side}_{c}"] for c in PLACE]) for side in "ab")
-            good = [same_place(a, b) and cosine(a[2], b[2], shared.value) >= MIN_COSINE for a, b in zip(one, two)]
+            good = [streets.cosine(a[2], b[2]) >= MIN_COSINE and same_place(a, b) for a, b in zip(one, two)]
             yield batch.loc[good, ["left", "right"]]
 
-    return readings.select("key", "place"), flat.mapInPandas(verify, "left bigint, right bigint")
+    return readings.select("key", "place"), candidates.mapInPandas(verify, "left bigint, right bigint")
 
 
 def record_pairs(places: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -23,5 +23,6 @@ def test_allowed_pairs_reach_the_cosine_at_any_size():
         ga, gb = set(A.grams(a)), set(A.grams(b))
         for most in (10, 10**3, 10**9):
             rarity = {g: A.gram_weight(most if g in ga & gb else 1, most) for g in ga | gb}
-            assert A.cosine(a, b, rarity) >= A.MIN_COSINE, (a, b)
-            assert set(A.prefix_grams(a, rarity)) & set(A.prefix_grams(b, rarity)), (a, b)
+            streets = A.Streets(rarity)
+            assert streets.cosine(a, b) >= A.MIN_COSINE, (a, b)
+            assert set(streets.prefix(a)) & set(streets.prefix(b)), (a, b)
