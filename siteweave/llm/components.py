@@ -37,6 +37,7 @@ def _number(key: Column) -> Column:
 def _numbered(ties: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """(v, id) of every vertex, and the ties as distinct (x, y), x < y."""
     pairs = ties.where(F.col("a").isNotNull() & F.col("b").isNotNull() & (F.col("a") != F.col("b"))).select(F.col("a").cast("string").alias("a"), F.col("b").cast("string").alias("b"))
+    pairs = scratch.cut(pairs)
     ends = pairs.select(F.explode(F.array("a", "b")).alias("v")).distinct()
     # Keys with one digest are very few: a list of more than 1 << SLOT_BITS has no chance.
     slots = ends.groupBy(_number(F.col("v")).alias("h")).agg(F.array_sort(F.collect_list("v")).alias("vs"))
