@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,13 +21,7 @@ def boxes(spark: SparkSession) -> DataFrame:
 
 
 def zip3_ranges(spark: SparkSession) -> DataFrame:
-    rows = []
-    for part in re.split(r";\s*", v.ZIP3.strip()):
-        code, spans = part.split(" ", 1)
-        for span in spans.split(","):
-            low, _, high = span.partition("-")
-            rows.append((int(low), int(high or low), code))
-    return spark.createDataFrame(sorted(rows), "low int, high int, state string")
+    return spark.createDataFrame(list(v.ZIP3_RANGES), "low int, high int, state string")
 
 
 def priors(spark: SparkSession) -> DataFrame:
@@ -41,11 +33,10 @@ def priors(spark: SparkSession) -> DataFrame:
 def operator_aliases(spark: SparkSession) -> DataFrame:
     """(alias_key, canonical, ord): keys with and without blanks, the first registered for each key."""
     rows, ord_ = [], 0
-    for canonical, aliases in v.OPERATOR_ALIASES:
-        for alias in aliases:
-            for raw in (alias, canonical):
-                rows.append((raw, canonical, ord_))
-                ord_ += 1
+    for canonical, alias in v.OPERATOR_ALIASES:
+        for raw in (alias, canonical):
+            rows.append((raw, canonical, ord_))
+            ord_ += 1
     keyed = spark.createDataFrame(rows, "raw string, canonical string, ord int").withColumn("key", operator_key(F.col("raw")))
     both = keyed.select(F.explode(F.array(F.struct("key", (F.col("ord") * 2).alias("o")), F.struct(F.replace("key", F.lit(" "), F.lit("")).alias("key"), (F.col("ord") * 2 + 1).alias("o")))).alias("k"), "canonical")
     return both.where(F.col("k.key") != "").groupBy(F.col("k.key").alias("alias_key")).agg(F.min_by("canonical", "k.o").alias("canonical"), F.min("k.o").alias("ord"))

@@ -26,14 +26,6 @@ def _values(rows) -> str:
     return "(VALUES " + ", ".join("(" + ", ".join(one(x) for x in r) + ")" for r in rows) + ")"
 
 
-def _zip_rows() -> list[tuple[int, int, str]]:
-    rows = []
-    for part in v.ZIP3.replace("\n", " ").strip().split(";"):
-        code, spans = part.split()
-        rows += [(int(s.split("-")[0]), int(s.split("-")[-1]), code) for s in spans.split(",")]
-    return rows
-
-
 _NAN = lambda c: f"CASE WHEN isnan({c}) THEN NULL ELSE {c} END"
 ALL_BOXES = [(r[0], *r[6]) for r in v.JURISDICTIONS] + [(c, *b) for c, b in v.EXTRA_BOXES]
 _INSIDE = "(" + " OR ".join(f"(lon BETWEEN {x0} AND {x1} AND lat BETWEEN {y0} AND {y1})" for _, x0, y0, x1, y1 in ALL_BOXES) + ")"
@@ -57,7 +49,7 @@ def osm_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ASSIGN = f"""
-zips AS (SELECT * FROM {_values(_zip_rows())} AS z(low, high, code)),
+zips AS (SELECT * FROM {_values(v.ZIP3_RANGES)} AS z(low, high, code)),
 names AS (SELECT * FROM {_values([(r[0], r[1].upper()) for r in v.JURISDICTIONS])} AS n(code, full_name)),
 boxes AS (SELECT * FROM {_values(ALL_BOXES)} AS b(code, x0, y0, x1, y1))
 """
@@ -147,10 +139,9 @@ _SAMPLE_NAMES = (
 )
 _KEY = "trim(regexp_replace(regexp_replace(regexp_replace(lower(raw), '[^a-z0-9& ]', ' ', 'g'), '\\b(?:" + "|".join(v.OPERATOR_NOISE) + ")\\b', ' ', 'g'), ' +', ' ', 'g'))"
 _ALIAS_ROWS = []
-for _canonical, _aliases in v.OPERATOR_ALIASES:
-    for _alias in _aliases:
-        for _raw in (_alias, _canonical):
-            _ALIAS_ROWS.append((_raw, _canonical, len(_ALIAS_ROWS)))
+for _canonical, _alias in v.OPERATOR_ALIASES:
+    for _raw in (_alias, _canonical):
+        _ALIAS_ROWS.append((_raw, _canonical, len(_ALIAS_ROWS)))
 
 
 @query(f"""
