@@ -27,8 +27,8 @@ from siteweave.storage import Scratch
 EARTH_RADIUS_M = 6_371_008.8
 #: Points of one cell that one join task takes; fuller cells are salted.
 CELL_POINTS = 2_000
-#: Triangles that one hierarchy holds; more of them are dealt with in blocks.
-BLOCK_TRIANGLES = 200_000
+#: Triangles that one hierarchy holds, and points that one task looks up in it.
+BLOCK_TRIANGLES, TASK_POINTS = 200_000, 20_000
 LEAF_TRIANGLES = 8
 
 
@@ -51,16 +51,25 @@ def _cells_in_band(band: Column, height: float) -> Column:
 
 def near_pairs(points: DataFrame, distance_m: float) -> DataFrame:
     """(left_id, right_id, distance_m), left smaller, for points (id, lat, lon) at most ``distance_m`` apart on the sphere."""
-    angle = math.degrees(distance_m / EARTH_RADIUS_M)
-    height = angle * (1 + 1e-6)
+    found = near_points(points, points, distance_m, F.col("id") < F.col("other_id"))
+    return found.groupBy(F.col("id").alias("left_id"), F.col("other_id").alias("right_id")).agg(F.min("distance_m").alias("distance_m"))
+
+
+def _points(points: DataFrame) -> DataFrame:
     base = points.select(F.col("id").cast("string").alias("id"), F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon"))
     base = base.where(F.col("id").isNotNull() & located(F.col("lat"), F.col("lon"))).distinct()
     # The same place with a latitude in -90..90 and a longitude in 0..360, for cells only.
     turned = F.cos(F.radians("lat")) < 0
-    base = base.withColumn("y", F.degrees(F.asin(F.sin(F.radians("lat"))))).withColumn("x", F.pmod(F.when(turned, F.col("lon") + 180).otherwise(F.col("lon")), F.lit(360.0)))
+    return base.withColumn("y", F.degrees(F.asin(F.sin(F.radians("lat"))))).withColumn("x", F.pmod(F.when(turned, F.col("lon") + 180).otherwise(F.col("lon")), F.lit(360.0)))
+
+
+def near_points(asking: DataFrame, points: DataFrame, distance_m: float, wanted: Column | None = None) -> DataFrame:
+    """(id, other_id, distance_m) of every asking point (id, lat, lon) and the others at most ``distance_m`` away; ``wanted`` is tested on the ids first."""
+    angle = math.degrees(distance_m / EARTH_RADIUS_M)
+    height = angle * (1 + 1e-6)
     own_band = F.floor(F.col("y") / height)
     n_own = _cells_in_band(own_band, height)
-    own = base.withColumn("band", own_band).withColumn("cell", F.least(F.floor(F.col("x") / 360 * n_own), n_own - 1))
+    own = _points(points).withColumn("band", own_band).withColumn("cell", F.least(F.floor(F.col("x") / 360 * n_own), n_own - 1))
     reach = F.when(F.abs(F.col("y")) + height >= 90, F.lit(180.0)).otherwise(F.degrees(F.asin(F.least(F.lit(1.0), F.sin(F.radians(F.lit(height))) / F.cos(F.radians("y"))))) * (1 + 1e-6))
 
     def reached(step: int) -> Column:
@@ -70,17 +79,17 @@ def near_pairs(points: DataFrame, distance_m: float) -> DataFrame:
         cells = F.array_distinct(F.transform(F.sequence(low, F.least(high, low + n - 1)), lambda c: F.pmod(c, n)))
         return F.transform(cells, lambda c: F.struct(band.alias("band"), c.alias("cell")))
 
-    asks = base.withColumn("at", F.explode(F.concat(reached(-1), reached(0), reached(1)))).select("id", "lat", "lon", "at.band", "at.cell")
+    asks = _points(asking).withColumn("at", F.explode(F.concat(reached(-1), reached(0), reached(1)))).select("id", "lat", "lon", "at.band", "at.cell")
     full = own.groupBy("band", "cell").count().where(F.col("count") > CELL_POINTS).select("band", "cell", F.ceil(F.col("count") / CELL_POINTS).alias("salts"))
     if full.isEmpty():
         own, asks = own.withColumn("salt", F.lit(0)), asks.withColumn("salt", F.lit(0))
     else:
         own = own.join(full, ["band", "cell"], "left").withColumn("salt", F.pmod(F.hash("id"), F.coalesce("salts", F.lit(1))).cast("int"))
         asks = asks.join(full, ["band", "cell"], "left").withColumn("salt", F.explode(F.sequence(F.lit(0), (F.coalesce("salts", F.lit(1)) - 1).cast("int"))))
-    own = own.select("band", "cell", "salt", F.col("id").alias("right_id"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"))
+    own = own.select("band", "cell", "salt", F.col("id").alias("other_id"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"))
     metres = haversine_m(F.col("lat"), F.col("lon"), F.col("lat2"), F.col("lon2"))
-    pairs = asks.join(own, ["band", "cell", "salt"]).where(F.col("id") < F.col("right_id")).withColumn("distance_m", metres)
-    return pairs.where(F.col("distance_m") <= distance_m).groupBy(F.col("id").alias("left_id"), "right_id").agg(F.min("distance_m").alias("distance_m"))
+    pairs = asks.join(own, ["band", "cell", "salt"]).where(wanted if wanted is not None else F.col("id") != F.col("other_id"))
+    return pairs.withColumn("distance_m", metres).where(F.col("distance_m") <= distance_m).select("id", "other_id", "distance_m")
 
 
 def _triangle_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -176,44 +185,39 @@ class TriangleHierarchy:
         return inside
 
 
-def containing_regions(points: DataFrame, regions: DataFrame, block_triangles: int = BLOCK_TRIANGLES) -> DataFrame:
+def containing_regions(points: DataFrame, regions: DataFrame, block_triangles: int = BLOCK_TRIANGLES, task_points: int = TASK_POINTS) -> DataFrame:
     """(id, region) for every region (region, shape as WKT) that contains a point (id, lat, lon).
 
-    Triangles are made on the executors. Up to ``block_triangles`` of them form one
-    hierarchy that every task gets; more are ordered along a space-filling curve and cut
-    into blocks of that size, and each block sees only the points in its box.
+    Triangles are made on the executors, ordered along a space-filling curve and cut into
+    blocks of ``block_triangles``. Points go to the blocks whose box holds them, over the
+    whole degrees that boxes touch; each task builds the hierarchy of one block and looks
+    up to about ``task_points`` of its points up in it.
     """
     spark = points.sparkSession
     scratch = Scratch(spark, "regions")
     shapes = regions.select(F.col("region").cast("string").alias("region"), F.col("shape").cast("string").alias("shape"))
     shapes = shapes.where(F.col("region").isNotNull() & F.col("shape").isNotNull()).distinct()
     triangles = scratch.cut(shapes.mapInPandas(_triangle_rows, "region string, odd string, ax double, ay double, bx double, by double, cx double, cy double"))
-    n = triangles.count()
-    if n > block_triangles:
-        bits = [F.shiftleft(F.floor((c + 360) * 100).cast("long").bitwiseAND(F.lit(1 << k)), k + s) for k in range(17) for c, s in ((F.col("ax"), 0), (F.col("ay"), 1))]
-        curve = sum(bits[1:], bits[0])
-        blocks = -(-n // block_triangles)
-        triangles = scratch.cut(triangles.repartitionByRange(blocks, curve).withColumn("block", F.spark_partition_id()))
-        numbers = range(blocks)
-    else:
-        triangles, numbers = triangles.withColumn("block", F.lit(0)), range(1)
+    bits = [F.shiftleft(F.floor((c + 360) * 100).cast("long").bitwiseAND(F.lit(1 << k)), k + s) for k in range(17) for c, s in ((F.col("ax"), 0), (F.col("ay"), 1))]
+    curve = sum(bits[1:], bits[0])
+    blocks = max(1, -(-triangles.count() // block_triangles))
+    triangles = scratch.cut(triangles.repartitionByRange(blocks, curve).withColumn("block", F.spark_partition_id()))
+    corners = lambda axis: [f"{corner}{axis}" for corner in "abc"]
+    bounds = [f(g(*corners(axis))).alias(f"{axis}{end}") for axis in "xy" for f, g, end in ((F.min, F.least, 0), (F.max, F.greatest, 1))]
+    boxes = triangles.groupBy("block").agg(*bounds)
+    degree = lambda c, most: F.greatest(F.lit(-most), F.least(F.lit(most), F.floor(c)))
+    columns = boxes.withColumn("i", F.explode(F.sequence(degree(F.col("x0"), 361), degree(F.col("x1"), 361))))
+    cells = columns.withColumn("j", F.explode(F.sequence(degree(F.col("y0"), 91), degree(F.col("y1"), 91))))
     base = points.select(F.col("id").cast("string").alias("id"), F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon"))
-    base = base.where(F.col("id").isNotNull() & located(F.col("lat"), F.col("lon")))
-    out: DataFrame | None = None
-    for number in numbers:
-        block = triangles.where(F.col("block") == number).toPandas()
-        tree = TriangleHierarchy(block[["ax", "ay", "bx", "by", "cx", "cy"]].to_numpy(float), block["region"].to_numpy(object), block["odd"].to_numpy(object))
-        if not tree.nodes:
-            continue
-        shared = spark.sparkContext.broadcast(tree)
-
-        def locate(batches: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            hierarchy = shared.value
-            for batch in batches:
-                who, where = hierarchy.find(batch["lon"].to_numpy(float), batch["lat"].to_numpy(float))
-                yield pd.DataFrame({"id": batch["id"].to_numpy(object)[who], "region": where})
-
-        x0, y0, x1, y1 = map(float, tree.nodes[0][0])
-        hits = base.where(F.col("lon").between(x0, x1) & F.col("lat").between(y0, y1)).mapInPandas(locate, "id string, region string")
-        out = hits if out is None else out.unionByName(hits)
-    return out.distinct() if out is not None else spark.createDataFrame([], "id string, region string")
+    base = base.where(F.col("id").isNotNull() & located(F.col("lat"), F.col("lon"))).withColumns({"i": degree(F.col("lon"), 361), "j": degree(F.col("lat"), 91)})
+    placed = base.join(cells, ["i", "j"]).where(F.col("lon").between(F.col("x0"), F.col("x1")) & F.col("lat").between(F.col("y0"), F.col("y1"))).select("id", "lat", "lon", F.col("block").alias("part"))
+    salts = scratch.cut(placed.groupBy("part").agg(F.ceil(F.count("*") / task_points).cast("int").alias("salts")))
+    placed = placed.join(salts, "part").withColumn("salt", F.pmod(F.hash("id", "lat", "lon"), "salts")).drop("salts")
+    triangles = triangles.join(salts.withColumnRenamed("part", "block"), "block").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
+    return placed.groupBy("part", "salt").cogroup(triangles.groupBy("block", "salt")).applyInPandas(_locate, "id string, region string").distinct()
+
+
+def _locate(points: pd.DataFrame, triangles: pd.DataFrame) -> pd.DataFrame:
+    tree = TriangleHierarchy(triangles[["ax", "ay", "bx", "by", "cx", "cy"]].to_numpy(float), triangles["region"].to_numpy(object), triangles["odd"].to_numpy(object))
+    who, where = tree.find(points["lon"].to_numpy(float), points["lat"].to_numpy(float))
+    return pd.DataFrame({"id": points["id"].to_numpy(object)[who], "region": where}, columns=["id", "region"])
