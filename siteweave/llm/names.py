@@ -180,12 +180,12 @@ def link_names(names: DataFrame, listed: DataFrame, aliases: dict[str, tuple[str
     spark = names.sparkSession
     aliases = TRADE_ALIASES if aliases is None else aliases
     scratch = Scratch(spark, "names")
-    # Few bytes but much work per row: spread over all tasks, which coalescing by size would not do.
+    # Few bytes but much work per row: spread over all tasks, by a key of its own, since one that a distinct has left would be coalesced by size.
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    texts = names.select(F.col("text").alias("ident")).where(F.length(F.replace("ident", F.lit(" "), F.lit(""))) >= MIN_SUFFIX).distinct().withColumn("text", F.col("ident")).repartition(tasks, "ident")
+    texts = names.select(F.col("text").alias("ident")).where(F.length(F.replace("ident", F.lit(" "), F.lit(""))) >= MIN_SUFFIX).distinct().withColumn("text", F.col("ident")).repartition(tasks, F.xxhash64("ident"))
     bodies = scratch.cut(listed.select(F.col("id").cast("string").alias("ident"), words_of(F.col("name")).alias("text")).where(F.col("text") != "").distinct())
     keys = "ident string, initial string, suffix string"
-    index = scratch.cut(bodies.repartition(tasks, "ident").mapInPandas(_suffix_keys, keys).distinct())
+    index = scratch.cut(bodies.repartition(tasks, F.xxhash64("ident")).mapInPandas(_suffix_keys, keys).distinct())
     size = bodies.agg(F.count("*"), F.max(F.length("text"))).first()
     many, longest = max(COMMON, int(COMMON_SHARE * size[0])), size[1] or MIN_SUFFIX
     common = index.groupBy("suffix").count().where(F.col("count") > many).select("suffix")
@@ -197,7 +197,7 @@ def link_names(names: DataFrame, listed: DataFrame, aliases: dict[str, tuple[str
     asked = asked.withColumn("block", F.explode(F.array("suffix", F.concat("suffix", F.lit("|"), "initial")))).select("ident", "block")
     pairs = asked.join(blocks, "block").select("ident", "body").distinct()
     pairs = pairs.join(bodies.select(F.col("ident").alias("body"), F.split("text", " ").alias("w")), "body")
-    pairs = pairs.repartition(tasks, "ident", "body")
+    pairs = pairs.repartition(tasks, F.xxhash64("ident", "body"))
     pairs = pairs.select("ident", "body", F.col("w")[0].alias("coined"), F.array_join(F.slice("w", 2, 100), "").alias("trade"))
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
