@@ -6,11 +6,17 @@ a weaker combination of attributes and checks what it found:
 1. site code and house number, same operator;
 2. site code, same operator;
 3. house number with postcode, town or either end of the street, the address denotes the same place, same operator, no other site code;
-4. up to 60 m, then 150 m apart, same operator, nothing known against it;
-5. up to 250 m apart, likewise, and no second site of that operator about.
+4. a third record in common, or the grid cells within 150 m, and what the two sites know together agrees: a code or a house number;
+5. the grid cells within 60 m, same operator, nothing known against it;
+6. the grid cells within 150 m, likewise.
 
-Records that a pass has resolved are anti-joined from the side that asks in the next
-passes. After the passes on codes and addresses a record carries the codes and house
+A record is open towards another source until a pass matches it there. Open records ask;
+those that are resolved are anti-joined from the asking side of the next passes, and a pair
+whose two ends are both resolved towards each other's source is looked at no more. Resolved
+records stay to be found, since a site may have several records in one source: with
+both ends anti-joined one pair in forty of the test tables would be lost.
+
+After the passes on codes and addresses a record carries the codes and house
 numbers of the records it was resolved with; a pair that is near or has a third in common that these put on two sites
 is out, one that they put on one site is in. Of the sites of one operator around
 a record without code and address the nearest is the one it can be matched to.
@@ -37,12 +43,12 @@ from pyspark.sql import functions as F
 from siteweave.functions.text import FOLD_FROM, FOLD_TO
 from siteweave.llm.addresses import PLACE, read_address, same_place
 from siteweave.llm.names import LEGAL, slips
-from siteweave.operators.spatial import near_pairs
+from siteweave.operators.spatial import near_points
 from siteweave.storage import Scratch, ship
 
-NEAR_M, MID_M, FAR_M = 60.0, 150.0, 250.0
+NEAR_M, MID_M = 60.0, 150.0
 MIN_CONFIDENCE = 0.5
-RULES = ("code_and_number", "code", "address", "near", "mid", "far")
+RULES = ("code_and_number", "code", "address", "near", "mid")
 
 _FOLD = str.maketrans(FOLD_FROM, FOLD_TO)
 _CODE = re.compile(r"\b([a-z]{2,4})[\s-]?(\d{1,3})([a-z]?)\b")
@@ -99,7 +105,7 @@ def profiles(records: DataFrame) -> DataFrame:
 
 
 SIDE = ("src", "codes", "words", *PLACE)
-JUDGED = "left string, right string, metres double, place int"
+JUDGED = "left string, right string, left_src string, right_src string, metres double, place int"
 
 
 def _judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -114,7 +120,7 @@ def _judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             kept.append(akin)
             a, b = tuple(r[f"a_{c}"] for c in PLACE), tuple(r[f"b_{c}"] for c in PLACE)
             places.append(0 if not akin or not a[0] or not b[0] else 1 if same_place(a, b) else -1)
-        yield batch.assign(place=places).loc[kept, ["left", "right", "metres", "place"]]
+        yield batch.assign(place=places, left_src=batch["a_src"], right_src=batch["b_src"]).loc[kept, ["left", "right", "left_src", "right_src", "metres", "place"]]
 
 
 def _sides(pairs: DataFrame, people: DataFrame) -> DataFrame:
@@ -132,59 +138,83 @@ def _apart(a: str, b: str) -> Column:
     return (F.size(a) > 0) & (F.size(b) > 0) & ~F.arrays_overlap(a, b)
 
 
+def _open(people: DataFrame, sources: DataFrame, found: DataFrame | None) -> DataFrame:
+    """(key, toward): records and the sources in which nothing is matched to them yet."""
+    every = people.select("key", "src").join(sources, F.col("src") != F.col("toward")).select("key", "toward")
+    if found is None:
+        return every
+    done = found.select(F.col("left").alias("key"), F.col("right_src").alias("toward")).unionByName(found.select(F.col("right").alias("key"), F.col("left_src").alias("toward")))
+    return every.join(done.distinct(), ["key", "toward"], "left_anti")
+
+
+def _still_open(pairs: DataFrame, open_: DataFrame) -> DataFrame:
+    """Pairs (left, right, left_src, right_src, ..) of which an end is open towards the other's source."""
+    mark = lambda end, other: open_.select(F.col("key").alias(end), F.col("toward").alias(other), F.lit(True).alias(f"{end}_open"))
+    both = pairs.join(mark("left", "right_src"), ["left", "right_src"], "left").join(mark("right", "left_src"), ["right", "left_src"], "left")
+    return both.where(F.col("left_open") | F.col("right_open")).drop("left_open", "right_open")
+
+
+PAIR = ("left", "right", "left_src", "right_src")
+
+
 def match_sources(records: DataFrame) -> DataFrame:
     """(left, right, rule): pairs of records of different sources, left key smaller."""
     spark = records.sparkSession
     scratch = Scratch(spark, "matching")
-    people = scratch.cut(profiles(records).dropDuplicates(["key"]))
+    read = profiles(records)
+    rest = [c for c in read.columns if c != "key"]
+    people = scratch.cut(read.groupBy("key").agg(F.min(F.struct(*rest)).alias("r")).select("key", "r.*"))
+    sources = people.select(F.col("src").alias("toward")).distinct()
     known = people.select("key", "codes", F.when(F.col("num") != "", F.array("num")).otherwise(F.array().cast("array<string>")).alias("nums"))
-    strong: DataFrame | None = None
+    found: DataFrame | None = None
     for rule, blocks, holds in _passes():
         keyed = people.select("key", "src", F.explode(blocks).alias("block"))
-        # Resolved records are looked up by open ones, but no longer by each other.
-        ask = keyed if strong is None else keyed.join(strong.select(F.explode(F.array("left", "right")).alias("key")).distinct(), "key", "left_anti")
-        found = ask.join(keyed.select(F.col("key").alias("other"), F.col("src").alias("src2"), "block"), "block").where(F.col("src") != F.col("src2"))
-        pairs = found.select(F.least("key", "other").alias("left"), F.greatest("key", "other").alias("right"), F.lit(None).cast("double").alias("metres")).distinct()
+        ask = keyed.join(_open(people, sources, found), "key")
+        other = keyed.select(F.col("key").alias("other"), F.col("src").alias("toward"), "block")
+        # Skewed blocks are split by the adaptive join; only keys go through it.
+        pairs = ask.join(other, ["block", "toward"]).select(F.least("key", "other").alias("left"), F.greatest("key", "other").alias("right"), F.lit(None).cast("double").alias("metres")).distinct()
         judged = _sides(pairs, people).mapInPandas(_judge, JUDGED)
-        hits = _with(judged, known).where(holds).select("left", "right", F.lit(rule).alias("rule"), "a_codes", "b_codes", "a_nums", "b_nums")
-        strong = scratch.cut(hits if strong is None else strong.unionByName(hits))
-    close = near_pairs(people.select(F.col("key").alias("id"), "lat", "lon"), FAR_M).select(F.col("left_id").alias("left"), F.col("right_id").alias("right"), F.col("distance_m").alias("metres"))
-    # Two records that were resolved with the same third are looked at too, wherever they are.
-    ends = strong.select(F.col("left").alias("via"), F.col("right").alias("end")).unionByName(strong.select(F.col("right").alias("via"), F.col("left").alias("end")))
-    linked = ends.join(ends.withColumnRenamed("end", "other"), "via").where(F.col("end") < F.col("other")).select(F.col("end").alias("left"), F.col("other").alias("right"), F.lit(None).cast("double").alias("metres"))
+        hits = _with(judged, known).where(holds).select(*PAIR, F.lit(rule).alias("rule"), "a_codes", "b_codes", "a_nums", "b_nums")
+        if found is not None:
+            hits = hits.join(found.select("left", "right"), ["left", "right"], "left_anti")
+        found = scratch.cut(hits if found is None else found.unionByName(hits))
+    strong = found
+    open_ = scratch.cut(_open(people, sources, strong))
+    asking = open_.select("key").distinct().join(people, "key").select(F.col("key").alias("id"), "lat", "lon")
+    close = near_points(asking, people.select(F.col("key").alias("id"), "lat", "lon"), MID_M)
+    close = close.select(F.least("id", "other_id").alias("left"), F.greatest("id", "other_id").alias("right"), F.col("distance_m").alias("metres"))
+    # Two records that were resolved with the same third are looked at too, wherever they are; of its many partners only those of another source that are still open there.
+    ends = strong.select(F.col("left").alias("via"), F.col("right").alias("end"), F.col("right_src").alias("end_src")).unionByName(strong.select(F.col("right").alias("via"), F.col("left").alias("end"), F.col("left_src").alias("end_src")))
+    lacking = ends.join(open_.select(F.col("key").alias("end"), "toward"), "end")
+    linked = lacking.join(ends.select("via", F.col("end").alias("other"), F.col("end_src").alias("toward")), ["via", "toward"]).select(F.least("end", "other").alias("left"), F.greatest("end", "other").alias("right"), F.lit(None).cast("double").alias("metres"))
     close = close.unionByName(linked).groupBy("left", "right").agg(F.min("metres").alias("metres"))
-    judged = scratch.cut(_sides(close.join(strong.select("left", "right"), ["left", "right"], "left_anti"), people).mapInPandas(_judge, JUDGED))
+    judged = _sides(close, people).mapInPandas(_judge, JUDGED).where(F.col("place") >= 0)
+    judged = scratch.cut(_still_open(judged, open_))
     # What the resolved records of a site know together. Sites have few records each; sets stay small.
     told = strong.select(F.col("left").alias("key"), F.col("b_codes").alias("codes"), F.col("b_nums").alias("nums")).unionByName(strong.select(F.col("right").alias("key"), F.col("a_codes").alias("codes"), F.col("a_nums").alias("nums")))
     facts = known.unionByName(told).select("key", F.explode(F.concat(F.transform("codes", lambda c: F.concat(F.lit("c"), c)), F.transform("nums", lambda n: F.concat(F.lit("n"), n)))).alias("fact")).distinct()
     gathered = facts.groupBy("key").agg(F.collect_set("fact").alias("facts"))
     starts = lambda sign: F.filter(F.coalesce("facts", F.array().cast("array<string>")), lambda f: f.startswith(sign))
     enriched = people.select("key").join(gathered, "key", "left").select("key", starts("c").alias("codes"), starts("n").alias("nums"))
-    weak = _with(judged.where(F.col("place") >= 0), enriched)
     one_site = _shares("a_codes", "b_codes") | (_shares("a_nums", "b_nums") & ~_apart("a_codes", "b_codes"))
     two_sites = _apart("a_codes", "b_codes") | (_apart("a_nums", "b_nums") & ~_shares("a_codes", "b_codes"))
-    weak = scratch.cut(weak.withColumn("one", one_site).where(F.col("one") | ~two_sites))
-    # Around each record: the nearest site that knows its code or number, and whether there are two such sites.
+    weak = scratch.cut(_with(judged, enriched).withColumn("one", one_site).where(F.col("one") | ~two_sites))
+    together = weak.where("one").select(*PAIR, F.when(_shares("a_codes", "b_codes"), RULES[1]).otherwise(RULES[2]).alias("rule"))
+    found = scratch.cut(strong.select(*PAIR, "rule").unionByName(together))
+    # Around each record: the nearest site that knows its code or number.
     around = weak.select(F.col("left").alias("key"), "metres", F.col("b_codes").alias("codes"), F.col("b_nums").alias("nums")).unionByName(weak.select(F.col("right").alias("key"), "metres", F.col("a_codes").alias("codes"), F.col("a_nums").alias("nums")))
     around = around.where(F.col("metres").isNotNull() & ((F.size("codes") > 0) | (F.size("nums") > 0)))
-    first = lambda c: F.array_min(c)
-    nearest = around.groupBy("key").agg(F.min_by(F.struct("codes", "nums", "metres"), F.struct("metres", "codes", "nums")).alias("z"), (F.min(first("codes")) != F.max(first("codes"))).alias("c2"), (F.min(first("nums")) != F.max(first("nums"))).alias("n2"))
-    nearest = nearest.select("key", "z.codes", "z.nums", (F.coalesce("c2", F.lit(False)) | F.coalesce("n2", F.lit(False))).alias("several"))
+    nearest = around.groupBy("key").agg(F.min_by(F.struct("codes", "nums"), F.struct("metres", "codes", "nums")).alias("z")).select("key", "z.codes", "z.nums")
+    free = weak.where(~F.col("one") & F.col("metres").isNotNull())
     for side, mine in (("left", "b"), ("right", "a")):
-        z = nearest.select(F.col("key").alias(side), F.col("codes").alias("z_codes"), F.col("nums").alias("z_nums"), F.col("several").alias(f"{side}_several"))
-        weak = weak.join(z, side, "left")
+        free = free.join(nearest.select(F.col("key").alias(side), F.col("codes").alias("z_codes"), F.col("nums").alias("z_nums")), side, "left")
         rival = _apart(f"{mine}_codes", "z_codes") | (_apart(f"{mine}_nums", "z_nums") & ~_shares(f"{mine}_codes", "z_codes"))
-        weak = weak.withColumn(f"{side}_rival", F.coalesce(rival, F.lit(False))).drop("z_codes", "z_nums")
-    free = ~F.col("left_rival") & ~F.col("right_rival")
-    alone = ~F.coalesce("left_several", F.lit(False)) & ~F.coalesce("right_several", F.lit(False))
-    rule = (
-        F.when(F.col("one"), F.when(_shares("a_codes", "b_codes"), "code").otherwise("address"))
-        .when(free & (F.col("metres") <= NEAR_M), "near")
-        .when(free & (F.col("metres") <= MID_M), "mid")
-        .when(free & alone & (F.col("metres") <= FAR_M), "far")
-    )
-    later = weak.withColumn("rule", rule).where(F.col("rule").isNotNull()).select("left", "right", "rule")
-    return strong.select("left", "right", "rule").unionByName(later)
+        free = free.where(~F.coalesce(rival, F.lit(False))).drop("z_codes", "z_nums")
+    free = scratch.cut(free.select(*PAIR, "metres"))
+    for rule, reach in ((RULES[3], NEAR_M), (RULES[4], MID_M)):
+        hits = _still_open(free.where(F.col("metres") <= reach), _open(people, sources, found)).select(*PAIR, F.lit(rule).alias("rule"))
+        found = scratch.cut(found.unionByName(hits.join(found.select("left", "right"), ["left", "right"], "left_anti")))
+    return found.select("left", "right", "rule")
 
 
 def _with(pairs: DataFrame, facts: DataFrame) -> DataFrame:
@@ -221,7 +251,7 @@ def _label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 elif same and not (x and y):
                     rule = RULES[2]
                 elif not against and metres is not None and not math.isnan(metres):
-                    rule = RULES[3] if metres <= NEAR_M else RULES[4] if metres <= MID_M else RULES[5] if metres <= FAR_M else None
+                    rule = RULES[3] if metres <= NEAR_M else RULES[4] if metres <= MID_M else None
             rules.append(rule)
         yield pd.DataFrame({"rule": rules, "hit": batch["hit"]}).dropna()
 

@@ -184,7 +184,7 @@ def test_codes_words_confidence(spark):
     data = [("A12 Fevfald", "Fevfald A12", None, None, 5.0, 1), ("AB12 Fevfald", "Fevfald AB12", None, None, 5.0, 1), ("AB12 Fevfald", "Fevfald AB12", None, None, None, 0), ("Fevfald", "Rilafis", None, None, 1.0, 0), (None, None, None, None, None, 1)]
     df = spark.createDataFrame(data, "left_name string, right_name string, left_address string, right_address string, metres double, hit int")
     got = {r["rule"]: r["confidence"] for r in rule_confidence(df).collect()}
-    assert set(got) == set(RULES) and got["code"] == 0.5 and got["near"] == 0.6667 and got["far"] == 0.5
+    assert set(got) == set(RULES) and got["code"] == 0.5 and got["near"] == 0.6667 and got["mid"] == 0.5
 
 
 # --- names
