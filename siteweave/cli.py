@@ -33,7 +33,7 @@ def main(argv: list[str] | None = None) -> int:
             wanted = [s.upper() for s in args.state]
             if set(wanted) - known:
                 parser.error(f"unknown jurisdiction: {', '.join(sorted(set(wanted) - known))}")
-            records = records.where(F.col("state").isin(*wanted))
+            records = plan.placed(records).where(F.col("state").isin(*wanted))
         built = plan.build(records, inventory, **plan.read_evidence(spark, args.raw))
         plan.write_all(built, args.folder)
         built.summary.show(60, truncate=False)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column
@@ -55,8 +56,14 @@ def distance_credit(metres: Column) -> Column:
     return F.when(metres <= FULL_NEAR_M, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), 1.0 - (metres - FULL_NEAR_M) / (REACH_M - FULL_NEAR_M)))
 
 
+@lru_cache(maxsize=200_000)
+def _ratio(a: str, b: str) -> float:
+    return SequenceMatcher(None, a, b).ratio()
+
+
 def _ratios(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([SequenceMatcher(None, x, y).ratio() if x and y else 0.0 for x, y in zip(a, b)], dtype="float64")
+    """Equal texts and missing ones need no comparison; a worker compares two texts once."""
+    return pd.Series([0.0 if not x or not y else 1.0 if x == y else _ratio(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
 def block_ratio(a: Column | str, b: Column | str) -> Column:

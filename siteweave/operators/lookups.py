@@ -56,6 +56,23 @@ def only_box(lat: Column, lon: Column, boxes: list[tuple[str, tuple[float, float
     return F.when(F.size(hits) == 1, hits[0])
 
 
+def smallest_box(lat: Column, lon: Column, boxes: list[tuple[str, tuple[float, float, float, float]]]) -> Column:
+    """The code of the smallest box that holds the position; null where none does."""
+    area = lambda b: (b[2] - b[0]) * (b[3] - b[1])
+    return F.coalesce(*[F.when(lon.between(b[0], b[2]) & lat.between(b[1], b[3]), F.lit(code)) for code, b in sorted(boxes, key=lambda row: area(row[1]))])
+
+
+def in_own_boxes(state: Column, lat: Column, lon: Column, boxes: list[tuple[str, tuple[float, float, float, float]]]) -> Column:
+    """Inside a box of the row's own jurisdiction, edges in; false for a missing position or an unknown jurisdiction."""
+    by_code: dict[str, list[Column]] = {}
+    for code, (x0, y0, x1, y1) in boxes:
+        by_code.setdefault(code, []).append(lon.between(x0, x1) & lat.between(y0, y1))
+    chain = F.when(F.lit(False), F.lit(False))
+    for code, tests in by_code.items():
+        chain = chain.when(state == code, reduce(lambda a, b: a | b, tests))
+    return F.coalesce(chain, F.lit(False))
+
+
 def in_any_box(lat: Column, lon: Column, boxes: list[tuple[float, float, float, float]]) -> Column:
     """Inside the union of boxes, edges in; false for a missing position."""
     return F.coalesce(reduce(lambda a, b: a | b, [lon.between(x0, x1) & lat.between(y0, y1) for x0, y0, x1, y1 in boxes]), F.lit(False))

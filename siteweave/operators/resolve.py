@@ -1,12 +1,10 @@
 """Records of one site in several sources to one facility: blocking, scoring, constrained merging, consolidation.
 
-Blocking joins records on one-kilometre cells of their projected position. Merging is
-best-first under cannot-link pairs. Edges of different components can't meet, so every
-component of up to GROUP_EDGES edges is merged in one task of its own. Larger ones are
-merged in rounds by joins: an edge that is the best of both clusters at its ends is
-decided now, since no better edge can still change either of them; such edges are
-independent, and deciding them all at once gives the result of the sequential order
-without any group in one task.
+Blocking joins records on one-kilometre cells of their projected position; full cells are
+salted. Merging is best-first under cannot-link pairs, in rounds of joins: an edge that is
+the best of both clusters at its ends is decided now, since no better edge can still change
+either of them; such edges are independent, and deciding them all at once gives the result
+of the sequential order without any group in one task.
 
 Defined results for odd input: records without a position or a key take no part;
 ties in score follow record order; repeated keys count once; an empty table gives
@@ -15,7 +13,6 @@ empty results; columns beyond the record shape are ignored.
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,8 +23,8 @@ from siteweave.vocabulary import OTHER_PRIORITY, SOURCE_PRIORITY, SQM_PER_SQFT
 
 REACH_M = 1000.0
 MERGE, REVIEW = 0.72, 0.50
-#: Edges and cannot-link pairs of one component that one task takes.
-GROUP_EDGES = 20_000
+#: Records of one cell that one join task takes; fuller cells are salted.
+CELL_RECORDS = 1_000
 UNION_ORDER = ("osm", "peeringdb", "epa_nei")
 
 
@@ -51,8 +48,13 @@ def candidate_pairs(rows: DataFrame, reach: float = REACH_M) -> DataFrame:
     around = F.explode(F.array(*[F.struct((F.col("cx") + dx).alias("cx"), (F.col("cy") + dy).alias("cy")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]))
     left = base.select(F.col("ord").alias("i"), "zone", F.col("x").alias("x1"), F.col("y").alias("y1"), around.alias("c")).select("i", "zone", "x1", "y1", "c.cx", "c.cy")
     right = base.select(F.col("ord").alias("j"), "zone", F.col("x").alias("x2"), F.col("y").alias("y2"), "cx", "cy")
+    keys = ["zone", "cx", "cy"]
+    full = right.groupBy(*keys).count().where(F.col("count") > CELL_RECORDS).select(*keys, F.ceil(F.col("count") / CELL_RECORDS).cast("int").alias("salts"))
+    salts = F.coalesce("salts", F.lit(1))
+    left = left.join(full, keys, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("salts")
+    right = right.join(full, keys, "left").withColumn("salt", F.pmod(F.hash("j"), salts)).drop("salts")
     metres = F.hypot(F.col("x1") - F.col("x2"), F.col("y1") - F.col("y2"))
-    return left.join(right, ["zone", "cx", "cy"]).where((F.col("i") < F.col("j")) & (metres <= reach)).select("i", "j", metres.alias("metres"))
+    return left.join(right, [*keys, "salt"]).where((F.col("i") < F.col("j")) & (metres <= reach)).select("i", "j", metres.alias("metres"))
 
 
 def score_pairs(rows: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -69,59 +71,11 @@ def score_pairs(rows: DataFrame, pairs: DataFrame) -> DataFrame:
     return both.withColumn("score", score).withColumn("forbidden", sim.cannot_link(F.col("l_codes"), F.col("r_codes"), F.col("l_number"), F.col("r_number"))).drop("addr_ratio", "op_ratio", "shared", "operators")
 
 
-def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
-    """(v, root) of every vertex of (i, j): the least vertex reachable, by taking neighbours' labels and then the labels' labels."""
-    both = scratch.cut(edges.select(F.col("i").alias("v"), F.col("j").alias("n")).unionByName(edges.select(F.col("j").alias("v"), F.col("i").alias("n"))).distinct())
-    labels = scratch.cut(both.groupBy("v").agg(F.least("v", F.min("n")).alias("root")))
-    while True:
-        near = both.join(labels.withColumnRenamed("v", "n"), "n").groupBy("v").agg(F.min("root").alias("m"))
-        step = labels.join(near, "v").select("v", F.least("root", "m").alias("root"))
-        jump = step.select(F.col("v").alias("root"), F.col("root").alias("further"))
-        after = scratch.cut(step.join(jump, "root", "left").select("v", F.least("root", F.coalesce("further", "root")).alias("root")))
-        moved = after.join(labels.withColumnRenamed("root", "old"), "v").where(F.col("root") != F.col("old"))
-        done = moved.isEmpty()
-        scratch.drop(labels)
-        labels = after
-        if done:
-            return labels
-
-
-def merge_in_order(edges: pd.DataFrame, bans: pd.DataFrame) -> pd.DataFrame:
-    """Best edge first: two clusters become one unless a cannot-link pair stands between them."""
-    owner: dict[str, str] = {}
-    members: dict[str, set[str]] = {}
-    against: dict[str, set[str]] = {}
-    for p, q in zip(bans["i"], bans["j"]):
-        against.setdefault(p, set()).add(q)
-        against.setdefault(q, set()).add(p)
-    for i, j in edges.sort_values(["score", "i", "j"], ascending=[False, True, True])[["i", "j"]].itertuples(index=False):
-        a, b = owner.setdefault(i, i), owner.setdefault(j, j)
-        if a == b:
-            continue
-        one, two = members.setdefault(a, {a}), members.setdefault(b, {b})
-        if any(against.get(v, set()) & two for v in one):
-            continue
-        keep, gone = (a, b) if a < b else (b, a)
-        members[keep] = one | two
-        for v in members.pop(gone):
-            owner[v] = keep
-    return pd.DataFrame({"v": list(owner), "cluster": list(owner.values())}, dtype="object")
-
-
-def constrained_clusters(edges: DataFrame, forbidden: DataFrame, scratch: Scratch, group_edges: int = GROUP_EDGES) -> DataFrame:
+def constrained_clusters(edges: DataFrame, forbidden: DataFrame, scratch: Scratch) -> DataFrame:
     """(v, cluster) of every vertex of an edge; cluster is the least vertex merged with it. ``edges`` (i, j, score), ``forbidden`` (i, j)."""
-    roots = components(edges, scratch)
-    at = roots.withColumnRenamed("v", "i")
-    placed = scratch.cut(edges.join(at, "i").select("root", "i", "j", "score"))
-    inner = scratch.cut(forbidden.select("i", "j").distinct().join(at, "i").join(roots.select(F.col("v").alias("j"), F.col("root").alias("other")), "j").where(F.col("root") == F.col("other")).select("root", "i", "j"))
-    sizes = placed.select("root").unionByName(inner.select("root")).groupBy("root").count()
-    large = scratch.cut(sizes.where(F.col("count") > group_edges).select("root"))
-    small_edges, small_bans = placed.join(large, "root", "left_anti"), inner.join(large, "root", "left_anti")
-    grouped = small_edges.groupBy("root").cogroup(small_bans.groupBy("root"))
-    out = scratch.cut(grouped.applyInPandas(lambda e, b: merge_in_order(e, b), "v string, cluster string"))
-    if not large.isEmpty():
-        out = out.unionByName(clusters_in_rounds(placed.join(large, "root", "left_semi").drop("root"), inner.join(large, "root", "left_semi").drop("root"), scratch))
-    return out
+    merged = clusters_in_rounds(edges, forbidden, scratch)
+    alone = edges.select(F.explode(F.array("i", "j")).alias("v")).distinct().join(merged, "v", "left_anti")
+    return merged.unionByName(alone.select("v", F.col("v").alias("cluster")))
 
 
 def clusters_in_rounds(edges: DataFrame, forbidden: DataFrame, scratch: Scratch) -> DataFrame:

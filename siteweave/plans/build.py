@@ -15,7 +15,8 @@ from siteweave.schemas import FACILITY_COLUMNS, POWER_COLUMNS, facility_rules, p
 from siteweave.sinks import writers
 from siteweave.storage import Scratch, ship
 
-ALL_BOXES = [r[6] for r in vocabulary.JURISDICTIONS] + [b for _, b in vocabulary.EXTRA_BOXES]
+BOXES = [(r[0], r[6]) for r in vocabulary.JURISDICTIONS] + list(vocabulary.EXTRA_BOXES)
+ALL_BOXES = [b for _, b in BOXES]
 
 
 @dataclass
@@ -29,6 +30,13 @@ class Built:
     summary: DataFrame
 
 
+def placed(records: DataFrame) -> DataFrame:
+    """Records with the jurisdiction they belong to: the one their source names, else that of the postcode, else the one box or the smallest that holds them."""
+    zips = dims.zip3_ranges(records.sparkSession)
+    out = lookups.assign_state(records, zips, BOXES, "state", "postcode", "lat", "lon", "_state")
+    return out.withColumn("state", F.coalesce("_state", lookups.smallest_box(F.col("lat"), F.col("lon"), BOXES))).drop("_state")
+
+
 def measured(records: DataFrame) -> DataFrame:
     """Footprints from outlines of buildings; a site outline or a point has none."""
     ship(records.sparkSession)
@@ -43,7 +51,7 @@ def tagged(records: DataFrame) -> DataFrame:
     named = lookups.resolve_operators(records, "operator_raw", aliases, vehicles)
     by_name = lookups.resolve_operators(named.where(F.col("operator").isNull()).drop("operator", "operator_confidence"), "name", aliases, vehicles)
     both = named.where(F.col("operator").isNotNull()).unionByName(by_name)
-    return classify.classify(both, lookups.in_any_box(F.col("lat"), F.col("lon"), ALL_BOXES))
+    return classify.classify(both, lookups.in_own_boxes(F.col("state"), F.col("lat"), F.col("lon"), BOXES))
 
 
 def explained(estimates: DataFrame) -> DataFrame:
@@ -59,7 +67,7 @@ def build(records: DataFrame, inventory: DataFrame, territories: DataFrame | Non
     """
     spark = records.sparkSession
     scratch = Scratch(spark, "build")
-    rows = scratch.cut(tagged(measured(records)))
+    rows = scratch.cut(tagged(measured(placed(records))))
     facilities, links, review = resolve(rows.where(F.col("exclusion_rule").isNull()))
     gated = scratch.cut(classify.fleet_gate(facilities, links, inventory))
     kept = gated.where(F.col("exclusion_rule").isNull()).drop("exclusion_rule", "fleet_units")
@@ -113,15 +121,14 @@ def check(facilities: DataFrame, estimates: DataFrame) -> DataFrame:
 
 
 def read_raw(spark: SparkSession, raw: str) -> tuple[DataFrame, DataFrame]:
-    """(records, inventory) from the snapshot folders below ``raw``, each source at its latest snapshot."""
+    """(records, inventory) from the snapshot folders below ``raw``, each source at its latest snapshot, by jurisdiction where it is taken so."""
     from siteweave.sources import nei, osm, peeringdb
 
-    elements = osm.latest_snapshot(osm.read_snapshots(spark, f"{raw}/osm"))
-    registry = osm.latest_snapshot(peeringdb.read_snapshots(spark, f"{raw}/peeringdb")).dropDuplicates(["id"])
-    units = nei.read_extracts(spark, f"{raw}/epa_nei")
+    elements = osm.latest_snapshot(osm.read_snapshots(spark, f"{raw}/osm"), within="file_state")
+    registry = peeringdb.newest(osm.latest_snapshot(peeringdb.read_snapshots(spark, f"{raw}/peeringdb")), F.lit(0))
+    units = osm.latest_snapshot(nei.read_extracts(spark, f"{raw}/epa_nei"), within="state")
     from_units, inventory = nei.to_records(units)
-    mapped = osm.to_records(elements.withColumn("tags", F.col("tags")))
-    return mapped.unionByName(peeringdb.to_records(registry)).unionByName(from_units), inventory
+    return osm.to_records(elements).unionByName(peeringdb.to_records(registry)).unionByName(from_units), inventory
 
 
 def _latest(spark: SparkSession, pattern: str) -> str | None:

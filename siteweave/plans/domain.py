@@ -671,7 +671,7 @@ def registry_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     from siteweave.plans.build import build
 
     elements = osm.latest_snapshot(table(spark, sf_dir, "overpass_datacenters"), "snapshot_date")
-    registry = osm.latest_snapshot(table(spark, sf_dir, "peeringdb_fac"), "snapshot_date").dropDuplicates(["id"])
+    registry = peeringdb.newest(osm.latest_snapshot(table(spark, sf_dir, "peeringdb_fac"), "snapshot_date"), F.col("retrieved_at"))
     units, inventory = nei.to_records(table(spark, sf_dir, "nei_units"))
     built = build(osm.to_records(elements).unionByName(peeringdb.to_records(registry)).unionByName(units), inventory, table(spark, sf_dir, "utilities"))
     return built.facilities.select("facility_id", "state", "name", "operator", "facility_class", "utility", "source_list", "n_sources", "best_power_mw", "power_tier")

@@ -46,9 +46,11 @@ def _struct(ddl: str) -> str:
     return ", ".join(out)
 
 
-def latest_snapshot(df: DataFrame, column: str = "snapshot") -> DataFrame:
-    """Rows of the latest snapshot only."""
-    return df.join(F.broadcast(df.agg(F.max(column).alias(column))), column, "left_semi")  # one row
+def latest_snapshot(df: DataFrame, column: str = "snapshot", within: str | None = None) -> DataFrame:
+    """Rows of the latest snapshot only; of each value of ``within``, where snapshots are taken by jurisdiction."""
+    keys = [within] if within else []
+    # One row, or one for each jurisdiction.
+    return df.join(F.broadcast(df.groupBy(*keys).agg(F.max(column).alias(column))), [*keys, column], "left_semi")
 
 
 def is_site(tags: Column) -> Column:
@@ -66,9 +68,11 @@ def to_records(elements: DataFrame) -> DataFrame:
     middle = F.col("center") if "center" in columns else F.lit(None).cast("struct<lat: double, lon: double>")
     pick = lambda part: F.when(F.col("type") == "node", F.col(part)).otherwise(F.coalesce(centre[part], start[part], middle[part]))
     key = F.concat_ws("/", "type", F.col("id").cast("string"))
+    # The jurisdiction it was asked for says more than the tag.
+    state = F.coalesce(F.nullif(F.col("file_state"), F.lit("")), tag("addr:state")) if "file_state" in columns else tag("addr:state")
     rows = elements.select(
         F.lit("osm").alias("source"), key.alias("source_id"), F.concat(F.lit("https://www.openstreetmap.org/"), key).alias("source_url"), tag("name", "operator", "short_name").alias("name"), tag("operator").alias("operator_raw"),
-        pick("lat").alias("lat"), pick("lon").alias("lon"), F.nullif(F.concat_ws(" ", tag("addr:housenumber"), tag("addr:street")), F.lit("")).alias("address"), tag("addr:city").alias("city"), tag("addr:state").alias("state"),
+        pick("lat").alias("lat"), pick("lon").alias("lon"), F.nullif(F.concat_ws(" ", tag("addr:housenumber"), tag("addr:street")), F.lit("")).alias("address"), tag("addr:city").alias("city"), state.alias("state"),
         tag("addr:postcode").alias("postcode"), tag("construction", "disused").alias("status_raw"), year_of(tag("start_date")).alias("year_built"), tag("building:levels").alias("building_levels"),
         F.when(F.col("type") != "node", ring_wkt(ring)).alias("geometry_wkt"), tag("building").isNotNull().alias("is_building"), tag("clli").alias("clli"), tag("website").alias("website"), F.to_json("tags").alias("raw_json"),
     )

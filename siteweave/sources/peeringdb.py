@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siteweave import dims, vocabulary
+from siteweave.functions.keys import any_timestamp
 from siteweave.operators.lookups import assign_state
 from siteweave.schemas import conform
 
@@ -23,6 +24,13 @@ def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("snapshot", F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{4}-\d{2}-\d{2})/[^/]+$", 1))
 
 
+def newest(rows: DataFrame, time: Column) -> DataFrame:
+    """One row of each id: the latest updated, then the latest by ``time``."""
+    rest = F.struct(*[c for c in rows.columns if c != "id"])
+    order = F.struct(any_timestamp(F.col("updated")), time, F.xxhash64("name", "address1", "latitude", "longitude"))
+    return rows.groupBy("id").agg(F.max_by(rest, order).alias("_r")).select("id", "_r.*")
+
+
 def to_records(rows: DataFrame) -> DataFrame:
     """Records of rows in service (no status counts as such) with coordinates; the state is assigned, not taken."""
     kept = rows.where((F.coalesce("status", F.lit("ok")) == "ok") & F.col("latitude").isNotNull() & F.col("longitude").isNotNull())

@@ -56,20 +56,41 @@ def test_equal_ids_are_numbered_everywhere(spark):
     assert ids[0].endswith("-0") and ids[1].endswith("-1") and sorted(r[0] for r in links.select("facility_id").collect()) == ids
 
 
+def merge_in_order(edges: pd.DataFrame, bans: pd.DataFrame) -> pd.DataFrame:
+    """Best edge first: two clusters become one unless a cannot-link pair stands between them."""
+    owner: dict[str, str] = {}
+    members: dict[str, set[str]] = {}
+    against: dict[str, set[str]] = {}
+    for p, q in zip(bans["i"], bans["j"]):
+        against.setdefault(p, set()).add(q)
+        against.setdefault(q, set()).add(p)
+    for i, j in edges.sort_values(["score", "i", "j"], ascending=[False, True, True])[["i", "j"]].itertuples(index=False):
+        a, b = owner.setdefault(i, i), owner.setdefault(j, j)
+        if a == b:
+            continue
+        one, two = members.setdefault(a, {a}), members.setdefault(b, {b})
+        if any(against.get(v, set()) & two for v in one):
+            continue
+        keep, gone = (a, b) if a < b else (b, a)
+        members[keep] = one | two
+        for v in members.pop(gone):
+            owner[v] = keep
+    return pd.DataFrame({"v": list(owner), "cluster": list(owner.values())}, dtype="object")
+
+
 @pytest.mark.parametrize("seed", range(2))
-def test_both_ways_to_merge_agree(spark, seed):
+def test_merging_in_rounds_against_best_first(spark, seed):
     rng = random.Random(seed)
     names = [f"v{i:02}" for i in range(14)]
     pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1 :]]
     edges = [(a, b, rng.choice((0.8, 0.9, 0.75, rng.random()))) for a, b in rng.sample(pairs, 24)]
     bans = rng.sample(pairs, 12)
-    want = R.merge_in_order(pd.DataFrame(edges, columns=["i", "j", "score"]), pd.DataFrame(bans, columns=["i", "j"]))
+    want = merge_in_order(pd.DataFrame(edges, columns=["i", "j", "score"]), pd.DataFrame(bans, columns=["i", "j"]))
     groups = {frozenset(g["v"]) for _, g in want.groupby("cluster") if len(g) > 1}
     e, b = spark.createDataFrame(edges, "i string, j string, score double"), spark.createDataFrame(bans, "i string, j string")
-    for limit in (10**6, 0):
-        got = R.constrained_clusters(e, b, Scratch(spark, "t"), group_edges=limit).toPandas()
-        got = pd.concat([got, got[["cluster"]].assign(v=got["cluster"])])[["v", "cluster"]].drop_duplicates()
-        assert {frozenset(g["v"]) for _, g in got.groupby("cluster") if len(g) > 1} == groups
+    got = R.constrained_clusters(e, b, Scratch(spark, "t")).toPandas()
+    assert set(got["v"]) == {v for i, j, _ in edges for v in (i, j)}
+    assert {frozenset(g["v"]) for _, g in got.groupby("cluster") if len(g) > 1} == groups
 
 
 def test_estimates(spark):

@@ -60,8 +60,8 @@ def test_build_reads_territories_overrides_and_filings(spark, tmp_path, monkeypa
     out = str(tmp_path / "out")
     assert cli.main(["build", out, "--raw", str(raw)]) == 0
     got = {r["name"].split()[0] + (r["state"] or ""): r for r in spark.read.parquet(f"{out}/facilities.parquet").collect()}
-    assert {k: (r["utility"], r["power_tier"]) for k, r in got.items()} == {"Silicon": ("PGE", "A_attested"), "Vantage": (None, "A_attested"), "SiliconTX": (None, "A_attested")}
-    assert got["Vantage"]["best_power_mw"] == got["SiliconTX"]["best_power_mw"] == 30.0
+    assert {k: (r["utility"], r["power_tier"]) for k, r in got.items()} == {"SiliconCA": ("PGE", "A_attested"), "VantageCA": (None, "A_attested"), "SiliconTX": (None, "A_attested")}
+    assert got["VantageCA"]["best_power_mw"] == got["SiliconTX"]["best_power_mw"] == 30.0
     cited = spark.read.parquet(f"{out}/power_estimates.parquet")
     assert sorted(map(tuple, cited.select("stated_value_mw", "basis", "source_url", "retrieved_at").collect())) == [(30.0, "it_load", "https://x/1", "2031-01-01")] * 2 + [(40.0, "it_load", "https://x/2", "2031-01-01")] * 2 + [(50.0, "critical_load", "https://y/77", "2031-01-01")]
 
