@@ -7,7 +7,8 @@ dynamic programme over the lengths still available finds the fullest feasible
 combination that holds the longest item left; the combination is repeated as
 often as the counts allow and its items are removed. The list of combinations is
 bounded by the capacity as well. Then every item gets its rank among the items
-of its length, and with it a place: an equi-join on length with a range of ranks.
+of its length, and with it a place: an equi-join on length and block of ranks, with blocks
+so wide that one holds the start of one run of places on average.
 
 An item longer than the capacity is cut into full containers and a rest, which is
 packed as an item. Items without length (null, zero or below) go into none.
@@ -19,7 +20,7 @@ columns are not read.
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -94,16 +95,22 @@ def pack(items: DataFrame, key: str, size: str, capacity: int = CAPACITY) -> Dat
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.withColumn("offset", F.coalesce(F.sum("c").over(before), F.lit(0))).drop("c")
     counts = {row["length"]: row["c"] for row in sizes.groupBy("length").agg(F.sum("c").alias("c")).collect()}
-    places, used, containers = [], Counter(), 0
+    runs: dict[int, list[tuple[int, int, int, int]]] = defaultdict(list)
+    used: Counter = Counter()
+    containers = 0
     for times, chosen in combinations(counts, capacity):
         for length, n in chosen.items():
-            places.append((length, used[length], used[length] + n * times, n, containers))
+            runs[length].append((used[length], used[length] + n * times, n, containers))
             used[length] += n * times
         containers += times
-    table = spark.createDataFrame(places, "length bigint, low bigint, high bigint, each bigint, base bigint")
+    widths = {length: max(1, -(-counts[length] // len(found))) for length, found in runs.items()}
+    places = [(length, block, *run) for length, found in runs.items() for run in found for block in range(run[0] // widths[length], (run[1] - 1) // widths[length] + 1)]
+    # Runs are bounded by the capacity, whatever the number of items; blocks at most double them.
+    table = spark.createDataFrame(places, "length bigint, block bigint, low bigint, high bigint, each bigint, base bigint")
+    wide = spark.createDataFrame(list(widths.items()), "length bigint, width bigint")
+    offsets = offsets.join(F.broadcast(wide), "length")
     rank = F.col("r") + F.col("offset")
-    placed = ranked.join(offsets, ["length", "part"]).withColumn("rank", rank)
-    # The table of places is bounded by the capacity, whatever the number of items.
-    placed = placed.join(F.broadcast(table), ["length"]).where((F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high")))
+    placed = ranked.join(offsets, ["length", "part"]).withColumn("rank", rank).withColumn("block", F.floor(F.col("rank") / F.col("width")))
+    placed = placed.join(F.broadcast(table), ["length", "block"]).where((F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high")))
     container = F.col("base") + F.floor((F.col("rank") - F.col("low")) / F.col("each"))
     return placed.select(container.cast("bigint").alias("container"), F.col("k").alias(key), "piece", "first", "length")

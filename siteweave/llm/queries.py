@@ -134,6 +134,20 @@ def p9_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(sized, "doc_id", "n_tokens", CAPACITY)
 
 
+def p9_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row on the packing: items, tokens, containers, the least number possible, containers over capacity, items cut below it, tokens lost, and the fill."""
+    sized = encode_documents(table(spark, sf_dir, "documents"), counts_only=True).where(F.col("n_tokens") > 0)
+    placed = Scratch(spark, "fill").cut(pack(sized, "doc_id", "n_tokens", CAPACITY))
+    bins = placed.groupBy("container").agg(F.sum("length").alias("held")).agg(F.count("*").alias("containers"), F.count_if(F.col("held") > CAPACITY).alias("over_capacity"))
+    pieces = placed.groupBy("doc_id").agg(F.count("*").alias("pieces"), F.sum("length").alias("held"))
+    items = sized.join(pieces, "doc_id", "left").agg(
+        F.count("*").alias("items"), F.sum("n_tokens").alias("tokens"), F.count_if((F.col("pieces") > 1) & (F.col("n_tokens") <= CAPACITY)).alias("cut_below_capacity"), F.sum(F.col("n_tokens") - F.coalesce("held", F.lit(0))).alias("tokens_lost")
+    )
+    least = F.ceil(F.col("tokens") / CAPACITY).cast("bigint").alias("least_containers")
+    # One row each.
+    return items.crossJoin(bins).select("items", "tokens", "containers", least, "over_capacity", "cut_below_capacity", "tokens_lost", F.round(F.col("tokens") / (F.col("containers") * CAPACITY), 6).alias("fill"))
+
+
 def p10_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_languages(table(spark, sf_dir, "documents"))
 
@@ -146,7 +160,7 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present.join(labels, "doc_id").where(doubtful).select("doc_id", F.explode("langs").alias("lang")).distinct()
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p5_matches": p5_matches, "p6_found": p6_found, "p8_ids": p8_ids, "p9_containers": p9_containers, "p10_found": p10_found, "p10_segments": p10_segments}
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found, "p5_found": p5_found, "p5_matches": p5_matches, "p6_found": p6_found, "p8_ids": p8_ids, "p9_containers": p9_containers, "p9_fill": p9_fill, "p10_found": p10_found, "p10_segments": p10_segments}
 _VALID = """v AS (SELECT * FROM (SELECT *, lower(trim(source)) AS src, lower(trim(source_id)) AS sid, row_number() OVER (PARTITION BY lower(trim(source)), lower(trim(source_id)) ORDER BY updated_at DESC, row_id DESC) AS n FROM records) WHERE n = 1)"""
 _BARE = r"regexp_replace(lower({}), '^[^\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}]+$', '', 'g')"
 _USABLE = "({b} <> '' AND {b} NOT IN (" + ", ".join(f"'{w}'" for w in STAND_INS) + "))"

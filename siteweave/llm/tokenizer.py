@@ -145,9 +145,13 @@ def _encoder(key: str, shared) -> Encoder:
     return _encoders[key]
 
 
-def encode_documents(documents: DataFrame, key: str = "doc_id", text: str = "text", directory: str = TOKENIZER_DIR, name: str = TOKENIZER, counts_only: bool = False) -> DataFrame:
-    """(key, ids) of every row, or (key, n_tokens) with ``counts_only``; one narrow pass, no shuffle."""
+def encode_documents(documents: DataFrame, key: str = "doc_id", text: str = "text", directory: str | None = None, name: str = TOKENIZER, counts_only: bool = False) -> DataFrame:
+    """(key, ids) of every row, or (key, n_tokens) with ``counts_only``; one narrow pass, no shuffle.
+
+    The vocabulary is read from ``directory``, else from the folder in the session's ``spark.siteweave.tokenizers``, else from TOKENIZER_DIR.
+    """
     spark = documents.sparkSession
+    directory = directory or spark.conf.get("spark.siteweave.tokenizers", TOKENIZER_DIR)
     ship(spark)
     shared = spark.sparkContext.broadcast(read_ranks(directory, name))
     rows = documents.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
