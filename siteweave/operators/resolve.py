@@ -25,6 +25,8 @@ REACH_M = 1000.0
 MERGE, REVIEW = 0.72, 0.50
 #: Records of one cell that one join task takes; fuller cells are salted.
 CELL_RECORDS = 1_000
+#: Rounds of merges before they are made one.
+MERGES_KEPT = 8
 UNION_ORDER = ("osm", "peeringdb", "epa_nei")
 
 
@@ -82,7 +84,7 @@ def clusters_in_rounds(edges: DataFrame, forbidden: DataFrame, scratch: Scratch)
     """(v, cluster) of every vertex that merged into another, by deciding locally best edges together."""
     live = scratch.cut(edges.select("i", "j", F.struct(F.col("score").alias("s"), F.col("i").alias("a"), F.col("j").alias("b")).alias("w")))
     bans = scratch.cut(forbidden.select(F.least("i", "j").alias("p"), F.greatest("i", "j").alias("q")).distinct())
-    owner: DataFrame | None = None
+    merges: list[DataFrame] = []
     while not live.isEmpty():
         ends = live.select(F.col("i").alias("v"), "w").unionByName(live.select(F.col("j").alias("v"), "w"))
         # Highest score first, among equals the least pair: the score is negated to take one minimum.
@@ -94,14 +96,9 @@ def clusters_in_rounds(edges: DataFrame, forbidden: DataFrame, scratch: Scratch)
         banned = bans.withColumn("ban", F.lit(True))
         judged = scratch.cut(pairs.join(banned, ["p", "q"], "left"))
         merge = judged.where(F.col("ban").isNull()).select(F.col("q").alias("v"), F.col("p").alias("to"))
-        # Who moved before follows where its cluster moves now.
-        moved_on = merge.select("v", F.col("to").alias("cluster"))
-        if owner is not None:
-            later = merge.select(F.col("v").alias("cluster"), F.col("to").alias("_to"))
-            moved_on = moved_on.unionByName(owner.join(later, "cluster", "left").select("v", F.coalesce("_to", "cluster").alias("cluster")))
-        after = scratch.cut(moved_on)
-        scratch.drop(owner)
-        owner = after
+        merges.append(merge)
+        if len(merges) == MERGES_KEPT:
+            merges = [scratch.cut(_followed(merges))]
         refused = judged.where(F.col("ban")).select("p", "q")
 
         def moved(df: DataFrame, a: str, b: str, merge: DataFrame = merge) -> DataFrame:
@@ -114,7 +111,16 @@ def clusters_in_rounds(edges: DataFrame, forbidden: DataFrame, scratch: Scratch)
         next_live = scratch.cut(moved(kept, "i", "j"))
         scratch.drop(live, bans)
         live, bans = next_live, next_bans
-    return owner if owner is not None else edges.sparkSession.createDataFrame([], "v string, cluster string")
+    return _followed(merges).withColumnRenamed("to", "cluster") if merges else edges.sparkSession.createDataFrame([], "v string, cluster string")
+
+
+def _followed(merges: list[DataFrame]) -> DataFrame:
+    """(v, to) of all rounds as one: who moved before follows where its cluster moved later."""
+    later = merges[-1]
+    for earlier in reversed(merges[:-1]):
+        onward = later.select(F.col("v").alias("to"), F.col("to").alias("_to"))
+        later = later.unionByName(earlier.join(onward, "to", "left").select("v", F.coalesce("_to", "to").alias("to")))
+    return later
 
 
 def _best(column: str, rank: str = "prio") -> Column:

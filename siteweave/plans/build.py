@@ -67,7 +67,8 @@ def build(records: DataFrame, inventory: DataFrame, territories: DataFrame | Non
     """
     spark = records.sparkSession
     scratch = Scratch(spark, "build")
-    rows = scratch.cut(tagged(measured(placed(records))))
+    # Read several times below, so places and areas are worked out once.
+    rows = scratch.cut(tagged(scratch.cut(measured(placed(records)))))
     facilities, links, review = resolve(rows.where(F.col("exclusion_rule").isNull()))
     gated = scratch.cut(classify.fleet_gate(facilities, links, inventory))
     kept = gated.where(F.col("exclusion_rule").isNull()).drop("exclusion_rule", "fleet_units")
