@@ -87,9 +87,25 @@ def pair_score(distance: Column, name: Column, address: Column, operator: Column
     return F.least(score, F.lit(1.0))
 
 
+def five_places(c: Column) -> Column:
+    """A coordinate with five decimals, rounded by its exact binary value; the formatter of the JVM rounds its shortest decimal form, which differs at ties.
+
+    The number is cut at 2**-20, so that either part times 100,000 is exact.
+    """
+    x = F.abs(c)
+    high = F.floor(x * 1048576.0).cast("double") / 1048576.0
+    scaled, rest = high * 100000.0, (x - high) * 100000.0
+    whole = F.floor(scaled)
+    gap = F.lit(0.5) - (scaled - whole.cast("double"))
+    up = F.when(rest > gap, 1).when(rest == gap, whole % 2).otherwise(0)
+    n = (whole + up).cast("bigint")
+    text = F.concat(F.floor(n / 100000).cast("string"), F.lit("."), F.lpad((n % 100000).cast("string"), 5, "0"))
+    return F.concat(F.when(c < 0, F.lit("-")).otherwise(F.lit("")), text)
+
+
 def facility_id(name: Column, lat: Column, lon: Column) -> Column:
     """A readable slug of the name with six digits of a digest of slug and position."""
     slug = F.regexp_replace(F.regexp_replace(F.lower(name), "[^a-z0-9]+", "-"), "^-+|-+$", "")
     slug = F.coalesce(F.nullif(F.substring(slug, 1, 44), F.lit("")), F.lit("facility"))
-    digest = F.sha1(F.concat_ws("|", slug, F.format_string("%.5f", lat), F.format_string("%.5f", lon)))
+    digest = F.sha1(F.concat_ws("|", slug, five_places(lat), five_places(lon)))
     return F.concat(slug, F.lit("-"), F.substring(digest, 1, 6))

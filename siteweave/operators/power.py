@@ -6,11 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siteweave.operators.lookups import prior_of
-from siteweave.vocabulary import ATTESTED_BAND, CRITICAL_TO_IT, GENERATOR_KW, HOURS, REDUNDANCY, SQM_PER_SQFT, STOREY_CAP, TIERS, UTILISATION, WHITE_SPACE
+from siteweave.vocabulary import ATTESTED_BAND, CRITICAL_TO_IT, GENERATOR_KW, HOURS, REDUNDANCY, SQM_PER_SQFT, STOREY_CAP, TIERS, UTILISATION, UTILISATION_BAND, WHITE_SPACE
 
 
-def gwh(mw: Column, pue: Column) -> Column:
-    return mw * pue * UTILISATION * HOURS / 1000
+def gwh(mw: Column, pue: Column, utilisation: float = UTILISATION) -> Column:
+    return mw * pue * utilisation * HOURS / 1000
 
 
 def gross_area(df: DataFrame, footprint: str = "footprint_sqft", levels: str = "building_levels") -> DataFrame:
@@ -29,10 +29,10 @@ def area_estimates(facilities: DataFrame) -> DataFrame:
     rows = facilities.where(F.col("est_gross_sqft") > 0).withColumn("p", prior_of(F.col("facility_class"), F.col("year_built")))
     low_area = F.when(F.col("partial_occupancy"), F.col("est_gross_sqft_min")).otherwise(F.col("est_gross_sqft"))
     mw = lambda area, share, density: area * share * density / 1e6
-    mid = mw(F.col("est_gross_sqft"), WHITE_SPACE[1], F.col("p.w_mid"))
+    low, mid, high = mw(low_area, WHITE_SPACE[0], F.col("p.w_low")), mw(F.col("est_gross_sqft"), WHITE_SPACE[1], F.col("p.w_mid")), mw(F.col("est_gross_sqft"), WHITE_SPACE[2], F.col("p.w_high"))
     return rows.select(
-        "facility_id", F.lit(TIERS[2]).alias("method"), mid.alias("it_load_mw"), mw(low_area, WHITE_SPACE[0], F.col("p.w_low")).alias("ci_low_mw"),
-        mw(F.col("est_gross_sqft"), WHITE_SPACE[2], F.col("p.w_high")).alias("ci_high_mw"), gwh(mid, F.col("p.pue_mid")).alias("annual_gwh"), F.col("p.pue_mid").alias("pue_used"),
+        "facility_id", F.lit(TIERS[2]).alias("method"), F.lit("floor_area_density").alias("basis"), mid.alias("it_load_mw"), low.alias("ci_low_mw"), high.alias("ci_high_mw"),
+        gwh(mid, F.col("p.pue_mid")).alias("annual_gwh"), gwh(low, F.col("p.pue_low"), UTILISATION_BAND[0]).alias("annual_gwh_low"), gwh(high, F.col("p.pue_high"), UTILISATION_BAND[1]).alias("annual_gwh_high"), F.col("p.pue_mid").alias("pue_used"),
         (F.col("est_gross_sqft") * WHITE_SPACE[1]).alias("est_white_space_sqft"), "partial_occupancy",
     )
 
@@ -45,7 +45,7 @@ def fleet_estimates(facilities: DataFrame, links: DataFrame, inventory: DataFram
     load = lambda kw, redundancy: nameplate(kw) / redundancy * CRITICAL_TO_IT
     mid = load(GENERATOR_KW[1], REDUNDANCY[1])
     return rows.select(
-        "facility_id", F.lit(TIERS[1]).alias("method"), mid.alias("it_load_mw"), F.least(load(GENERATOR_KW[0], REDUNDANCY[2]), mid).alias("ci_low_mw"),
+        "facility_id", F.lit(TIERS[1]).alias("method"), F.lit("backup_generator_fleet").alias("basis"), mid.alias("it_load_mw"), F.least(load(GENERATOR_KW[0], REDUNDANCY[2]), mid).alias("ci_low_mw"),
         F.greatest(load(GENERATOR_KW[2], REDUNDANCY[0]), mid).alias("ci_high_mw"), gwh(mid, F.col("p.pue_mid")).alias("annual_gwh"), F.col("p.pue_mid").alias("pue_used"),
         F.col("n_generator_units").cast("bigint").alias("n_generator_units"), nameplate(GENERATOR_KW[1]).alias("generator_nameplate_mw"),
     )

@@ -132,6 +132,33 @@ def exclusion_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "records").groupBy(F.coalesce(classify.first_rule(text), F.lit("in_scope")).alias("rule")).agg(F.count("*").alias("n"))
 
 
+# Texts that each rule and class must see, and some that look like them but are none.
+_SCOPE_TEXTS = (
+    ("State University Data Center", None), ("Cal Poly Annex", None), ("Universal Hosting", None), ("Computer Room 3", None), ("Machine Roomba Works", None), ("US Post Office Annex", None), ("USPS Node", None),
+    ("Fire Station 9 Server", "County of Marin"), ("St. Mary Hospital DC", None), ("Sutter Street Data Center", None), ("Clinical Data Works", None), ("Cisco Lab", None), ("Francisco Data Center", None),
+    ("Charter Communications Hub", None), ("Toll Center 4", None), ("Main Telephone Exchange", None), ("Toll Centerville", None), ("Equinix SV1", "Equinix"), ("Azure West", "Microsoft"), ("Santa Clara VII", "Vantage Data Centers"),
+    ("Central Office", "AT&T"), ("Hub", "Verizon"), (None, None), ("", "Unknown Body"), ("Public Library Switching Centre", "Lumen Technologies"),
+)
+
+
+def _listed(names: tuple[str, ...]) -> str:
+    return "(" + ", ".join(f"'{n}'" for n in names) + ")"
+
+
+@query(f"""
+WITH t AS (SELECT * FROM {_values([(k, *row) for k, row in enumerate(_SCOPE_TEXTS)])} AS t(k, name, operator) UNION ALL SELECT -1 - row_id, name, operator_raw FROM records),
+c AS (SELECT *, concat_ws(' ', name, operator) AS t, CASE WHEN operator IN {_listed(v.HYPERSCALE)} THEN 'hyperscale' WHEN operator IN {_listed(v.WHOLESALE)} THEN 'wholesale' WHEN operator IN {_listed(v.COLOCATION)} THEN 'colocation'
+      WHEN operator IN {_listed(v.TELECOM)} OR regexp_matches(name, '{classify.TELECOM_NAME}') THEN 'telecom' ELSE 'unknown' END AS facility_class FROM t)
+SELECT k, facility_class, coalesce({_RULE_CASE}, CASE WHEN facility_class = 'telecom' THEN 'telecom_central_office' END) AS exclusion_rule FROM c
+""")
+def scope_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """class and rule of planted texts that make every rule fire, and of all records."""
+    planted = spark.createDataFrame([(k, *row) for k, row in enumerate(_SCOPE_TEXTS)], "k bigint, name string, operator_raw string")
+    given = planted.unionByName(table(spark, sf_dir, "records").select((-1 - F.col("row_id")).alias("k"), "name", "operator_raw"))
+    rows = given.withColumns({"operator": F.col("operator_raw"), "source": F.lit("osm")})
+    return classify.classify(rows, F.lit(True)).select("k", "facility_class", "exclusion_rule")
+
+
 # Operator texts in permit and registry style.
 _SAMPLE_NAMES = (
     "Equinix, Inc.", "QTS Santa Clara 1", "Totally Unknown Entity Xyz", "RAGING WIRE", "DRT LAX10", "CYXTERA COMMUNICATIONS  LLC SC4-5", "Level(3) Los Angeles", "XERES VENTURES, LP (SC1)",
@@ -192,17 +219,20 @@ def cannot_link(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("review_id", F.array_join(F.array_sort("lc"), ",").alias("left_codes"), F.col("la").alias("left_address"), why.alias("forbidden"))
 
 
-@query("""
-WITH r AS (SELECT review_id, distance, name, address, operator, coalesce(CASE WHEN isnan(distance_m) THEN NULL ELSE distance_m END, 0) AS m, left_name IS NOT NULL AND right_name IS NOT NULL AS b FROM dedupe_review),
+@query(r"""
+WITH r AS (SELECT review_id, distance, name, address, operator, coalesce(CASE WHEN isnan(distance_m) THEN NULL ELSE distance_m END, 0) AS m, left_name IS NOT NULL AND right_name IS NOT NULL AS b,
+  coalesce(len(list_intersect(string_split(regexp_extract(codes, '^\[([^\]]*)\]', 1), ','), string_split(regexp_extract(codes, '\|\[([^\]]*)\]$', 1), ','))) > 0 AND NOT contains(codes, '[]'), false) AS c FROM dedupe_review),
 s AS (SELECT *, 0.34 * distance + 0.24 * name + 0.22 * address + 0.20 * operator AS x FROM r),
-f AS (SELECT *, greatest(x, CASE WHEN operator >= 0.99 AND m <= 250 THEN 0.80 ELSE x END, CASE WHEN operator >= 0.99 AND address >= 0.90 THEN 0.82 ELSE x END) AS y FROM s)
+f AS (SELECT *, greatest(x, CASE WHEN c THEN 0.82 ELSE x END, CASE WHEN operator >= 0.99 AND m <= 250 THEN 0.80 ELSE x END, CASE WHEN operator >= 0.99 AND address >= 0.90 THEN 0.82 ELSE x END) AS y FROM s)
 SELECT review_id, round(least(CASE WHEN b AND operator < 0.55 AND m > 150 THEN least(y, 0.45) ELSE y END, 1), 6) AS score FROM f
 """)
 def composite_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The weighted score with its floors and cap over stored components."""
+    """The weighted score with its floors and cap over stored components and the codes that both sides have."""
+    codes = lambda pattern: F.filter(F.split(F.regexp_extract(F.coalesce("codes", F.lit("")), pattern, 1), ","), lambda c: c != "")
+    shared = F.arrays_overlap(codes(r"^\[([^\]]*)\]"), codes(r"\|\[([^\]]*)\]$"))
     metres = F.coalesce(F.nanvl("distance_m", F.lit(None).cast("double")), F.lit(0.0))
     both = F.col("left_name").isNotNull() & F.col("right_name").isNotNull()
-    score = sim.pair_score(F.col("distance"), F.col("name"), F.col("address"), F.col("operator"), F.lit(False), both, metres)
+    score = sim.pair_score(F.col("distance"), F.col("name"), F.col("address"), F.col("operator"), shared, both, metres)
     return table(spark, sf_dir, "dedupe_review").select("review_id", F.round(score, 6).alias("score"))
 
 
@@ -242,12 +272,13 @@ def blocked_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT facility_id, coalesce(nullif(substr(regexp_replace(regexp_replace(lower(name), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 44), ''), 'facility') AS slug FROM facilities
+WITH s AS (SELECT facility_id, lat, lon, coalesce(nullif(substr(regexp_replace(regexp_replace(lower(name), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 44), ''), 'facility') AS slug FROM facilities WHERE NOT isnan(lat) AND NOT isnan(lon))
+SELECT facility_id, slug || '-' || substr(sha1(slug || '|' || printf('%.5f', lat) || '|' || printf('%.5f', lon)), 1, 6) AS made FROM s
 """)
 def facility_slugs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """X11: the readable part of facility ids (the digest part is covered by a test)."""
-    made = sim.facility_id(F.col("name"), F.lit(0.0), F.lit(0.0))
-    return table(spark, sf_dir, "facilities").withColumn("s", made).select("facility_id", F.expr("substring(s, 1, length(s) - 7)").alias("slug"))
+    """X11: the ids of facilities with a position, made anew: slug of the name and digest of slug and position."""
+    rows = table(spark, sf_dir, "facilities").where(F.col("lat").isNotNull() & F.col("lon").isNotNull() & ~F.isnan("lat") & ~F.isnan("lon"))
+    return rows.select("facility_id", sim.facility_id(F.col("name"), F.col("lat"), F.col("lon")).alias("made"))
 
 
 _MENTION = r"(?i)([^.\n]{0,140}?)([0-9][0-9,]*(?:\.[0-9]+)?)\s*(?:MW|megawatts?)([^.\n]{0,140})"
@@ -349,17 +380,19 @@ def prior_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("facility_id", F.col("p.w_mid").alias("w_mid"), F.col("p.pue_mid").alias("pue_mid"))
 
 
-_AREA = """c AS (SELECT facility_id, 'C_area' AS method, ft * least(lv, 3) * 0.60 * wm / 1e6 AS mw, (CASE WHEN lv > 3 THEN ft ELSE ft * lv END) * 0.45 * wl / 1e6 AS lo, ft * least(lv, 3) * 0.72 * wh / 1e6 AS hi, ft * least(lv, 3) * 0.60 * wm / 1e6 * pm * 0.70 * 8760 / 1000 AS gwh FROM pf WHERE ft > 0)"""
+_AREA = """c AS (SELECT facility_id, 'C_area' AS method, ft * least(lv, 3) * 0.60 * wm / 1e6 AS mw, (CASE WHEN lv > 3 THEN ft ELSE ft * lv END) * 0.45 * wl / 1e6 AS lo, ft * least(lv, 3) * 0.72 * wh / 1e6 AS hi, ft * least(lv, 3) * 0.60 * wm / 1e6 * pm * 0.70 * 8760 / 1000 AS gwh,
+      (CASE WHEN lv > 3 THEN ft ELSE ft * lv END) * 0.45 * wl / 1e6 * pl * 0.55 * 8760 / 1000 AS gwh_low, ft * least(lv, 3) * 0.72 * wh / 1e6 * ph * 0.85 * 8760 / 1000 AS gwh_high FROM pf WHERE ft > 0)"""
 
 
 def _area(spark: SparkSession, sf_dir: str) -> DataFrame:
     return power.area_estimates(power.gross_area(_facilities(spark, sf_dir), levels="building_levels_reported"))
 
 
-@query(f"WITH {_PRIORS}, {_FAC}, {_PRIOR}, {_AREA} SELECT facility_id, round(mw + 1e-9, 6) AS it_load_mw, round(lo + 1e-9, 6) AS ci_low_mw, round(hi + 1e-9, 6) AS ci_high_mw, round(gwh + 1e-7, 4) AS annual_gwh FROM c")
+@query(f"WITH {_PRIORS}, {_FAC}, {_PRIOR}, {_AREA} SELECT facility_id, round(mw + 1e-9, 6) AS it_load_mw, round(lo + 1e-9, 6) AS ci_low_mw, round(hi + 1e-9, 6) AS ci_high_mw, round(gwh + 1e-7, 4) AS annual_gwh, round(gwh_low + 1e-7, 4) AS annual_gwh_low, round(gwh_high + 1e-7, 4) AS annual_gwh_high FROM c")
 def tier_c_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load from floor area."""
-    return _area(spark, sf_dir).select("facility_id", *[F.round(F.col(c) + 1e-9, 6).alias(c) for c in ("it_load_mw", "ci_low_mw", "ci_high_mw")], F.round(F.col("annual_gwh") + 1e-7, 4).alias("annual_gwh"))
+    yearly = [F.round(F.col(c) + 1e-7, 4).alias(c) for c in ("annual_gwh", "annual_gwh_low", "annual_gwh_high")]
+    return _area(spark, sf_dir).select("facility_id", *[F.round(F.col(c) + 1e-9, 6).alias(c) for c in ("it_load_mw", "ci_low_mw", "ci_high_mw")], *yearly)
 
 
 _TIER_B = """fl AS (SELECT facility_id, sum(g) AS g, sum(rated) AS rated, sum(kw) AS kw FROM lk JOIN inv USING (sid) GROUP BY 1 HAVING sum(g) > 0),
@@ -389,7 +422,7 @@ def _estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True)
 
 
-_ALL_EST = f"WITH {_PRIORS}, {_FAC}, {_PRIOR}, {_FLEET}, {_TIER_B}, {_AREA}, {_CITED}, e AS (SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM c)"
+_ALL_EST = f"WITH {_PRIORS}, {_FAC}, {_PRIOR}, {_FLEET}, {_TIER_B}, {_AREA}, {_CITED}, e AS (SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * EXCLUDE (gwh_low, gwh_high) FROM c)"
 
 
 @query(f"{_ALL_EST} SELECT facility_id, round(arg_min(mw, method) + 1e-9, 6) AS best_power_mw, round(arg_min(lo, method) + 1e-9, 6) AS power_ci_low_mw, min(method) AS power_tier, count(DISTINCT method) AS n_power_methods FROM e GROUP BY 1")

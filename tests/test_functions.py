@@ -136,3 +136,13 @@ def test_priors(spark):
 def test_dimensions(spark):
     assert dims.jurisdictions(spark).count() == 51 and dims.boxes(spark).count() == 52 and dims.priors(spark).count() == 12 and dims.overlays(spark).count() == 6
     assert rows(dims.zip3_ranges(spark).where("state = 'GA'"), "low", "high") == [(300, 319), (398, 399)]
+
+
+def test_five_places_by_the_binary_value(spark):
+    import random
+
+    rng = random.Random(1)
+    values = [0.0, -0.5, 37.123455, -121.987655, 179.999995, 90.0, 1e-7, -1e-7, *[round(rng.uniform(-180, 180), 6) for _ in range(3000)], *[rng.uniform(-180, 180) for _ in range(1000)], *[round(rng.uniform(-180, 180), 5) + 0.000005 for _ in range(3000)]]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(values)], "i int, x double")
+    got = {r["i"]: r["t"] for r in df.select("i", sim.five_places(F.col("x")).alias("t")).collect()}
+    assert [got[i] for i in range(len(values))] == [f"{x:.5f}" for x in values]
