@@ -94,23 +94,49 @@ def build(records: DataFrame, inventory: DataFrame, territories: DataFrame | Non
     return Built(out, links, review, excluded, estimates.drop("cited_order"), power.tier_agreement(estimates), summary)
 
 
+def reconciliation(facilities: DataFrame, states: DataFrame) -> DataFrame:
+    """Bottom-up totals against the anchors of the jurisdictions that have facilities, in one row."""
+    anchors = states.join(facilities.select("state").distinct(), "state", "left_semi").agg(F.sum("anchor_twh"), F.sum("anchor_low_twh"), F.sum("anchor_high_twh")).first()
+    return power.reconcile(facilities, *(x or 0.0 for x in anchors))
+
+
+def write_national(facilities: DataFrame, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Summary by jurisdiction, reconciliation and description of all jurisdictions below ``folder/national``; returns the first two."""
+    spark, out = facilities.sparkSession, f"{folder}/national"
+    states = dims.jurisdictions(spark)
+    summary = analytics.summary_by_state(facilities, states).orderBy(F.desc("sum_it_load_mw"), "state")
+    totals = reconciliation(facilities, states)
+    writers.write_table(summary, out, "summary")
+    writers.write_json(totals, out, "reconciliation")
+    tables = {"summary": summary, "facilities": facilities}
+    writers.write_description(spark, writers.package_description("national-registry", "Facilities and load by jurisdiction", tables, sources_of(facilities), writers.FIELD_TEXTS), out)
+    return summary, totals
+
+
+def sources_of(facilities: DataFrame) -> list[dict]:
+    """The sources that records of the published facilities come from."""
+    used = {r[0] for r in facilities.select(F.explode(F.split("source_list", ","))).distinct().collect()}  # a handful
+    return [{"title": s} for s in vocabulary.SOURCE_PRIORITY if s in used]
+
+
 def write_all(built: Built, folder: str) -> None:
-    """Six tables, points, footprints and the package description."""
+    """Six tables, points, footprints, the reconciliation and the package description."""
     spark = built.facilities.sparkSession
     states = ["state", *FACILITY_COLUMNS]
     writers.write_table(built.facilities, folder, "facilities", states)
     writers.write_table(built.estimates, folder, "power_estimates", POWER_COLUMNS)
     writers.write_table(built.links, folder, "facility_sources")
-    writers.write_table(built.review, folder, "dedupe_review")
+    writers.write_table(built.review.orderBy(F.desc("score"), "left_source", "left_source_id", "right_source", "right_source_id"), folder, "dedupe_review")
     writers.write_table(built.excluded, folder, "exclusions")
-    writers.write_table(built.summary, folder, "summary")
+    writers.write_table(built.summary.orderBy(F.desc("sum_it_load_mw"), "state"), folder, "summary")
     if not built.agreement.isEmpty():
         writers.write_table(built.agreement, folder, "tier_agreement")
     shown = ["facility_id", "name", "operator", "facility_class", "footprint_sqft", "best_power_mw", "power_tier"]
     writers.write_features(writers.point_features(built.facilities, shown), folder, "facilities_points")
     writers.write_features(writers.footprint_features(built.facilities, shown), folder, "facility_footprints")
     tables = {"facilities": built.facilities.select(*[c for c in states if c in built.facilities.columns]), "power_estimates": built.estimates, "facility_sources": built.links}
-    writers.write_description(spark, writers.package_description("facility-registry", "Facilities and load estimates", tables, [{"title": s} for s in vocabulary.SOURCE_PRIORITY]), folder)
+    writers.write_description(spark, writers.package_description("facility-registry", "Facilities and load estimates", tables, sources_of(built.facilities), writers.FIELD_TEXTS), folder)
+    writers.write_json(reconciliation(built.facilities, dims.jurisdictions(spark)), folder, "reconciliation")
 
 
 def check(facilities: DataFrame, estimates: DataFrame) -> DataFrame:

@@ -77,6 +77,46 @@ def package_description(name: str, title: str, tables: dict[str, DataFrame], sou
     return {"profile": "tabular-data-package", "name": name, "title": title, "sources": sources, "resources": resources}
 
 
+#: What the fields of the published tables hold.
+FIELD_TEXTS = {
+    "state": "Jurisdiction the site lies in",
+    "facility_id": "Slug of the name and digest of slug and position",
+    "name": "Name in the most trusted source that has one",
+    "operator": "Operator, or the text of the source where none is known",
+    "operator_confidence": "How the operator was found: alias, alias_token, unattributed or unresolved",
+    "facility_class": "colocation, wholesale, hyperscale, telecom or unknown",
+    "lat": "Latitude of the largest measured outline, else the mean of the records",
+    "lon": "Longitude, likewise",
+    "utility": "Smallest retail territory that holds the site",
+    "utility_candidates": "All retail territories that hold the site",
+    "partial_occupancy": "More storeys than are credited: one tenant of a tower",
+    "footprint_sqft": "Measured outline, square feet",
+    "best_power_mw": "Load of the best evidence, MW",
+    "power_ci_low_mw": "Lower bound of that load, MW",
+    "power_ci_high_mw": "Upper bound of that load, MW",
+    "power_tier": "Evidence of the load: A_attested, B_generator or C_area",
+    "n_power_methods": "Kinds of evidence for the site's load",
+    "est_annual_gwh": "Energy a year at the assumed utilisation, GWh",
+    "source_list": "Sources of the records, by name",
+    "n_sources": "Number of those sources",
+    "method": "Evidence of the estimate",
+    "basis": "What the estimate is made of",
+    "it_load_mw": "Load of the estimate, MW",
+    "pue_used": "Ratio of total to IT power that was assumed",
+    "assumptions_json": "Assumptions of the estimate",
+    "source_id": "Id of the record in its source",
+    "source_url": "Where the record or the figure can be seen",
+    "facilities": "Sites of the jurisdiction",
+    "sum_it_load_mw": "Load of all sites with an estimate, MW",
+    "anchor_twh": "Published energy of the jurisdiction, TWh a year",
+}
+
+
+def write_json(df: DataFrame, folder: str, name: str) -> None:
+    """The few rows of a small result as lines of JSON in one file."""
+    df.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(f"{folder}/{name}.json")
+
+
 def write_text(df: DataFrame, folder: str, name: str) -> None:
     """Raw snapshot rows as JSON lines."""
     df.write.mode("overwrite").json(f"{folder}/{name}.json")

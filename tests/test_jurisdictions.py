@@ -61,3 +61,47 @@ def test_latest_snapshot_of_each_jurisdiction(spark, tmp_path):
     assert rows(osm.to_records(elements), "source_id", "state") == [("node/2", "OH"), ("node/3", "CA")]
     units = osm.latest_snapshot(nei.read_extracts(spark, f"{tmp_path}/nei"), within="state")
     assert rows(units, "eis_facility_id", "state") == [("2", "OH"), ("3", "CA")]
+
+
+def test_fetch_writes_what_the_build_reads(spark, tmp_path):
+    import io
+
+    from siteweave.sources import fetch, peeringdb
+    from siteweave.sources.http import CachedClient
+
+    asked = []
+
+    def opener(request, timeout):
+        asked.append(request.full_url)
+        if "overpass-api.de" in request.full_url:
+            raise OSError("down")
+        page = {"data": [dict(id=1, name="A", status="ok", latitude=40.0, longitude=-83.0, country="US")]}
+        elements = {"elements": [dict(type="node", id=9, lat=40.0, lon=-83.0, tags={"telecom": "data_center"})]}
+        return io.BytesIO(json.dumps(page if "peeringdb" in request.full_url else elements).encode())
+
+    client = CachedClient(tmp_path / "cache", attempts=1, opener=opener, sleep=lambda s: None)
+    fetch.fetch_elements(client, tmp_path / "raw", ["oh"], "2031-01-01")
+    fetch.fetch_registry(client, tmp_path / "raw", "2031-01-01")
+    n = len(asked)
+    fetch.fetch_elements(client, tmp_path / "raw", ["OH"], "2031-01-01")
+    assert len(asked) == n == 3
+    assert rows(osm.to_records(osm.read_snapshots(spark, f"{tmp_path}/raw/osm")), "source_id", "state") == [("node/9", "OH")]
+    assert rows(peeringdb.to_records(peeringdb.read_snapshots(spark, f"{tmp_path}/raw/peeringdb")), "source_id") == [("1",)]
+
+
+def test_national_figures_and_map(spark, tmp_path, monkeypatch):
+    from siteweave import cli
+    from siteweave.schemas import FACILITY_COLUMNS, POWER_COLUMNS
+    from test_whole_jobs import ESTIMATE, FACILITY, put_table
+
+    monkeypatch.setattr(cli, "build_session", lambda **_: spark)
+    put_table(spark, f"{tmp_path}/facilities.parquet", ["state", *FACILITY_COLUMNS], FACILITY | dict(state="CA", est_annual_gwh=15000.0, source_list="osm,peeringdb"))
+    put_table(spark, f"{tmp_path}/power_estimates.parquet", POWER_COLUMNS, ESTIMATE)
+    for verb in ("national", "charts", "map"):
+        assert cli.main([verb, str(tmp_path)]) == 0
+    got = spark.read.json(f"{tmp_path}/national/reconciliation.json").first()
+    assert (got["bottom_up_annual_twh"], got["within_anchor_range"], got["top_down_anchor_twh"]) == (15.0, True, 18.0)
+    described = json.loads("\n".join(r[0] for r in spark.read.text(f"{tmp_path}/national/datapackage.json").collect()))
+    assert described["sources"] == [{"title": "peeringdb"}, {"title": "osm"}]
+    assert {f["name"]: f.get("description") for f in described["resources"][0]["schema"]["fields"]}["facilities"]
+    assert spark.read.parquet(f"{tmp_path}/figures/map_points.parquet").count() == 1 and spark.read.parquet(f"{tmp_path}/figures/completeness.parquet").count() == 10

@@ -71,7 +71,7 @@ ESTIMATE = dict(facility_id="f", method="C_area", basis="modelled", it_load_mw=2
 
 
 def put_table(spark, path, columns, row):
-    kinds = {"lat": "double", "lon": "double", "n_sources": "int"}
+    kinds = {"lat": "double", "lon": "double", "n_sources": "int", "partial_occupancy": "boolean"}
     kind = lambda c: kinds.get(c, "double" if c.endswith(("_mw", "_gwh", "_sqft", "_reported")) else "string")
     spark.createDataFrame([tuple(row.get(c) for c in columns)], ", ".join(f"{c} {kind(c)}" for c in columns)).write.mode("overwrite").parquet(path)
 
