@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from siteweave.storage import Scratch
 from siteweave.vocabulary import TIERS
 
 NO_OPERATOR = "Operator not established"
@@ -72,10 +73,15 @@ def completeness(fac: DataFrame) -> DataFrame:
 
 
 def average_rank(df: DataFrame, value: str, into: str) -> DataFrame:
-    """Ranks with ties averaged, from counts per distinct value, so that only distinct values are ordered."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("_c"))
-    before = Window.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = counts.select(F.col(value), (F.coalesce(F.sum("_c").over(before), F.lit(0)) + (F.col("_c") + 1) / 2).alias(into))
+    """Ranks with ties averaged, from counts per distinct value, which are range-partitioned and shifted by the counts of the partitions before."""
+    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("_c")).repartitionByRange(value).withColumn("_part", F.spark_partition_id())
+    inside = Window.partitionBy("_part").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    counts = Scratch(df.sparkSession, "ranks").cut(counts.withColumn("_below", F.coalesce(F.sum("_c").over(inside), F.lit(0))))
+    sizes = counts.groupBy("_part").agg(F.sum("_c").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n0"))
+    # One row per partition.
+    ranks = counts.join(F.broadcast(offsets), "_part").select(F.col(value), (F.col("_below") + F.col("_n0") + (F.col("_c") + 1) / 2).alias(into))
     return df.join(ranks, value, "left")
 
 

@@ -7,6 +7,7 @@ so losing an executor loses nothing.
 
 from __future__ import annotations
 
+import atexit
 import shutil
 import tempfile
 import uuid
@@ -15,6 +16,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _fallback: dict[str, str] = {}
+_bases: list[tuple[SparkSession, str]] = []
 _shipped: set[str] = set()
 
 
@@ -60,6 +62,9 @@ class Scratch:
         self.base = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
         self.n = 0
         self.paths: dict[int, str] = {}
+        if not _bases:
+            atexit.register(clean_up)
+        _bases.append((spark, self.base))
 
     def cut(self, df: DataFrame) -> DataFrame:
         self.n += 1
@@ -73,6 +78,19 @@ class Scratch:
         for frame in frames:
             path = self.paths.pop(id(frame), None) if frame is not None else None
             if path:
-                jvm = self.spark.sparkContext._jvm
-                hadoop = jvm.org.apache.hadoop.fs.Path(path)
-                hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+                _delete(self.spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def clean_up() -> None:
+    """Deletes every intermediate table of this process, results that still read them included; runs when the process ends, and may be called before a session is stopped."""
+    while _bases:
+        spark, base = _bases.pop()
+        try:
+            _delete(spark, base)
+        except Exception:  # noqa: BLE001 - the session is gone already; the folder is then the cluster's to clear
+            return
