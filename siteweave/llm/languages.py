@@ -44,8 +44,9 @@ SAMPLE_CHARS = 4_000
 WHOLE_WORDS = 3
 BUCKETS = 1 << 15
 #: Rounds of the fit, fewer once the mean log likelihood of a word has not gained GAIN for PATIENCE rounds.
-ROUNDS, GAIN, PATIENCE = 40, 0.003, 2
-RATE = 0.1
+ROUNDS, GAIN, PATIENCE = 40, 0.001, 2
+#: Step of the fit, and the weight of counts at its start.
+RATE, START = 0.03, 0.06
 #: The fit cuts documents into runs of sentences of about so many words.
 RUN_WORDS = 60
 MEMO_WORDS = 200_000
@@ -313,6 +314,13 @@ def fit_field(texts: list[str], given: list[str]) -> LanguageField:
         moves = np.bincount(want[:, :-1][pair] * n + want[:, 1:][pair], minlength=n * n).reshape(n, n)
         groups.append((words, np.eye(n)[want[valid]], np.eye(n)[want[:, 0]], moves, sizes, valid, _Sums(words[valid])))
     total = sum(len(s) for s in coded)
+    # The start: how much more often than by chance a feature stands in a language, shared among the features of a word.
+    seen, often = np.zeros((len(lists), n)), np.zeros_like(weights)
+    for _words, want, *_rest, by_word in groups:
+        by_word.into(seen, want)
+    by_feature.into(often, seen[owner])
+    share = (often + 0.5) / (often.sum(1, keepdims=True) + 0.5 * n)
+    weights += START * np.where(often.sum(1, keepdims=True) > 0, np.log(share) - np.log(share).mean(1, keepdims=True), 0.0)
     past = [np.full_like(x, 1e-6) for x in (weights, transitions, start)]
     before, still = -np.inf, 0
     for _ in range(ROUNDS):
