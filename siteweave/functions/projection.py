@@ -106,16 +106,23 @@ def projected(lon: Column | str, lat: Column | str, state: Column | str) -> Colu
 def ring_centroid(points: Column) -> Column:
     """(lat, lon) of the planar centroid of a list of (lat, lon); the mean of a ring without area."""
     first = F.element_at(points, 1)
-    closed = F.when(F.element_at(points, -1) == first, points).otherwise(F.concat(points, F.array(first)))
-    # Relative to the first point, so that the products keep their digits.
-    step = F.zip_with(F.slice(closed, 1, F.size(closed) - 1), F.slice(closed, 2, F.size(closed) - 1), lambda p, q: F.struct((p["lon"] - first["lon"]).alias("x"), (p["lat"] - first["lat"]).alias("y"), (q["lon"] - first["lon"]).alias("u"), (q["lat"] - first["lat"]).alias("v")))
-    cross = lambda s: s["x"] * s["v"] - s["u"] * s["y"]
-    total = lambda f: F.aggregate(step, F.lit(0.0), lambda a, s: a + f(s))
-    area = total(cross)
-    x, y = total(lambda s: (s["x"] + s["u"]) * cross(s)) / (3 * area), total(lambda s: (s["y"] + s["v"]) * cross(s)) / (3 * area)
-    mean = lambda name: F.aggregate(points, F.lit(0.0), lambda a, p: a + p[name]) / F.size(points)
-    flat = F.abs(area) < 1e-18
-    return F.struct(F.when(flat, mean("lat")).otherwise(first["lat"] + y).alias("lat"), F.when(flat, mean("lon")).otherwise(first["lon"] + x).alias("lon"))
+    n = F.size(points)
+    zero = F.struct(*[F.lit(0.0).alias(c) for c in ("area", "x", "y", "lat", "lon")])
+
+    def add(acc: Column, i: Column) -> Column:
+        """Adds the side from point i to the next one; that from the last to the first is nothing where the ring is closed."""
+        p, q = F.element_at(points, i), F.element_at(points, i % n + 1)
+        # Relative to the first point, so that the products keep their digits.
+        x, y, u, v = p["lon"] - first["lon"], p["lat"] - first["lat"], q["lon"] - first["lon"], q["lat"] - first["lat"]
+        cross = x * v - u * y
+        return F.struct((acc["area"] + cross).alias("area"), (acc["x"] + (x + u) * cross).alias("x"), (acc["y"] + (y + v) * cross).alias("y"), (acc["lat"] + p["lat"]).alias("lat"), (acc["lon"] + p["lon"]).alias("lon"))
+
+    def centre(acc: Column) -> Column:
+        flat = F.abs(acc["area"]) < 1e-18
+        lat, lon = first["lat"] + acc["y"] / (3 * acc["area"]), first["lon"] + acc["x"] / (3 * acc["area"])
+        return F.struct(F.when(flat, acc["lat"] / n).otherwise(lat).alias("lat"), F.when(flat, acc["lon"] / n).otherwise(lon).alias("lon"))
+
+    return F.when(n >= 1, F.aggregate(F.sequence(F.lit(1), n), zero, add, centre))
 
 
 def ring_wkt(points: Column) -> Column:

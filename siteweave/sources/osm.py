@@ -63,7 +63,8 @@ def to_records(elements: DataFrame) -> DataFrame:
     tag = lambda *names: F.coalesce(*[F.nullif(F.try_element_at("tags", F.lit(n)), F.lit("")) for n in names])
     columns = set(elements.columns)
     ring = F.when(F.size("geometry") >= 3, F.col("geometry"))
-    centre = ring_centroid(ring)
+    elements = elements.withColumn("_centre", ring_centroid(ring))
+    centre = F.col("_centre")
     start = F.try_element_at("geometry", F.lit(1))
     middle = F.col("center") if "center" in columns else F.lit(None).cast("struct<lat: double, lon: double>")
     pick = lambda part: F.when(F.col("type") == "node", F.col(part)).otherwise(F.coalesce(centre[part], start[part], middle[part]))
