@@ -30,14 +30,12 @@ def priors(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, columns)
 
 
-def operator_aliases(spark: SparkSession) -> DataFrame:
-    """(alias_key, canonical, ord): keys with and without blanks, the first registered for each key."""
-    rows, ord_ = [], 0
-    for canonical, alias in v.OPERATOR_ALIASES:
-        for raw in (alias, canonical):
-            rows.append((raw, canonical, ord_))
-            ord_ += 1
-    keyed = spark.createDataFrame(rows, "raw string, canonical string, ord int").withColumn("key", operator_key(F.col("raw")))
+def operator_aliases(spark: SparkSession, listed: DataFrame | None = None) -> DataFrame:
+    """(alias_key, canonical, ord): keys with and without blanks, the first registered for each key; of ``listed`` (canonical, alias, line) or the fixed rows."""
+    if listed is None:
+        listed = spark.createDataFrame([(canonical, alias, k) for k, (canonical, alias) in enumerate(v.OPERATOR_ALIASES)], "canonical string, alias string, line bigint")
+    raw = F.explode(F.array(F.struct(F.col("alias").alias("raw"), (F.col("line") * 2).alias("ord")), F.struct(F.col("canonical").alias("raw"), (F.col("line") * 2 + 1).alias("ord"))))
+    keyed = listed.select("canonical", raw.alias("r")).select("canonical", "r.ord", operator_key(F.col("r.raw")).alias("key"))
     both = keyed.select(F.explode(F.array(F.struct("key", (F.col("ord") * 2).alias("o")), F.struct(F.replace("key", F.lit(" "), F.lit("")).alias("key"), (F.col("ord") * 2 + 1).alias("o")))).alias("k"), "canonical")
     return both.where(F.col("k.key") != "").groupBy(F.col("k.key").alias("alias_key")).agg(F.min_by("canonical", "k.o").alias("canonical"), F.min("k.o").alias("ord"))
 

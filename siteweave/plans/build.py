@@ -44,10 +44,10 @@ def measured(records: DataFrame) -> DataFrame:
     return records.withColumn("footprint_sqm", F.coalesce("footprint_sqm", area))
 
 
-def tagged(records: DataFrame) -> DataFrame:
-    """Records with operator, class and the rule that leaves them out, if any."""
+def tagged(records: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
+    """Records with operator, class and the rule that leaves them out, if any; ``aliases`` (canonical, alias, line) in place of the fixed ones."""
     spark = records.sparkSession
-    aliases, vehicles = dims.operator_aliases(spark), dims.unattributed(spark)
+    aliases, vehicles = dims.operator_aliases(spark, aliases), dims.unattributed(spark)
     named = lookups.resolve_operators(records, "operator_raw", aliases, vehicles)
     by_name = lookups.resolve_operators(named.where(F.col("operator").isNull()).drop("operator", "operator_confidence"), "name", aliases, vehicles)
     both = named.where(F.col("operator").isNotNull()).unionByName(by_name)
@@ -60,15 +60,15 @@ def explained(estimates: DataFrame) -> DataFrame:
     return estimates.withColumn("assumptions_json", assumptions).withColumn("basis", F.coalesce(F.col("basis"), F.lit("modelled")) if "basis" in estimates.columns else F.lit("modelled"))
 
 
-def build(records: DataFrame, inventory: DataFrame, territories: DataFrame | None = None, overrides: DataFrame | None = None, filings: DataFrame | None = None) -> Built:
-    """All tables from records in the common shape, the generator inventory, territories, hand-entered figures and figures of filings.
+def build(records: DataFrame, inventory: DataFrame, territories: DataFrame | None = None, overrides: DataFrame | None = None, filings: DataFrame | None = None, aliases: DataFrame | None = None) -> Built:
+    """All tables from records in the common shape, the generator inventory, territories, hand-entered figures, figures of filings and operator aliases.
 
     Territories with a state serve facilities of that state only.
     """
     spark = records.sparkSession
     scratch = Scratch(spark, "build")
     # Read several times below, so places and areas are worked out once.
-    rows = scratch.cut(tagged(scratch.cut(measured(placed(records)))))
+    rows = scratch.cut(tagged(scratch.cut(measured(placed(records))), aliases))
     facilities, links, review = resolve(rows.where(F.col("exclusion_rule").isNull()))
     gated = scratch.cut(classify.fleet_gate(facilities, links, inventory))
     kept = gated.where(F.col("exclusion_rule").isNull()).drop("exclusion_rule", "fleet_units")
@@ -171,15 +171,17 @@ OVERRIDES = "match_name STRING, match_operator STRING, basis STRING, value_mw DO
 
 
 def read_evidence(spark: SparkSession, raw: str) -> dict[str, DataFrame | None]:
-    """Territories, overrides and filings below ``raw``, each None where there is none.
+    """Territories, overrides, filings and operator aliases below ``raw``, each None where there is none.
 
-    ``cec_gis/<date>/*.geojson[.gz]``; ``reference/manual_overrides.csv``; ``ceqanet/<date>/search`` and ``detail``, JSON lines of
+    ``cec_gis/<date>/*.geojson[.gz]``; ``reference/manual_overrides.csv`` and ``reference/operator_aliases.csv``; ``ceqanet/<date>/search`` and ``detail``, JSON lines of
     (development_type, window_start, html) and (sch_number, source_url, html).
     """
     from siteweave.sources import filings, tables, territories
 
     layer, listed, search = _latest(spark, f"{raw}/cec_gis/*/*.geojson*"), _latest(spark, f"{raw}/reference/manual_overrides.csv"), _latest(spark, f"{raw}/ceqanet/*/search")
-    found: dict[str, DataFrame | None] = {"territories": None, "overrides": None, "filings": None}
+    found: dict[str, DataFrame | None] = {"territories": None, "overrides": None, "filings": None, "aliases": None}
+    if names := _latest(spark, f"{raw}/reference/operator_aliases.csv"):
+        found["aliases"] = tables.read_reference(spark, names, "canonical STRING, alias STRING").withColumn("line", F.monotonically_increasing_id())
     if layer:
         found["territories"] = territories.read_territories(spark, layer).withColumn("state", F.lit(EVIDENCE_STATE))
     if listed:

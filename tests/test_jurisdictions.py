@@ -105,3 +105,16 @@ def test_national_figures_and_map(spark, tmp_path, monkeypatch):
     assert described["sources"] == [{"title": "peeringdb"}, {"title": "osm"}]
     assert {f["name"]: f.get("description") for f in described["resources"][0]["schema"]["fields"]}["facilities"]
     assert spark.read.parquet(f"{tmp_path}/figures/map_points.parquet").count() == 1 and spark.read.parquet(f"{tmp_path}/figures/completeness.parquet").count() == 10
+
+
+def test_aliases_come_from_the_file_where_there_is_one(spark, tmp_path):
+    from siteweave import dims
+
+    (tmp_path / "reference").mkdir()
+    (tmp_path / "reference" / "operator_aliases.csv").write_text("# note\ncanonical,alias\nOne Body,Shared Name\nOther Body,Shared Name\nOther Body,Equinix\n")
+    listed = plan.read_evidence(spark, str(tmp_path))["aliases"]
+    names = spark.createDataFrame([("shared name inc",), ("Equinix",), ("other body",), ("Digital Realty",)], "raw string")
+    own = lookups.resolve_operators(names, "raw", dims.operator_aliases(spark, listed), dims.unattributed(spark))
+    assert rows(own, "raw", "operator", "operator_confidence") == [("Digital Realty", "Digital Realty", "unresolved"), ("Equinix", "Other Body", "alias"), ("other body", "Other Body", "alias"), ("shared name inc", "One Body", "alias")]
+    fixed = lookups.resolve_operators(names, "raw", dims.operator_aliases(spark), dims.unattributed(spark))
+    assert {r["raw"]: r["operator_confidence"] for r in fixed.collect()}["Digital Realty"] == "alias"
