@@ -1,10 +1,11 @@
 """Records of one site in several sources to one facility: blocking, scoring, constrained merging, consolidation.
 
 Blocking joins records on one-kilometre cells of their projected position; full cells are
-salted. Merging is best-first under cannot-link pairs, in rounds of joins: an edge that is
+salted. Merging is best-first under cannot-link pairs: in order, a task to a group tied by
+edges, up to a stated size; beyond it in rounds of joins. There an edge that is
 the best of both clusters at its ends is decided now, since no better edge can still change
 either of them; such edges are independent, and deciding them all at once gives the result
-of the sequential order without any group in one task.
+of the sequential order without the group in one task.
 
 Defined results for odd input: records without a position or a key take no part;
 ties in score follow record order; repeated keys count once; an empty table gives
@@ -13,6 +14,11 @@ empty results; columns beyond the record shape are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+from itertools import groupby
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,7 +31,9 @@ REACH_M = 1000.0
 MERGE, REVIEW = 0.72, 0.50
 #: Records of one cell that one join task takes; fuller cells are salted.
 CELL_RECORDS = 1_000
-#: Rounds of merges before they are made one.
+#: Edges and cannot-link pairs of a group that one task merges.
+GROUP_PAIRS = 1_000_000
+#: Rounds of merges before they are made one table.
 MERGES_KEPT = 8
 UNION_ORDER = ("osm", "peeringdb", "epa_nei")
 
@@ -74,10 +82,81 @@ def score_pairs(rows: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def constrained_clusters(edges: DataFrame, forbidden: DataFrame, scratch: Scratch) -> DataFrame:
-    """(v, cluster) of every vertex of an edge; cluster is the least vertex merged with it. ``edges`` (i, j, score), ``forbidden`` (i, j)."""
-    merged = clusters_in_rounds(edges, forbidden, scratch)
-    alone = edges.select(F.explode(F.array("i", "j")).alias("v")).distinct().join(merged, "v", "left_anti")
-    return merged.unionByName(alone.select("v", F.col("v").alias("cluster")))
+    """(v, cluster) of every vertex of an edge; cluster is the least vertex merged with it. ``edges`` (i, j, score), ``forbidden`` (i, j).
+
+    Groups tied by edges are independent, and cannot-link pairs between them forbid nothing. A group of at most GROUP_PAIRS
+    edges and cannot-link pairs is merged in order in one task; larger ones are merged in rounds.
+    """
+    edges = scratch.cut(edges.select("i", "j", F.col("score").cast("double").alias("score")))
+    groups = tied_groups(edges, scratch)
+    at = lambda c: groups.select(F.col("v").alias(c), F.col("g").alias(f"g{c}"))
+    inside = forbidden.join(at("i"), "i").join(at("j"), "j").where(F.col("gi") == F.col("gj")).select(F.col("gi").alias("g"), "i", "j", F.lit(None).cast("double").alias("score"))
+    pairs = scratch.cut(edges.join(at("i"), "i").select(F.col("gi").alias("g"), "i", "j", "score").unionByName(inside))
+    large = scratch.cut(pairs.groupBy("g").count().where(F.col("count") > GROUP_PAIRS).select("g"))
+    kind = edges.schema["i"].dataType.simpleString()
+    in_tasks = lambda df: df.repartition("g").sortWithinPartitions("g").mapInPandas(_merged, f"v {kind}, cluster {kind}")
+    if large.isEmpty():
+        return in_tasks(pairs)
+    rest = scratch.cut(pairs.join(large, "g", "left_semi"))
+    tied = rest.where(F.col("score").isNotNull())
+    merged = scratch.cut(clusters_in_rounds(tied, rest.where(F.col("score").isNull()), scratch))
+    alone = tied.select(F.explode(F.array("i", "j")).alias("v")).distinct().join(merged, "v", "left_anti")
+    return in_tasks(pairs.join(large, "g", "left_anti")).unionByName(merged).unionByName(alone.select("v", F.col("v").alias("cluster")))
+
+
+def tied_groups(edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """(v, g) of every vertex of an edge: the least vertex that edges tie it to.
+
+    A round takes the least label among the neighbours and then that vertex's own label, so a chain costs a logarithm of its length.
+    """
+    both = scratch.cut(edges.select(F.col("i").alias("v"), F.col("j").alias("o")).unionByName(edges.select(F.col("j").alias("v"), F.col("i").alias("o"))).distinct())
+    labels = scratch.cut(both.groupBy("v").agg(F.least("v", F.min("o")).alias("g"), F.lit(True).alias("moved")))
+    while not labels.where("moved").isEmpty():
+        near = both.join(labels.select(F.col("v").alias("o"), "g"), "o").groupBy("v").agg(F.min("g").alias("near"))
+        low = labels.select("v", "g").join(near, "v").withColumn("low", F.least("g", "near"))
+        onward = low.join(labels.select(F.col("v").alias("low"), F.col("g").alias("onward")), "low")
+        found = scratch.cut(onward.select("v", F.col("onward").alias("g"), (F.col("onward") != F.col("g")).alias("moved")))
+        scratch.drop(labels)
+        labels = found
+    return labels.select("v", "g")
+
+
+def _merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Clusters of groups whose rows (g, i, j, score) follow one another; no score marks a cannot-link pair."""
+    rows = (row for batch in batches for row in zip(batch["g"], batch["i"], batch["j"], batch["score"]))
+    found: list[tuple] = []
+    for _, group in groupby(rows, key=lambda row: row[0]):
+        found += _in_order([row[1:] for row in group])
+        if len(found) > 10_000:
+            yield pd.DataFrame(found, columns=["v", "cluster"])
+            found = []
+    yield pd.DataFrame(found, columns=["v", "cluster"])
+
+
+def _in_order(pairs: list[tuple]) -> list[tuple]:
+    """(vertex, cluster) of one group: best edges first, among equals the least pair; an edge between clusters with a cannot-link pair is left out."""
+    edges = sorted((-score, i, j) for i, j, score in pairs if score == score)
+    owner = {v: v for _, i, j in edges for v in (i, j)}
+    least, members, bans = dict(owner), {v: [v] for v in owner}, {v: set() for v in owner}
+    for i, j, score in pairs:
+        if score != score and i != j:
+            bans[i].add(j)
+            bans[j].add(i)
+    for _, i, j in edges:
+        a, b = owner[i], owner[j]
+        if a == b or b in bans[a]:
+            continue
+        if len(members[a]) + len(bans[a]) < len(members[b]) + len(bans[b]):
+            a, b = b, a
+        least[a] = min(least[a], least[b])
+        for v in members[b]:
+            owner[v] = a
+        members[a] += members.pop(b)
+        for v in bans.pop(b):
+            bans[v].discard(b)
+            bans[v].add(a)
+            bans[a].add(v)
+    return [(v, least[a]) for v, a in owner.items()]
 
 
 def clusters_in_rounds(edges: DataFrame, forbidden: DataFrame, scratch: Scratch) -> DataFrame:
@@ -98,7 +177,7 @@ def clusters_in_rounds(edges: DataFrame, forbidden: DataFrame, scratch: Scratch)
         merge = judged.where(F.col("ban").isNull()).select(F.col("q").alias("v"), F.col("p").alias("to"))
         merges.append(merge)
         if len(merges) == MERGES_KEPT:
-            merges = [scratch.cut(_followed(merges))]
+            merges = [scratch.cut(reduce(DataFrame.unionByName, merges))]
         refused = judged.where(F.col("ban")).select("p", "q")
 
         def moved(df: DataFrame, a: str, b: str, merge: DataFrame = merge) -> DataFrame:
@@ -111,16 +190,16 @@ def clusters_in_rounds(edges: DataFrame, forbidden: DataFrame, scratch: Scratch)
         next_live = scratch.cut(moved(kept, "i", "j"))
         scratch.drop(live, bans)
         live, bans = next_live, next_bans
-    return _followed(merges).withColumnRenamed("to", "cluster") if merges else edges.sparkSession.createDataFrame([], "v string, cluster string")
+    return _followed(merges, scratch).withColumnRenamed("to", "cluster") if merges else edges.select(F.col("i").alias("v"), F.col("i").alias("cluster")).limit(0)
 
 
-def _followed(merges: list[DataFrame]) -> DataFrame:
-    """(v, to) of all rounds as one: who moved before follows where its cluster moved later."""
-    later = merges[-1]
-    for earlier in reversed(merges[:-1]):
-        onward = later.select(F.col("v").alias("to"), F.col("to").alias("_to"))
-        later = later.unionByName(earlier.join(onward, "to", "left").select("v", F.coalesce("_to", "to").alias("to")))
-    return later
+def _followed(merges: list[DataFrame], scratch: Scratch) -> DataFrame:
+    """(v, to) with the last cluster of each vertex. A vertex moves in one round only, so the merges are a forest, whose paths a pass halves."""
+    forest = scratch.cut(reduce(DataFrame.unionByName, merges).where(F.col("v") != F.col("to")).withColumn("moved", F.lit(True)))
+    while not forest.where("moved").isEmpty():
+        onward = forest.select(F.col("v").alias("to"), F.col("to").alias("_to"))
+        forest = scratch.cut(forest.drop("moved").join(onward, "to", "left").select("v", F.coalesce("_to", "to").alias("to"), F.col("_to").isNotNull().alias("moved")))
+    return forest.drop("moved")
 
 
 def _best(column: str, rank: str = "prio") -> Column:

@@ -93,6 +93,19 @@ def test_merging_in_rounds_against_best_first(spark, seed):
     assert {frozenset(g["v"]) for _, g in got.groupby("cluster") if len(g) > 1} == groups
 
 
+@pytest.mark.parametrize("bound", (1_000_000, 3))
+def test_a_star_is_merged_in_few_tables(spark, monkeypatch, bound):
+    monkeypatch.setattr(R, "GROUP_PAIRS", bound, raising=False)
+    edges = [("a", f"s{k:02}", 0.99 - k / 100) for k in range(12)] + [("x", "y", 0.9), ("y", "z", 0.8)]
+    bans = [("s03", "s07"), ("x", "z"), ("a", "x")]
+    scratch = Scratch(spark, "t")
+    got = R.constrained_clusters(spark.createDataFrame(edges, "i string, j string, score double"), spark.createDataFrame(bans, "i string, j string"), scratch)
+    assert rows(got, "v", "cluster") == sorted([("a", "a"), ("x", "x"), ("y", "x"), ("z", "z"), *[(f"s{k:02}", "s07" if k == 7 else "a") for k in range(12)]])
+    if bound > 3:
+        assert scratch.n <= 12
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Join") <= 4
+
+
 def test_estimates(spark):
     fac = spark.createDataFrame([("f1", "colocation", 2016, 10000.0, 3.0), ("f2", "unknown", None, 43850.0, 30.0), ("f3", "unknown", None, None, 2.0), ("f4", "unknown", None, 10000.0, 900.0)], "facility_id string, facility_class string, year_built int, footprint_sqft double, building_levels double")
     gross = power.gross_area(fac)
