@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -9,11 +10,15 @@ from pyspark.sql import functions as F
 
 from siteweave import dims
 from siteweave.operators.lookups import BROADCAST_ROWS
-from siteweave.operators.spatial import containing_regions, haversine_m, located
+from siteweave.operators.spatial import EARTH_RADIUS_M, containing_regions, haversine_m, located, on_globe
 from siteweave.storage import Scratch
 
 # A name of so many long words has 255 sets of them.
 SUBSET_WORDS = 8
+# Places of features that a point shares its cell with on average, and the least size of cells, of about a metre.
+CELL_PLACES, LEAST_DEG = 32, 1e-5
+# The widest cells of the tree are at least so wide, some 80 on the globe; of cells so wide there are some 17,000, which every task gets.
+ROOT_DEG, BROADCAST_DEG = 32, 2
 
 
 def by_phrase(facilities: DataFrame, overrides: DataFrame) -> DataFrame:
@@ -99,27 +104,72 @@ def serving_territories(facilities: DataFrame, territories: DataFrame, overlays:
 
 
 def nearest_km(points: DataFrame, features: DataFrame, first_deg: float = 0.5) -> DataFrame:
-    """(id, feature, km): the nearest feature of every point (id, lat, lon), by rings of cells that double until each point has one.
+    """(id, feature, km): the nearest feature of every point (id, lat, lon), the least one on a tie.
 
-    A hit at distance d is final once the searched square reaches d; others go to the next ring.
+    Places of features are looked up in the nine cells around a point; a hit nearer than what lies outside them is final.
+    Cells are quartered from ``first_deg`` until a point shares its own with CELL_PLACES places on average. Other points go down a
+    tree of these cells, four by four in one: of a cell's parts only those go on that may hold a place as near as the nearest part surely has.
     """
     scratch = Scratch(points.sparkSession, "nearest")
-    open_points = scratch.cut(points.select("id", "lat", "lon").where(located(F.col("lat"), F.col("lon"))))
-    targets = features.select(F.col("id").alias("feature"), F.col("lat").alias("flat"), F.col("lon").alias("flon")).where(located(F.col("lat"), F.col("lon")))
-    done, size = None, first_deg
-    while size <= 512 and not open_points.isEmpty():
-        cell = lambda c, n=size: F.floor(c / n)
-        n_lon = max(1, round(360 / size))
-        around = F.explode(F.array_distinct(F.flatten(F.array(*[F.array(*[F.struct((cell(F.col("lat")) + dy).alias("cy"), F.pmod(F.floor(F.pmod(F.col("lon"), F.lit(360.0)) / (360 / n_lon)) + dx, F.lit(n_lon)).alias("cx")) for dx in (-1, 0, 1)]) for dy in (-1, 0, 1)]))))
-        asks = open_points.withColumn("c", around).select("id", "lat", "lon", "c.cy", "c.cx")
-        here = targets.select("feature", "flat", "flon", cell(F.col("flat")).alias("cy"), F.floor(F.pmod(F.col("flon"), F.lit(360.0)) / (360 / n_lon)).alias("cx"))
-        km = haversine_m(F.col("lat"), F.col("lon"), F.col("flat"), F.col("flon")) / 1000
-        best = asks.join(here, ["cy", "cx"]).groupBy("id").agg(F.min(F.struct(km.alias("km"), F.col("feature"))).alias("b")).select("id", "b.km", "b.feature")
-        # What lies outside the nine cells is at least one cell away in latitude, or one cell of the narrowest longitude.
-        sure = F.least(F.lit(size), F.lit(size) * F.cos(F.radians(F.least(F.lit(89.0), F.abs("lat") + size)))) * 111.0
-        found = scratch.cut(open_points.join(best, "id", "left").withColumn("final", F.col("km").isNotNull() & ((F.col("km") <= sure) | F.lit(size >= 180))))
-        final = found.where("final").select("id", "feature", "km")
-        done = final if done is None else done.unionByName(final)
-        open_points = found.where("NOT final").select("id", "lat", "lon")
-        size *= 4
-    return done if done is not None else points.sparkSession.createDataFrame([], "id string, feature string, km double")
+    globe = lambda df: df.withColumns(dict(zip("yx", on_globe(F.col("lat"), F.col("lon")))))
+    asking = scratch.cut(globe(points.select("id", "lat", "lon").where(located(F.col("lat"), F.col("lon"))).withColumn("p", F.monotonically_increasing_id())))
+    places = features.where(located(F.col("lat"), F.col("lon"))).groupBy("lat", "lon").agg(F.min("id").alias("feature"))
+    places = scratch.cut(globe(places).select("feature", F.col("lat").alias("flat"), F.col("lon").alias("flon"), "y", "x"))
+    size = _cell_size(asking, places, first_deg)
+    cell = lambda c: F.floor(F.col(c) / size)
+    km = haversine_m(F.col("lat"), F.col("lon"), F.col("flat"), F.col("flon")) / 1000
+    nearest = F.min(F.struct(km.alias("km"), F.col("feature"))).alias("b")
+
+    n_lon = max(1, round(360 / size))
+    column = lambda: F.floor(F.col("x") / (360 / n_lon))
+    steps = F.array(*[F.struct(F.lit(dy).alias("dy"), F.lit(dx).alias("dx")) for dy in (-1, 0, 1) for dx in ((-1, 0, 1) if n_lon > 2 else range(n_lon))])
+    around = places.withColumn("s", F.explode(steps)).select("feature", "flat", "flon", (cell("y") + F.col("s.dy")).alias("cy"), F.pmod(column() + F.col("s.dx"), F.lit(n_lon)).alias("cx"))
+    asks = asking.select("p", "lat", "lon", cell("y").alias("cy"), F.pmod(column(), F.lit(n_lon)).alias("cx"))
+    best = asks.join(around, ["cy", "cx"]).groupBy("p").agg(nearest).select("p", "b.km", "b.feature")
+    # What lies outside the nine cells is at least one cell away in latitude, or one cell of the narrowest longitude.
+    width = min(size, 360 / n_lon)
+    sure = F.lit(width) * F.cos(F.radians(F.least(F.lit(90.0), F.abs("y") + size))) * 111.0 if n_lon > 2 else F.lit(-1.0)
+    found = scratch.cut(asking.join(best, "p", "left").withColumn("final", F.col("km").isNotNull() & (F.col("km") <= sure)))
+    near = found.where("final").select("id", "km", "feature")
+    open_points = found.where("NOT final")
+    if open_points.isEmpty():
+        return near.groupBy("id").agg(F.min(F.struct("km", "feature")).alias("b")).select("id", "b.feature", "b.km")
+
+    # Squares of straight distances on a globe of radius 1; they order places as kilometres do.
+    solid = lambda lat, lon: (F.cos(F.radians(lat)) * F.cos(F.radians(lon)), F.cos(F.radians(lat)) * F.sin(F.radians(lon)), F.sin(F.radians(lat)))
+    axes = "uvw"
+    leaves = scratch.cut(places.withColumns({"cy": cell("y"), "cx": cell("x")} | dict(zip(axes, solid(F.col("flat"), F.col("flon"))))))
+    sizes = [size]
+    while sizes[-1] < ROOT_DEG:
+        sizes.append(sizes[-1] * 4)
+    ends = [f(a).alias(f"{a}{end}") for a in axes for f, end in ((F.min, 0), (F.max, 1))]
+    boxes = scratch.cut(leaves.groupBy("cy", "cx").agg(*ends))
+    wider = [f(f"{a}{end}").alias(f"{a}{end}") for a in axes for f, end in ((F.min, 0), (F.max, 1))]
+    levels = [boxes, *[boxes.groupBy(F.floor(F.col("cy") / 4**k).alias("cy"), F.floor(F.col("cx") / 4**k).alias("cx")).agg(*wider) for k in range(1, len(sizes))]]
+    gap = lambda a: F.greatest(F.lit(0.0), F.col(f"{a}0") - F.col(a), F.col(a) - F.col(f"{a}1"))
+    span = lambda a: F.greatest(F.abs(F.col(a) - F.col(f"{a}0")), F.abs(F.col(a) - F.col(f"{a}1")))
+    square = lambda f: f("u") * f("u") + f("v") * f("v") + f("w") * f("w")
+    reached = F.pow(2 * F.sin(F.least(F.col("km") * 1000 / (2 * EARTH_RADIUS_M), F.lit(math.pi / 2))), 2)
+    kept = open_points.withColumns(dict(zip(axes, solid(F.col("lat"), F.col("lon"))))).select("p", *axes, F.coalesce(reached, F.lit(8.0)).alias("most"))
+    for k in reversed(range(len(sizes))):
+        parts = levels[k].withColumns({"py": F.floor(F.col("cy") / 4), "px": F.floor(F.col("cx") / 4)})
+        parts = F.broadcast(parts) if sizes[k] >= BROADCAST_DEG else parts
+        asks = kept.join(parts.drop("py", "px")) if k == len(sizes) - 1 else kept.withColumnsRenamed({"cy": "py", "cx": "px"}).join(parts, ["py", "px"])
+        bounds = asks.select("p", *axes, "most", "cy", "cx", square(gap).alias("low"), square(span).alias("high"))
+        bounds = bounds.withColumn("most", F.least("most", F.min("high").over(Window.partitionBy("p"))))
+        kept = bounds.where(F.col("low") <= F.col("most") * (1 + 1e-9) + 1e-13).select("p", *axes, "most", "cy", "cx")
+    last = kept.select("p", "cy", "cx").join(leaves.select("feature", "flat", "flon", "cy", "cx"), ["cy", "cx"]).join(open_points.select("p", "id", "lat", "lon"), "p")
+    far = last.groupBy("id").agg(nearest).select("id", "b.km", "b.feature")
+    return near.unionByName(far).groupBy("id").agg(F.min(F.struct("km", "feature")).alias("b")).select("id", "b.feature", "b.km")
+
+
+def _cell_size(asking: DataFrame, places: DataFrame, size: float) -> float:
+    """The size of cells, quartered while points share theirs with more than CELL_PLACES places on average."""
+    most = CELL_PLACES * asking.count()
+    while size > LEAST_DEG:
+        per_cell = lambda df, n, s=size: df.groupBy(F.floor(F.col("y") / s).alias("cy"), F.floor(F.col("x") / s).alias("cx")).agg(F.count("*").alias(n))
+        pairs = per_cell(asking, "n").join(per_cell(places, "m"), ["cy", "cx"]).agg(F.sum(F.col("n") * F.col("m"))).first()[0]
+        if (pairs or 0) <= most:
+            break
+        size /= 4
+    return size

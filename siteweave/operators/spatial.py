@@ -43,6 +43,12 @@ def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colum
     return 2 * EARTH_RADIUS_M * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
 
 
+def on_globe(lat: Column, lon: Column) -> tuple[Column, Column]:
+    """The same place with a latitude in -90..90 and a longitude in 0..360, for cells only."""
+    turned = F.cos(F.radians(lat)) < 0
+    return F.degrees(F.asin(F.sin(F.radians(lat)))), F.pmod(F.when(turned, lon + 180).otherwise(lon), F.lit(360.0))
+
+
 def _cells_in_band(band: Column, height: float) -> Column:
     """Cells of a band: as many as are at least ``height`` wide, measured where the band is narrowest."""
     edge = F.greatest(F.abs(band * height), F.abs((band + 1) * height))
@@ -58,9 +64,8 @@ def near_pairs(points: DataFrame, distance_m: float) -> DataFrame:
 def _points(points: DataFrame) -> DataFrame:
     base = points.select(F.col("id").cast("string").alias("id"), F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon"))
     base = base.where(F.col("id").isNotNull() & located(F.col("lat"), F.col("lon"))).distinct()
-    # The same place with a latitude in -90..90 and a longitude in 0..360, for cells only.
-    turned = F.cos(F.radians("lat")) < 0
-    return base.withColumn("y", F.degrees(F.asin(F.sin(F.radians("lat"))))).withColumn("x", F.pmod(F.when(turned, F.col("lon") + 180).otherwise(F.col("lon")), F.lit(360.0)))
+    y, x = on_globe(F.col("lat"), F.col("lon"))
+    return base.withColumn("y", y).withColumn("x", x)
 
 
 def near_points(asking: DataFrame, points: DataFrame, distance_m: float, wanted: Column | None = None) -> DataFrame:

@@ -86,3 +86,34 @@ def test_nearest(spark):
 
     got = {r["id"]: r["feature"] for r in nearest_km(points(spark, at), points(spark, to)).collect()}
     assert got == {p[0]: min(to, key=lambda q: km(p, q))[0] for p in at}
+
+
+def test_nearest_of_far_points_compares_few_places(spark, monkeypatch):
+    import pandas as pd
+    from pyspark.sql import functions as F
+
+    from siteweave.operators import evidence
+
+    rng = random.Random(4)
+    at = [(f"p{i}", rng.uniform(30, 40), rng.uniform(100, 110)) for i in range(280)] + [("pole", 89.999, 0.0), ("none", None, 1.0)]
+    to = [(f"f{i:04}", rng.uniform(30, 45), rng.uniform(-120, -70)) for i in range(1500)] + [("here", 89.992, 0.0), ("over", 89.999, 180.0), ("pover", 89.999, 180.0)]
+
+    def km(p, q):
+        (a, b), (c, d) = (map(math.radians, t[1:]) for t in (p, q))
+        return 2 * 6371.0088 * math.asin(math.sqrt(math.sin((c - a) / 2) ** 2 + math.cos(a) * math.cos(c) * math.sin((d - b) / 2) ** 2))
+
+    compared, real = spark.sparkContext.accumulator(0), spatial.haversine_m
+
+    def nothing(a: pd.Series, b: pd.Series) -> pd.Series:
+        compared.add(len(a))
+        return (a - b) * 0.0
+
+    monkeypatch.setattr(evidence, "haversine_m", lambda *c: real(*c) + F.pandas_udf(nothing, "double")(c[0], c[2]))
+    got = {r["id"]: r["feature"] for r in evidence.nearest_km(points(spark, at), points(spark, to)).collect()}
+    assert got == {p[0]: min(to, key=lambda q: (km(p, q), q[0]))[0] for p in at if p[1] is not None}
+    assert got["pole"] == "over" and compared.value < 100 * len(at)
+    fine = [(f"n{i}", 40 + rng.random() / 50, -100 + rng.random() / 50) for i in range(300)]
+    monkeypatch.setattr(evidence, "CELL_PLACES", 2)
+    got = {r["id"]: r["feature"] for r in evidence.nearest_km(points(spark, fine), points(spark, [(f"g{i}", *p[1:]) for i, p in enumerate(fine[:150])] + to)).collect()}
+    near = [(f"g{i}", *p[1:]) for i, p in enumerate(fine[:150])]
+    assert got == {p[0]: min(near, key=lambda q: (km(p, q), q[0]))[0] for p in fine}
